@@ -28,9 +28,11 @@ def to_number(value: Column) -> Column:
 
 
 def to_whole(value: Column) -> Column:
-    """A whole number, or null where the value is none."""
+    """A whole number (``3``, ``3.0``), or null where the value is none."""
     number = to_number(value)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.coalesce(
+        value.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int"))
+    )
 
 
 def _rearranged(text: Column, pattern: str, iso: str) -> Column:

@@ -51,7 +51,10 @@ def _before(blocks: DataFrame, value: str) -> Column:
 
 
 def ntile(rows: DataFrame, tiles: int, order: list[Column], name: str) -> DataFrame:
-    """SQL ``NTILE`` over the whole table: sizes differ by one at most, larger tiles first."""
+    """SQL ``NTILE`` over the whole table: sizes differ by one at most, larger tiles first.
+
+    The result keeps ``order``, as blocks follow each other and none of their rows move again.
+    """
     placed = place(rows, order)
     counts = placed.groupBy(BLOCK).agg(F.count("*").alias("__rows"))
     offsets = counts.select(

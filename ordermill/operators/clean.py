@@ -77,21 +77,26 @@ def clamp_percent(percent: Column) -> Column:
     return F.when(percent > 100, 100).when(percent < 0, 0).otherwise(percent)
 
 
+def with_measures(items: DataFrame) -> DataFrame:
+    """Adds transaction type, absolute quantity and signed revenue to typed order items."""
+    return items.withColumns({
+        "transaction_type": transaction_type(F.col("quantity")),
+        "quantity_abs": F.abs("quantity"),
+        "revenue": values.net_revenue(
+            F.col("quantity"), F.col("unit_price"), F.col("discount_percent")
+        ),
+    })
+
+
 def clean_order_items(raw: DataFrame) -> Cleaned:
     """Numbers from text, discounts within 0..100, transaction type and signed revenue."""
     quantity = values.to_whole(F.col("quantity"))
     discount = values.to_number(F.col("discount_percent"))
-    rows = raw.withColumns({
+    rows = with_measures(raw.withColumns({
         "quantity": quantity,
         "unit_price": values.to_number(F.col("unit_price")).try_cast(MONEY),
         "discount_percent": clamp_percent(discount).cast(PERCENT),
-    }).withColumns({
-        "transaction_type": transaction_type(F.col("quantity")),
-        "quantity_abs": F.abs("quantity"),
-        "revenue": values.net_revenue(
-            F.col("quantity"), F.col("unit_price"), F.col("discount_percent")
-        ),
-    })
+    }))
     issues = raw.agg(
         F.count("*").alias("total_rows"),
         F.count_if(quantity < 0).alias("negative_quantity_rows"),

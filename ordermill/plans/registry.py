@@ -140,8 +140,15 @@ def _generated(table: str) -> Query:
 
 
 def _pipeline(question: Callable[[Tables], DataFrame]) -> Query:
-    """A question over tables cleaned from raw text."""
-    return _on_raw(lambda raw: question(clean_tables(raw).tables))
+    """A question over tables that were cleaned from raw text and loaded."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_scratch(spark, "tables")
+        cleaned = clean_tables(testdata.raw(spark, folder)).tables
+        files.load_tables(cleaned, path, unique_keys=False)
+        return _for_output(question(files.read_tables(spark, path)))
+
+    return query
 
 
 def queries() -> dict[str, Query]:
@@ -192,6 +199,12 @@ def queries() -> dict[str, Query]:
         ),
         "period_top_products": _on_clean(lambda t: report.top_products(t, PERIOD)),
         "period_comparison": _on_clean(lambda t: report.period_comparison(t, PERIOD)),
+        "period_summary_many_orders": _on_clean(
+            lambda t: report.period_summaries(t, {"current": PERIOD}, broadcast_orders=0)
+        ),
+        "period_top_products_many_orders": _on_clean(
+            lambda t: report.top_products(t, PERIOD, broadcast_orders=0)
+        ),
         "period_comparison_no_prior": _on_clean(
             lambda t: report.period_comparison(t, FIRST_PERIOD)
         ),

@@ -46,11 +46,23 @@ def _midnight(day: dt.date) -> Column:
     return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
 
 
-def period_summaries(t: Tables, periods: dict[str, Period]) -> DataFrame:
+# Orders of a period up to this number are broadcast: eight bytes to some tens of bytes each.
+BROADCAST_ORDERS = 500_000
+
+
+def _few(orders: DataFrame, limit: int) -> bool:
+    """Whether a broadcast of these orders is safe. Counts them; the date filter is pushed down."""
+    return orders.count() <= limit
+
+
+def period_summaries(
+    t: Tables, periods: dict[str, Period], broadcast_orders: int = BROADCAST_ORDERS
+) -> DataFrame:
     """``period, total_orders, total_revenue, unique_customers`` of periods that do not overlap.
 
     One pass serves all periods. Orders and customers are counted on the orders alone; only
-    revenue needs the order items, summed per order before the join.
+    revenue needs order items. Those of a short period are picked by a broadcast of its orders
+    and never shuffled; for longer ones they are summed per order before the join.
     """
     name = F.coalesce(*[
         F.when(_within(F.col("order_date"), p), F.lit(name)) for name, p in periods.items()
@@ -61,24 +73,33 @@ def period_summaries(t: Tables, periods: dict[str, Period]) -> DataFrame:
         .select("order_id", "customer_id", name.alias("period"))
         .filter("period IS NOT NULL")
     )
-    per_customer = (
-        orders.join(revenue_per(t.order_items, "order_id"), "order_id", "left")
-        .groupBy("period", "customer_id")
-        .agg(F.count("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
+    per_customer = orders.groupBy("period", "customer_id").agg(F.count("*").alias("orders"))
+    counts = per_customer.groupBy("period").agg(
+        F.sum("orders").alias("total_orders"), F.count("customer_id").alias("unique_customers")
     )
-    return per_customer.groupBy("period").agg(
-        F.sum("orders").alias("total_orders"),
-        rounded(F.coalesce(F.sum("revenue"), F.lit(0))).alias("total_revenue"),
-        F.count("customer_id").alias("unique_customers"),
+    keys = orders.select("order_id", "period")
+    if _few(keys, broadcast_orders):
+        sold = t.order_items.select("order_id", "revenue").join(F.broadcast(keys), "order_id")
+    else:
+        sold = revenue_per(t.order_items, "order_id").join(keys, "order_id")
+    return counts.join(revenue_per(sold, "period"), "period", "left").select(
+        "period",
+        "total_orders",
+        rounded(F.coalesce(F.col("revenue"), F.lit(0))).alias("total_revenue"),
+        "unique_customers",
     )
 
 
-def top_products(t: Tables, period: Period, n: int = 3) -> DataFrame:
+def top_products(
+    t: Tables, period: Period, n: int = 3, broadcast_orders: int = BROADCAST_ORDERS
+) -> DataFrame:
     """Product names with the highest revenue in the period."""
     orders = t.orders.filter(_within(F.col("order_date"), period)).select("order_id")
+    if _few(orders, broadcast_orders):
+        orders = F.broadcast(orders)
     items = t.order_items.select("order_id", "product_id", "revenue")
     return (
-        revenue_per(items.join(orders, "order_id"), "product_id")
+        revenue_per(items.join(orders, "order_id", "left_semi"), "product_id")
         .join(t.products.select("product_id", "product_name"), "product_id")
         .groupBy("product_name")
         .agg(F.sum("revenue").alias("revenue"))
@@ -97,7 +118,12 @@ def change_label(change: Column) -> Column:
     return F.coalesce(F.format_string("%+.2f%%", change), F.lit(NO_PRIOR))
 
 
-def period_comparison(t: Tables, period: Period, report_type: str = "monthly") -> DataFrame:
+def period_comparison(
+    t: Tables,
+    period: Period,
+    report_type: str = "monthly",
+    broadcast_orders: int = BROADCAST_ORDERS,
+) -> DataFrame:
     """One row per figure: previous and current value and the change between them.
 
     ``report_type`` only labels the report; the dates alone set its range.
@@ -108,7 +134,7 @@ def period_comparison(t: Tables, period: Period, report_type: str = "monthly") -
         "orders": "total_orders", "revenue": "total_revenue", "customers": "unique_customers",
     }
     sides = {"previous": previous_period(period), "current": period}
-    summaries = period_summaries(t, sides)
+    summaries = period_summaries(t, sides, broadcast_orders)
     # A single row, also where a period has no orders at all.
     both = summaries.agg(*[
         F.coalesce(F.max(F.when(F.col("period") == side, F.col(column))), F.lit(0))

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.operators.clean import clean_order_items
+from ordermill.operators.clean import clamp_percent, with_measures
 from ordermill.schemas import GUEST, MONEY, PERCENT, Tables
 from ordermill.sources.generate import REGIONS
 
@@ -88,7 +88,9 @@ def clean(spark: SparkSession, folder: str) -> Tables:
             _pick(REGIONS, F.col("o_custkey") % len(REGIONS)).alias("region_code"),
             guest.cast("int").alias("is_guest_order"),
         ),
-        order_items=clean_order_items(_items(spark, folder)).rows,
+        order_items=with_measures(_items(spark, folder).withColumn(
+            "discount_percent", clamp_percent(F.col("discount_percent")).cast(PERCENT)
+        )),
     )
 
 
