@@ -264,12 +264,11 @@ def revenue_year_over_year(t: Tables) -> DataFrame:
     monthly = (
         with_revenue(orders, t.order_items).groupBy("y", "m").agg(F.sum("revenue").alias("revenue"))
     )
-    earlier = monthly.select(
-        (F.col("y") + 1).alias("y"), "m", F.col("revenue").alias("prev_revenue")
-    )
+    # One row per year in each window; the frame holds just the year before.
+    year_before = Window.partitionBy("m").orderBy("y").rangeBetween(-1, -1)
     growth = percent_of(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
     return (
-        monthly.join(earlier, ["y", "m"], "left")
+        monthly.withColumn("prev_revenue", F.max("revenue").over(year_before))
         .orderBy("y", "m")
         .select(
             F.lpad(F.col("y").cast("string"), 4, "0").alias("year"),

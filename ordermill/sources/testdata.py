@@ -16,9 +16,24 @@ from ordermill.operators.clean import clamp_percent, with_measures
 from ordermill.schemas import GUEST, MONEY, PERCENT, Tables
 from ordermill.sources.generate import REGIONS
 
+# Columns and types of the test tables the projections read.
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_returnflag string",
+}
+
 GHOST_OFFSET = 900_000_000_000
 
 
+def _star(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
+
+
 def _every(column: str, n: int, rest: int = 0) -> Column:
     return F.col(column) % n == rest
 
@@ -35,7 +50,7 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
     )
     registered = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") * 37 % 2000)
                             .cast("int"))
-    return spark.read.parquet(f"{folder}/customer.parquet").select(
+    return _star(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         email.alias("email"),
@@ -52,7 +67,7 @@ def _items(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT)"
     )
     percent = F.round(F.col("l_discount") * 100).cast("int")
-    return spark.read.parquet(f"{folder}/lineitem.parquet").select(
+    return _star(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -65,8 +80,8 @@ def _items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, folder: str) -> Tables:
-    parts = spark.read.parquet(f"{folder}/part.parquet")
-    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    parts = _star(spark, folder, "part")
+    orders = _star(spark, folder, "orders")
     guest = _every("o_orderkey", 20)
     return Tables(
         customers=_customers(spark, folder),
