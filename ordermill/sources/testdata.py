@@ -7,9 +7,7 @@ order items without an order. Cleaning ``raw`` must lead back to ``clean`` (less
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.clean import clamp_percent, with_measures
@@ -34,129 +32,101 @@ def _star(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def _every(column: str, n: int, rest: int = 0) -> Column:
-    return F.col(column) % n == rest
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _star(spark, folder, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "c_name AS customer_name",
+        """concat('user', c_custkey, CASE c_custkey % 50
+            WHEN 0 THEN '' WHEN 1 THEN '@' ELSE '@example.com' END) AS email""",
+        "date_add(DATE '1995-01-01', CAST(c_custkey * 37 % 2000 AS INT)) AS registration_date",
+        "c_mktsegment AS customer_type",
+    )
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return _star(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "initcap(p_name) AS product_name",
+        "initcap(p_type) AS category",
+        "p_brand AS subcategory",
+        f"CAST(p_retailprice AS {MONEY}) AS cost_price",
+    )
 
 
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    email = (
-        F.when(_every("c_custkey", 50), F.concat(F.lit("user"), "c_custkey"))
-        .when(_every("c_custkey", 50, 1), F.concat(F.lit("user"), "c_custkey", F.lit("@")))
-        .otherwise(F.concat(F.lit("user"), "c_custkey", F.lit("@example.com")))
-    )
-    registered = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") * 37 % 2000)
-                            .cast("int"))
-    return _star(spark, folder, "customer").select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        email.alias("email"),
-        registered.alias("registration_date"),
-        F.col("c_mktsegment").alias("customer_type"),
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    regions = ", ".join(f"'{region}'" for region in REGIONS)
+    return _star(spark, folder, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        f"IF(o_orderkey % 20 = 0, '{GUEST}', CAST(o_custkey AS STRING)) AS customer_id",
+        "o_orderdate AS order_date",
+        """CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'P' THEN 'SHIPPED'
+            ELSE 'PLACED' END AS status""",
+        f"array({regions})[CAST(o_custkey % {len(REGIONS)} AS INT)] AS region_code",
+        "IF(o_orderkey % 20 = 0, 1, 0) AS is_guest_order",
     )
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
     """Typed order items before cleaning; prices are whole cents per piece."""
-    pieces = F.col("l_quantity").cast("int")
-    signed = F.when(F.col("l_returnflag") == "R", -pieces).otherwise(pieces)
-    cent_price = F.expr(
-        "CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT)"
-    )
-    percent = F.round(F.col("l_discount") * 100).cast("int")
-    return _star(spark, folder, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.when(_every("l_partkey", 97), 0).otherwise(signed).alias("quantity"),
-        (cent_price.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
-        .alias("unit_price"),
-        F.when(_every("l_partkey", 200), percent + 101).otherwise(percent).cast(PERCENT)
-        .alias("discount_percent"),
+    return _star(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS order_item_id",
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        """CASE WHEN l_partkey % 97 = 0 THEN 0 WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS INT)
+            ELSE CAST(l_quantity AS INT) END AS quantity""",
+        f"""CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT)
+            AS DECIMAL(16,0)) * 0.01 AS {MONEY}) AS unit_price""",
+        f"""CAST(CAST(round(l_discount * 100) AS INT) + IF(l_partkey % 200 = 0, 101, 0)
+            AS {PERCENT}) AS discount_percent""",
     )
 
 
 def clean(spark: SparkSession, folder: str) -> Tables:
-    parts = _star(spark, folder, "part")
-    orders = _star(spark, folder, "orders")
-    guest = _every("o_orderkey", 20)
+    in_range = clamp_percent(F.col("discount_percent")).cast(PERCENT)
     return Tables(
         customers=_customers(spark, folder),
-        products=parts.select(
-            F.col("p_partkey").alias("product_id"),
-            F.initcap("p_name").alias("product_name"),
-            F.initcap("p_type").alias("category"),
-            F.col("p_brand").alias("subcategory"),
-            F.col("p_retailprice").cast(MONEY).alias("cost_price"),
-        ),
-        orders=orders.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.when(guest, GUEST).otherwise(F.col("o_custkey").cast("string"))
-            .alias("customer_id"),
-            F.col("o_orderdate").alias("order_date"),
-            F.when(F.col("o_orderstatus") == "F", "DELIVERED")
-            .when(F.col("o_orderstatus") == "P", "SHIPPED")
-            .otherwise("PLACED").alias("status"),
-            _pick(REGIONS, F.col("o_custkey") % len(REGIONS)).alias("region_code"),
-            guest.cast("int").alias("is_guest_order"),
+        products=_products(spark, folder),
+        orders=_orders(spark, folder),
+        order_items=with_measures(
+            _items(spark, folder).withColumn("discount_percent", in_range)
         ),
-        order_items=with_measures(_items(spark, folder).withColumn(
-            "discount_percent", clamp_percent(F.col("discount_percent")).cast(PERCENT)
-        )),
     )
 
 
 def raw(spark: SparkSession, folder: str) -> Tables:
-    good = clean(spark, folder)
-    key = F.col("order_id")
-    date_text = (
-        F.when(key % 17 == 0, F.date_format("order_date", "dd-MM-yyyy"))
-        .when(key % 19 == 0, F.date_format("order_date", "yyyy/MM/dd"))
-        .when(key % 1009 == 0, F.lit("31-02-2024"))
-        .otherwise(F.date_format("order_date", "yyyy-MM-dd HH:mm:ss"))
+    customers = _customers(spark, folder).withColumn(
+        "registration_date", F.col("registration_date").cast("string")
     )
-    blank = (
-        F.when(key % 80 == 0, "").when(key % 80 == 20, " NULL ").when(key % 80 == 40, "nan")
+    products = _products(spark, folder).selectExpr(
+        "product_id",
+        """CASE product_id % 7
+            WHEN 0 THEN upper(product_name)
+            WHEN 1 THEN lower(product_name)
+            WHEN 2 THEN concat('  \t', product_name, '   ')
+            WHEN 3 THEN replace(product_name, ' ', '  ')
+            ELSE product_name END AS product_name""",
+        "upper(category) AS category",
+        "concat(' ', subcategory) AS subcategory",
+        "IF(product_id % 100 = 0, 'n.a.', CAST(cost_price AS STRING)) AS cost_price",
     )
-    untidy = F.when(key % 7 == 0, F.concat(F.lit("\t"), F.lower("status"), F.lit(" ")))
-    orders = good.orders.select(
+    orders = _orders(spark, folder).selectExpr(
         "order_id",
-        F.when(key % 20 == 0, blank).otherwise(F.col("customer_id")).alias("customer_id"),
-        date_text.alias("order_date"),
-        untidy.otherwise(F.col("status")).alias("status"),
-        F.when(key % 11 == 0, F.lower("region_code")).otherwise(F.col("region_code"))
-        .alias("region_code"),
+        """CASE WHEN order_id % 20 <> 0 THEN customer_id
+            WHEN order_id % 80 = 0 THEN '' WHEN order_id % 80 = 20 THEN ' NULL '
+            WHEN order_id % 80 = 40 THEN 'nan' END AS customer_id""",
+        """CASE WHEN order_id % 17 = 0 THEN date_format(order_date, 'dd-MM-yyyy')
+            WHEN order_id % 19 = 0 THEN date_format(order_date, 'yyyy/MM/dd')
+            WHEN order_id % 1009 = 0 THEN '31-02-2024'
+            ELSE date_format(order_date, 'yyyy-MM-dd HH:mm:ss') END AS order_date""",
+        "IF(order_id % 7 = 0, concat('\t', lower(status), ' '), status) AS status",
+        "IF(order_id % 11 = 0, lower(region_code), region_code) AS region_code",
     )
-    name = F.col("product_name")
-    variant = F.col("product_id") % 7
-    messy = (
-        F.when(variant == 0, F.upper(name))
-        .when(variant == 1, F.lower(name))
-        .when(variant == 2, F.concat(F.lit("  \t"), name, F.lit("   ")))
-        .when(variant == 3, F.regexp_replace(name, " ", "  "))
-        .otherwise(name)
-    )
-    products = good.products.select(
-        "product_id",
-        messy.alias("product_name"),
-        F.upper("category").alias("category"),
-        F.concat(F.lit(" "), "subcategory").alias("subcategory"),
-        F.when(F.col("product_id") % 100 == 0, "n.a.")
-        .otherwise(F.col("cost_price").cast("string")).alias("cost_price"),
-    )
-    items = _items(spark, folder)
-    order_items = items.select(
+    order_items = _items(spark, folder).selectExpr(
         "order_item_id",
-        F.when(key % 100 == 0, key + GHOST_OFFSET).otherwise(key).alias("order_id"),
+        f"IF(order_id % 100 = 0, order_id + {GHOST_OFFSET}, order_id) AS order_id",
         "product_id",
-        F.col("quantity").cast("string").alias("quantity"),
-        F.concat(F.lit(" "), F.col("unit_price").cast("string")).alias("unit_price"),
-        F.col("discount_percent").cast("string").alias("discount_percent"),
-    )
-    customers = good.customers.withColumn(
-        "registration_date", F.col("registration_date").cast("string")
+        "CAST(quantity AS STRING) AS quantity",
+        "concat(' ', unit_price) AS unit_price",
+        "CAST(discount_percent AS STRING) AS discount_percent",
     )
     return Tables(customers, products, orders, order_items)
