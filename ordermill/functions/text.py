@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four ASCII separators that also count as blank.
+# Unicode white space and the four ASCII separators that also count as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same characters in a regular expression that starts with (?U).
 BLANK = r"[\s\x1c-\x1f]"
 # Letters that have case. Anything else starts a new word.
 CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
@@ -13,12 +18,12 @@ CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 
 def strip(text: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def collapse(text: Column) -> Column:
     """Turn each run of white space into one space."""
-    return F.regexp_replace(text, rf"(?U){BLANK}+", " ")
+    return F.regexp_replace(text, f"(?U){BLANK}+", " ")
 
 
 def title_case(text: Column) -> Column:

@@ -7,19 +7,27 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ordermill.functions.text import collapse, strip
+from ordermill.functions.text import BLANK, collapse, strip
 from ordermill.schemas import REVENUE
 
 DAY_MICROS = 86_400_000_000
 
-ISO_SECONDS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-DAY_FIRST = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
-# Shapes tried when neither expected format fits, in this order.
-ISO_ANY = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ].*)?)?)?$"
-COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-YEAR_FIRST = r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(.*)$"
-YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(.*)$"
-MONTH_NAMES = ["d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy"]
+# The two formats orders are expected in.
+ISO_SECONDS = (
+    rf"(?U)^{BLANK}*[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}{BLANK}+"
+    rf"[0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}{BLANK}*\z"
+)
+DAY_FIRST = rf"(?U)^{BLANK}*([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){BLANK}*\z"
+# Other shapes and how to bring them into ISO order; the last one stands for no date.
+REARRANGED = [
+    (r"^(\d{4})(\d{2})(\d{2})\z", "$1-$2-$3"),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(.*)\z", "$1-$2-$3$4"),
+    (r"^(0?[1-9]|1[0-2])[-/.](\d{1,2})[-/.](\d{4})(.*)\z", "$3-$1-$2$4"),
+    (r"^(1[3-9]|[23]\d)[-/.](\d{1,2})[-/.](\d{4})(.*)\z", "$3-$2-$1$4"),
+    (r"^\d{5,}.*\z", ""),
+]
+# A day with a month name, the month long or short, first or second.
+MONTH_NAMES = "[d MMM yyyy][d MMMM yyyy][MMM d yyyy][MMMM d yyyy]"
 
 
 def to_number(value: Column) -> Column:
@@ -35,44 +43,47 @@ def to_whole(value: Column) -> Column:
     )
 
 
-def _rearranged(text: Column, pattern: str, iso: str) -> Column:
-    return F.when(
-        text.rlike(pattern), F.regexp_replace(text, pattern, iso).try_cast("timestamp_ntz")
-    )
+def day_first_timestamp(raw: Column) -> Column:
+    """Midnight of a DD-MM-YYYY date; null for any other text."""
+    iso = F.regexp_replace(raw, DAY_FIRST, "$3-$2-$1")
+    return F.when(raw.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
 
 
-def _expected_dates(text: Column) -> tuple[Column, Column]:
-    iso = F.when(text.rlike(ISO_SECONDS), text.try_cast("timestamp_ntz"))
-    return iso, _rearranged(text, DAY_FIRST, "$3-$2-$1")
+def _other_timestamp(raw: Column) -> Column:
+    iso = collapse(strip(raw))
+    named = F.regexp_replace(iso, ",", "")
+    for pattern, order in REARRANGED:
+        iso = F.regexp_replace(iso, pattern, order)
+    by_name = F.try_to_timestamp(F.nullif(named, F.lit("")), F.lit(MONTH_NAMES))
+    return F.coalesce(iso.try_cast("timestamp_ntz"), by_name.cast("timestamp_ntz"))
 
 
 def order_timestamp(raw: Column) -> Column:
     """Parse an order date: ISO with seconds, then DD-MM-YYYY, then the fallback shapes.
 
-    Fallback dates with the year last are read month first, then day first. Text that fits
-    nothing, or names no real day, becomes null.
+    Fallback dates with the year last are read month first, or day first where there is no such
+    month. Text that fits nothing, or names no real day, becomes null. Nearly all rows end with the first branch,
+    which needs no regular expression.
     """
-    text = collapse(strip(raw.cast("string")))
-    plain = F.regexp_replace(text, ",", "")
-    return F.coalesce(
-        *_expected_dates(text),
-        F.when(text.rlike(ISO_ANY), text.try_cast("timestamp_ntz")),
-        _rearranged(text, COMPACT, "$1-$2-$3"),
-        _rearranged(text, YEAR_FIRST, "$1-$2-$3$4"),
-        _rearranged(text, YEAR_LAST, "$3-$1-$2$4"),
-        _rearranged(text, YEAR_LAST, "$3-$2-$1$4"),
-        *[F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in MONTH_NAMES],
+    raw = raw.cast("string")
+    iso = F.when(raw.substr(5, 1) == "-", raw.try_cast("timestamp_ntz"))
+    day_first = day_first_timestamp(raw)
+    return (
+        F.when(iso.isNotNull(), iso)
+        .when(day_first.isNotNull(), day_first)
+        .when(raw.isNotNull(), _other_timestamp(raw))
     )
 
 
 def order_date_class(raw: Column) -> Column:
     """How an order date was read: ``iso``, ``dmy``, ``inferred`` or ``bad``."""
-    iso, day_first = _expected_dates(collapse(strip(raw.cast("string"))))
+    raw = raw.cast("string")
+    moment = order_timestamp(raw)
     return (
-        F.when(iso.isNotNull(), "iso")
-        .when(day_first.isNotNull(), "dmy")
-        .when(order_timestamp(raw).isNotNull(), "inferred")
-        .otherwise("bad")
+        F.when(moment.isNull(), "bad")
+        .when(raw.rlike(ISO_SECONDS), "iso")
+        .when(raw.rlike(DAY_FIRST) & day_first_timestamp(raw).isNotNull(), "dmy")
+        .otherwise("inferred")
     )
 
 

@@ -42,7 +42,7 @@ def clean_orders(raw: DataFrame) -> Cleaned:
     })
     issues = raw.agg(
         F.count("*").alias("total_rows"),
-        F.count_if(values.order_date_class(F.col("order_date")) == "dmy")
+        F.count_if(values.day_first_timestamp(F.col("order_date").cast("string")).isNotNull())
         .alias("wrong_date_format_fixed"),
         F.count_if(missing).alias("null_customer_id_handled"),
     )
