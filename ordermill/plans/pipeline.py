@@ -47,9 +47,11 @@ def write_results(
 def run(spark: SparkSession, raw_folder: str, out_folder: str) -> DataFrame:
     """The whole pipeline; gives the row counts of the loaded tables.
 
-    Clean tables are written once and read back, so no query repeats the cleaning.
+    Raw text is staged and clean tables are written, so that the CSV is parsed once and no query
+    repeats the cleaning.
     """
-    cleaned = clean_tables(files.read_raw_tables(spark, raw_folder))
+    raw = files.stage_raw(files.read_raw_tables(spark, raw_folder), f"{out_folder}/staged")
+    cleaned = clean_tables(raw)
     counts = files.load_tables(cleaned.tables, f"{out_folder}/tables")
     loaded = files.read_tables(spark, f"{out_folder}/tables")
     files.write_clean_csv(loaded, f"{out_folder}/cleaned")

@@ -71,11 +71,27 @@ def test_load_and_clean_csv(spark, shop, tmp_path):
         assert again.orderBy(key).collect() == expected
 
 
+def test_loaded_orders_lie_in_date_order(spark, shop, many_blocks, tmp_path):
+    many = spark.range(400).selectExpr(
+        "string(id) AS order_id", "'A' AS customer_id",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(pmod(id * 37, 400)) AS order_date",
+        "'PLACED' AS status", "'EAST' AS region_code", "0 AS is_guest_order",
+    )
+    files.load_tables(shop._replace(orders=many), f"{tmp_path}/tables")
+    spans = (
+        files.read_tables(spark, f"{tmp_path}/tables").orders
+        .groupBy(F.input_file_name()).agg(F.min("order_date"), F.max("order_date"))
+        .orderBy("min(order_date)").collect()
+    )
+    assert len(spans) > 1
+    assert all(before[2] <= after[1] for before, after in zip(spans, spans[1:]))
+
+
 def test_load_refuses_double_keys(spark, shop, tmp_path):
     twice = shop._replace(orders=shop.orders.unionAll(shop.orders))
     with pytest.raises(ValueError, match="order_id"):
         files.load_tables(twice, f"{tmp_path}/tables")
-    assert not os.path.exists(f"{tmp_path}/tables")
+    assert files.load_tables(twice, f"{tmp_path}/tables", unique_keys=False).count() == 4
 
 
 def test_bucketed_tables_sum_and_join_orders_without_shuffle(spark, settings, shop):
