@@ -29,10 +29,13 @@ def collapse(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capital first letter and small rest for every run of letters.
 
-    ``initcap`` alone only starts a word after a space: it would give ``Non-fiction``.
+    ``initcap`` alone only starts a word after a space: it would give ``Non-fiction``. Plain words
+    take it as a short cut.
     """
     runs = F.regexp_extract_all(text, F.lit(f"([{CASED}]+|[^{CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(text.rlike(r"^[A-Za-z ]*\z"), F.initcap(text)).otherwise(
+        F.array_join(F.transform(runs, F.initcap), "")
+    )
 
 
 def upper_code(text: Column) -> Column:

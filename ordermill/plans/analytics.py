@@ -286,7 +286,7 @@ def category_shift(t: Tables) -> DataFrame:
     First and latest item are kept per order and then per customer, both as combinable
     aggregates. Items of one order are ordered by item id.
     """
-    item = F.struct("order_item_id", "product_id", "category")
+    item = F.struct("order_item_id", "category")
     per_order = (
         t.order_items.select("order_id", "order_item_id", "product_id")
         .join(t.products.select("product_id", "category"), "product_id")
