@@ -264,11 +264,13 @@ def revenue_year_over_year(t: Tables) -> DataFrame:
     monthly = (
         with_revenue(orders, t.order_items).groupBy("y", "m").agg(F.sum("revenue").alias("revenue"))
     )
-    # One row per year in each window; the frame holds just the year before.
+    # One row per year in each window; the frame holds just the year before. Orders without a
+    # date have no year and no such frame.
     year_before = Window.partitionBy("m").orderBy("y").rangeBetween(-1, -1)
+    previous = F.when(F.col("y").isNotNull(), F.max("revenue").over(year_before))
     growth = percent_of(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
     return (
-        monthly.withColumn("prev_revenue", F.max("revenue").over(year_before))
+        monthly.withColumn("prev_revenue", previous)
         .orderBy("y", "m")
         .select(
             F.lpad(F.col("y").cast("string"), 4, "0").alias("year"),

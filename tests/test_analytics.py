@@ -194,6 +194,25 @@ def test_year_over_year(spark):
     ]
 
 
+def test_orders_without_a_date(spark):
+    """An unreadable date keeps its revenue, in a month or day of its own."""
+    undated = order("O1", "a", "2024-05-06 07:08:09")
+    t = tables(
+        spark,
+        orders=[(*undated[:2], None, *undated[3:]), order("O2", "a", "2024-05-06 00:00:00")],
+        items=[item("I1", "O1", "P", 1, 5), item("I2", "O2", "P", 1, 7)],
+    )
+    assert rows(a.revenue_year_over_year(t)) == [
+        (None, None, 5.0, None, None), ("2024", "05", 7.0, None, None)
+    ]
+    assert [(str(d), run) for _, d, _, run in rows(a.running_revenue_by_region(t))] == [
+        ("None", 5.0), ("2024-05-06", 12.0)
+    ]
+    assert rows(a.monthly_orders(t)) == [("2024-05", 1)]
+    assert [r[3] for r in rows(a.order_gaps(t))] == [None, None]
+    assert rows(a.monthly_revenue_bands(t)) == [(None, "Low", 1), ("2024-05", "Low", 1)]
+
+
 def test_category_shift(shop):
     # A's last order holds only an unknown product, so the one before it counts.
     assert rows(a.category_shift(shop)) == [
