@@ -39,7 +39,7 @@ def to_whole(value: Column) -> Column:
     """A whole number (``3``, ``3.0``), or null where the value is none."""
     number = to_number(value)
     return F.coalesce(
-        value.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int"))
+        value.cast("string").try_cast("int"), F.when(number == F.floor(number), number.try_cast("int"))
     )
 
 
@@ -62,8 +62,8 @@ def order_timestamp(raw: Column) -> Column:
     """Parse an order date: ISO with seconds, then DD-MM-YYYY, then the fallback shapes.
 
     Fallback dates with the year last are read month first, or day first where there is no such
-    month. Text that fits nothing, or names no real day, becomes null. Nearly all rows end with the first branch,
-    which needs no regular expression.
+    month. Text that fits nothing, or names no real day, becomes null. Nearly all rows end with
+    the first branch, which needs no regular expression.
     """
     raw = raw.cast("string")
     iso = F.when(raw.substr(5, 1) == "-", raw.try_cast("timestamp_ntz"))

@@ -23,7 +23,7 @@ class Cleaned(NamedTuple):
 
 
 def is_missing(customer_id: Column) -> Column:
-    return customer_id.isNull() | strip(customer_id.cast("string")).isin(MISSING_IDS)
+    return customer_id.isNull() | strip(customer_id).isin(MISSING_IDS)
 
 
 def clean_name(name: Column) -> Column:
@@ -32,10 +32,11 @@ def clean_name(name: Column) -> Column:
 
 def clean_orders(raw: DataFrame) -> Cleaned:
     """Parse order dates, mark guest orders and tidy the codes. No order is dropped."""
-    missing = is_missing(F.col("customer_id"))
+    customer_id = F.col("customer_id").cast("string")
+    missing = is_missing(customer_id)
     rows = raw.withColumns({
         "order_date": values.order_timestamp(F.col("order_date")),
-        "customer_id": F.when(missing, GUEST).otherwise(strip(F.col("customer_id"))),
+        "customer_id": F.when(missing, GUEST).otherwise(strip(customer_id)),
         "status": upper_code(F.col("status")),
         "region_code": upper_code(F.col("region_code")),
         "is_guest_order": missing.cast("int"),

@@ -61,7 +61,8 @@ def top_customers(t: Tables, n: int = 10) -> DataFrame:
     return (
         revenue_per(with_revenue(orders, t.order_items), "customer_id")
         .join(t.customers.select("customer_id", "customer_name"), "customer_id")
-        .select("customer_id", "customer_name", rounded(F.col("revenue")).alias("total_order_value"))
+        .withColumn("total_order_value", rounded(F.col("revenue")))
+        .select("customer_id", "customer_name", "total_order_value")
         .orderBy(F.desc("total_order_value"), "customer_id")
         .limit(n)
     )
