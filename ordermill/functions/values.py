@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -38,9 +39,8 @@ def to_number(value: Column) -> Column:
 def to_whole(value: Column) -> Column:
     """A whole number (``3``, ``3.0``), or null where the value is none."""
     number = to_number(value)
-    return F.coalesce(
-        value.cast("string").try_cast("int"), F.when(number == F.floor(number), number.try_cast("int"))
-    )
+    whole = F.when(number == F.floor(number), number.try_cast("int"))
+    return F.coalesce(value.cast("string").try_cast("int"), whole)
 
 
 def day_first_timestamp(raw: Column) -> Column:
@@ -104,6 +104,11 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.round(ratio, 2)
 
 
+def fixed_moment(moment: dt.datetime) -> Column:
+    """A constant date and time, whatever the time zones of session and driver are."""
+    return F.lit(moment.isoformat(" ")).cast("timestamp_ntz")
+
+
 def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.values import fixed_moment
 from ordermill.operators.clean import Cleaned
 from ordermill.schemas import PRIMARY_KEYS
 
@@ -62,7 +63,7 @@ def key_violations(table: DataFrame, key: str) -> DataFrame:
 
 def future_orders(orders: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """Orders dated after ``as_of`` (default: now). They stay in the table."""
-    moment = F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    moment = F.localtimestamp() if as_of is None else fixed_moment(as_of)
     return orders.filter(F.col("order_date") > moment)
 
 

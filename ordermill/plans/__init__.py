@@ -1 +1 @@
-"""Named queries, the period report and the end-to-end pipeline."""
+"""Named queries, the period report and the run from files to results."""

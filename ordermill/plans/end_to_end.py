@@ -45,7 +45,7 @@ def write_results(
 
 
 def run(spark: SparkSession, raw_folder: str, out_folder: str) -> DataFrame:
-    """The whole pipeline; gives the row counts of the loaded tables.
+    """From raw files to all results; gives the row counts of the loaded tables.
 
     Raw text is staged and clean tables are written, so that the CSV is parsed once and no query
     repeats the cleaning.

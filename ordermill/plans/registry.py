@@ -13,7 +13,7 @@ from ordermill.functions.values import order_date_class
 from ordermill.operators import quality
 from ordermill.operators.clean import clean_order_items, clean_orders, clean_products
 from ordermill.plans import analytics, report
-from ordermill.plans.pipeline import clean_tables, write_results
+from ordermill.plans.end_to_end import clean_tables, write_results
 from ordermill.schemas import PRIMARY_KEYS, Tables
 from ordermill.session import new_scratch
 from ordermill.sources import files, generate, testdata
@@ -142,7 +142,7 @@ def _generated(table: str) -> Query:
     return query
 
 
-def _pipeline(question: Callable[[Tables], DataFrame]) -> Query:
+def _after_cleaning(question: Callable[[Tables], DataFrame]) -> Query:
     """A question over tables that were cleaned from raw text and loaded."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,8 +214,8 @@ def queries() -> dict[str, Query]:
         "table_load_counts": _load,
         "query_result_sink": _stored_result,
         "quality_report_sink": _stored_report,
-        "pipeline_revenue_by_category": _pipeline(analytics.revenue_by_category),
-        "pipeline_value_quartiles": _pipeline(analytics.value_quartiles),
+        "cleaned_revenue_by_category": _after_cleaning(analytics.revenue_by_category),
+        "cleaned_value_quartiles": _after_cleaning(analytics.value_quartiles),
     }
     for table in Tables._fields:
         found[f"generated_{table}"] = _generated(table)

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.values import rounded
+from ordermill.functions.values import fixed_moment, rounded
 from ordermill.plans.analytics import revenue_per
 from ordermill.schemas import Tables
 
@@ -43,7 +43,7 @@ def _within(moment: Column, period: Period) -> Column:
 
 
 def _midnight(day: dt.date) -> Column:
-    return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+    return fixed_moment(dt.datetime.combine(day, dt.time()))
 
 
 # Orders of a period up to this number are broadcast: eight bytes to some tens of bytes each.

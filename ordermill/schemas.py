@@ -77,7 +77,7 @@ def text_schema(table: str) -> str:
 
 
 class Tables(NamedTuple):
-    """The four tables a pipeline step or query works on."""
+    """The four tables a step or query works on."""
 
     customers: DataFrame
     products: DataFrame

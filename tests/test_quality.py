@@ -54,6 +54,15 @@ def test_future_orders(spark):
     assert sorted(r[0] for r in early) == [1, 2]
 
 
+def test_future_orders_ignore_the_session_time_zone(spark, settings):
+    settings(spark__sql__session__timeZone="America/New_York")
+    noon = dt.datetime(2024, 5, 6, 12)
+    orders = spark.createDataFrame(
+        [(1, noon), (2, noon + dt.timedelta(seconds=1))], "order_id int, order_date timestamp_ntz"
+    )
+    assert [r[0] for r in quality.future_orders(orders, noon).collect()] == [2]
+
+
 def test_hot_orphan_key_is_split(spark, settings):
     """A third of the items name one missing order; the join splits that partition."""
     settings(

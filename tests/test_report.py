@@ -53,6 +53,11 @@ def test_summary(shop, limit):
     assert found == [("now", 4, 37.5, 2)]
 
 
+def test_summary_ignores_the_session_time_zone(shop, settings):
+    settings(spark__sql__session__timeZone="America/New_York")
+    assert rows(report.period_summaries(shop, {"now": JANUARY})) == [("now", 4, 37.5, 2)]
+
+
 @pytest.mark.parametrize("limit", [0, report.BROADCAST_ORDERS])
 def test_top_products_by_name(shop, limit):
     assert rows(report.top_products(shop, JANUARY, broadcast_orders=limit)) == [

@@ -15,7 +15,7 @@ QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 CHECKED = [
     name for name in QUERIES
-    if name.startswith(("q0", "q1", "orphan", "items_without", "key_", "period_", "pipeline_"))
+    if name.startswith(("q0", "q1", "orphan", "items_without", "key_", "period_", "cleaned_"))
 ]
 
 SKEWED = {

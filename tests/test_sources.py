@@ -1,4 +1,4 @@
-"""Files, loads, generated tables and the whole pipeline."""
+"""Files, loads, generated tables and a whole run."""
 
 import datetime as dt
 import os
@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ordermill.operators import clean, quality
-from ordermill.plans import pipeline
+from ordermill.plans import end_to_end
 from ordermill.plans.analytics import QUESTIONS, running_revenue_by_region, value_quartiles
 from ordermill.schemas import CLEAN_TYPES, PRIMARY_KEYS, Tables
 from ordermill.sources import files, generate
@@ -182,7 +182,7 @@ def test_large_ids_keep_all_digits(spark):
     assert generate.products(big).first().product_id == "P123456789012"
 
 
-def test_pipeline(spark, tmp_path):
+def test_whole_run(spark, tmp_path):
     raw = Tables(
         generate.customers(ids(spark, 500)),
         generate.products(ids(spark, 500)),
@@ -190,7 +190,7 @@ def test_pipeline(spark, tmp_path):
         generate.order_items(ids(spark, 1_800), 800, 500),
     )
     files.write_clean_csv(raw, f"{tmp_path}/raw")
-    counts = dict(pipeline.run(spark, f"{tmp_path}/raw", f"{tmp_path}/out").collect())
+    counts = dict(end_to_end.run(spark, f"{tmp_path}/raw", f"{tmp_path}/out").collect())
     report = spark.read.options(**files.CSV_OPTIONS).csv(f"{tmp_path}/out/data_quality_report.csv")
     figures = {(r.table_name, r.metric): r.value for r in report.collect()}
     assert counts["customers"] == counts["products"] == 500
