@@ -203,7 +203,7 @@ def split_hot(
 
     One count per key decides which keys are hot. There can be no more than (table rows /
     ``hot_rows``) of them, which keeps their broadcast small. Without any, the plan is just
-    ``plain(rows)``: a single shuffle.
+    ``plain(rows)``: a single shuffle. Keys must not be null.
     """
     shared_folder(rows.sparkSession)
     hot = (
