@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import BLANK, collapse, strip
-from ordermill.schemas import REVENUE
+from ordermill.schemas import NUMBER, REVENUE
 
 DAY_MICROS = 86_400_000_000
 
@@ -19,28 +19,34 @@ ISO_SECONDS = (
     rf"[0-9]{{1,2}}:[0-9]{{1,2}}:[0-9]{{1,2}}{BLANK}*\z"
 )
 DAY_FIRST = rf"(?U)^{BLANK}*([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){BLANK}*\z"
-# Other shapes and how to bring them into ISO order; the last one stands for no date.
+# Other shapes and how to bring them into ISO order; the last one stands for no date. Years of two
+# digits are those from 1969 to 2068.
 REARRANGED = [
     (r"^(\d{4})(\d{2})(\d{2})\z", "$1-$2-$3"),
     (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(.*)\z", "$1-$2-$3$4"),
+    (r"^(\d{1,2})([-/.])(\d{1,2})\2(69|[7-9]\d)(\D.*)?\z", "$1$2$3$219$4$5"),
+    (r"^(\d{1,2})([-/.])(\d{1,2})\2([0-6]\d)(\D.*)?\z", "$1$2$3$220$4$5"),
     (r"^(0?[1-9]|1[0-2])[-/.](\d{1,2})[-/.](\d{4})(.*)\z", "$3-$1-$2$4"),
     (r"^(1[3-9]|[23]\d)[-/.](\d{1,2})[-/.](\d{4})(.*)\z", "$3-$2-$1$4"),
     (r"^\d{5,}.*\z", ""),
 ]
+WEEKDAY = r"^(?i)(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?\.?,? +"
+# What stands between the parts of a date with a month name, and after its day.
+NAME_MARKS = r"(?<=\p{L})[-/.]+ ?|[-/.](?=\p{L})|,|(?<=\d)(st|nd|rd|th)\b"
 # A day with a month name, the month long or short, first or second.
-MONTH_NAMES = "[d MMM yyyy][d MMMM yyyy][MMM d yyyy][MMMM d yyyy]"
+NAMED_DAYS = ["d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy"]
+CLOCKS = ["[ H:mm:ss][ H:mm]", " h:mm[:ss] a"]
 
 
 def to_number(value: Column) -> Column:
-    """A number, or null where the text is none (NaN included)."""
-    return value.try_cast("decimal(24,6)")
+    """A number with up to six decimals, or null where the text is none (NaN included)."""
+    return value.try_cast(NUMBER)
 
 
-def to_whole(value: Column) -> Column:
-    """A whole number (``3``, ``3.0``), or null where the value is none."""
-    number = to_number(value)
-    whole = F.when(number == F.floor(number), number.try_cast("int"))
-    return F.coalesce(value.cast("string").try_cast("int"), whole)
+def to_double(value: Column) -> Column:
+    """A number of any size, infinite ones included, or null where the text is none."""
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def day_first_timestamp(raw: Column) -> Column:
@@ -50,12 +56,22 @@ def day_first_timestamp(raw: Column) -> Column:
 
 
 def _other_timestamp(raw: Column) -> Column:
-    iso = collapse(strip(raw))
-    named = F.regexp_replace(iso, ",", "")
+    iso = F.regexp_replace(collapse(strip(raw)), WEEKDAY, "")
+    iso = F.regexp_replace(iso, r"(?i) ?([ap])\.?m\.?\z", " $1M")
+    named = strip(collapse(F.regexp_replace(iso, NAME_MARKS, " ")))
     for pattern, order in REARRANGED:
         iso = F.regexp_replace(iso, pattern, order)
-    by_name = F.try_to_timestamp(F.nullif(named, F.lit("")), F.lit(MONTH_NAMES))
-    return F.coalesce(iso.try_cast("timestamp_ntz"), by_name.cast("timestamp_ntz"))
+
+    def read(text: Column, pattern: str) -> Column:
+        return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(pattern)).cast("timestamp_ntz")
+
+    by_clock = read(iso, "yyyy-M-d" + CLOCKS[1])
+    by_name = [read(named, "".join(f"[{day}]" for day in NAMED_DAYS) + c) for c in CLOCKS]
+    return F.coalesce(
+        iso.try_cast("timestamp_ntz"),
+        F.when(iso.rlike(r"[apAP]M\z"), by_clock),
+        F.when(named.rlike(r"\p{L}{3}"), F.coalesce(*by_name)),
+    )
 
 
 def order_timestamp(raw: Column) -> Column:
@@ -88,9 +104,9 @@ def order_date_class(raw: Column) -> Column:
 
 
 def net_revenue(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
-    """Signed quantity times price less discount: a return counts negative."""
+    """Signed quantity times price less discount, to six decimals: a return counts negative."""
     kept = (F.lit(100) - discount_percent) * F.lit(Decimal("0.01"))
-    return (quantity * unit_price * kept).cast(REVENUE)
+    return F.try_multiply(F.try_multiply(quantity, unit_price), kept).try_cast(REVENUE)
 
 
 def rounded(amount: Column, digits: int = 2) -> Column:

@@ -12,8 +12,6 @@ a plan runs. The placed rows are therefore checkpointed once, and every later pa
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,7 +81,11 @@ def ntile(rows: DataFrame, tiles: int, order: list[Column], name: str) -> DataFr
 def running_total(
     rows: DataFrame, value: str, order: list[Column], name: str, total: str
 ) -> DataFrame:
-    """Running and grand total of ``value`` over the whole table."""
+    """Running and grand total of ``value`` over the whole table.
+
+    The result keeps ``order``: blocks are range partitioned once, which serves the window and the
+    order.
+    """
     placed = place(rows, order)
     sums = placed.groupBy(BLOCK).agg(F.sum(value).alias("__sum"))
     offsets = sums.select(
@@ -95,8 +97,10 @@ def running_total(
         Window.partitionBy(BLOCK).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        placed.withColumn("__local", local)
+        placed.repartitionByRange(BLOCK)
+        .withColumn("__local", local)
         .join(F.broadcast(offsets), BLOCK)  # one row per block
+        .orderBy(BLOCK, PLACE)
         .withColumn(
             name, F.coalesce(F.col("__before") + F.col("__local"), "__local", "__before")
         )
@@ -143,77 +147,14 @@ def dense_rank(
     )
 
 
-def neighbours(
-    rows: DataFrame, group: list[str], order: list[str], shown: list[str], previous: str, next: str
+def salted_join(
+    rows: DataFrame, side: DataFrame, key: str, spread_by: str, salts: int = 16
 ) -> DataFrame:
-    """Adds the columns ``shown`` of the row before and after, as structs; null at the ends."""
-    placed = _placed_groups(rows, group, [F.asc(c) for c in order])
-    row = F.struct(*shown)
-    within = Window.partitionBy(BLOCK, GROUP).orderBy(PLACE)
-    ends = placed.groupBy(BLOCK, GROUP).agg(
-        F.min_by(row, PLACE).alias("__first"), F.max_by(row, PLACE).alias("__last")
-    )
-    across = Window.partitionBy(GROUP).orderBy(BLOCK)  # at most one row per block
-    edges = ends.select(
-        BLOCK,
-        GROUP,
-        F.lag("__last").over(across).alias("__before"),
-        F.lead("__first").over(across).alias("__after"),
-    )
-    return (
-        placed.withColumn(previous, F.lag(row).over(within))
-        .withColumn(next, F.lead(row).over(within))
-        .join(edges, [BLOCK, GROUP])
-        .withColumn(previous, F.coalesce(previous, "__before"))
-        .withColumn(next, F.coalesce(next, "__after"))
-        .drop("__before", "__after", BLOCK, PLACE, GROUP)
-    )
-
+    """Inner join of many rows to a side with unique keys; a hot key is dealt over ``salts`` tasks.
 
-def row_number(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
-    """``ROW_NUMBER`` per group, from 1."""
-    placed = _placed_groups(rows, group, [F.asc(c) for c in order])
-    counts = placed.groupBy(BLOCK, GROUP).agg(
-        F.count("*").alias("__rows"), F.min(PLACE).alias("__start")
-    )
-    across = Window.partitionBy(GROUP).orderBy(BLOCK)  # at most one row per block
-    earlier = F.sum("__rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(
-        BLOCK, GROUP, (F.coalesce(earlier, F.lit(0)) - F.col("__start")).alias("__offset")
-    )
-    return (
-        placed.join(offsets, [BLOCK, GROUP])
-        .withColumn(name, F.col(PLACE) + F.col("__offset") + 1)
-        .drop("__offset", BLOCK, PLACE, GROUP)
-    )
-
-
-# A window task sorts and holds one group; beyond this many rows a group is split into blocks.
-HOT_ROWS = 2_000_000
-
-
-def split_hot(
-    rows: DataFrame,
-    key: str,
-    plain: Callable[[DataFrame], DataFrame],
-    split: Callable[[DataFrame], DataFrame],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``plain`` for the rows of ordinary keys, ``split`` for those of keys above ``hot_rows``.
-
-    One count per key decides which keys are hot. There can be no more than (table rows /
-    ``hot_rows``) of them, which keeps their broadcast small. Without any, the plan is just
-    ``plain(rows)``: a single shuffle. Keys must not be null.
+    The side is repeated ``salts`` times, whatever the keys' shares are.
     """
-    shared_folder(rows.sparkSession)
-    hot = (
-        rows.groupBy(key).agg(F.count("*").alias("__rows"))
-        .filter(F.col("__rows") > hot_rows)
-        .select(key)
-        .checkpoint()
-    )
-    if hot.isEmpty():
-        return plain(rows)
-    cold_rows = rows.join(F.broadcast(hot), key, "left_anti")
-    hot_rows_only = rows.join(F.broadcast(hot), key, "left_semi")
-    return plain(cold_rows).unionByName(split(hot_rows_only))
+    salt = "__salt"
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return dealt.join(side.withColumn(salt, every), [key, salt]).drop(salt)

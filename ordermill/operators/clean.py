@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import values
 from ordermill.functions.text import collapse, strip, title_case, upper_code
-from ordermill.schemas import GUEST, MONEY, PERCENT
+from ordermill.schemas import GUEST, PERCENT
 
-# Customer ids that stand for "no customer".
+# The metric names of the counts below, and customer ids that stand for "no customer".
 MISSING_IDS = ["", "nan", "NULL", "None"]
 
 
@@ -57,7 +57,7 @@ def clean_products(raw: DataFrame) -> Cleaned:
         "product_name": clean_name(name),
         "category": title_case(strip(F.col("category"))),
         "subcategory": title_case(strip(F.col("subcategory"))),
-        "cost_price": values.to_number(F.col("cost_price")).try_cast(MONEY),
+        "cost_price": values.to_number(F.col("cost_price")),
     })
     # Padding alone is no change; a missing name counts as one.
     changed = name.isNull() | (strip(name) != clean_name(name))
@@ -90,12 +90,15 @@ def with_measures(items: DataFrame) -> DataFrame:
 
 
 def clean_order_items(raw: DataFrame) -> Cleaned:
-    """Numbers from text, discounts within 0..100, transaction type and signed revenue."""
-    quantity = values.to_whole(F.col("quantity"))
-    discount = values.to_number(F.col("discount_percent"))
+    """Numbers from text, discounts within 0..100, transaction type and signed revenue.
+
+    A discount is capped before it is typed, so one of any size, infinite ones too, becomes 100.
+    """
+    quantity = values.to_number(F.col("quantity"))
+    discount = values.to_double(F.col("discount_percent"))
     rows = with_measures(raw.withColumns({
         "quantity": quantity,
-        "unit_price": values.to_number(F.col("unit_price")).try_cast(MONEY),
+        "unit_price": values.to_number(F.col("unit_price")),
         "discount_percent": clamp_percent(discount).cast(PERCENT),
     }))
     issues = raw.agg(

@@ -9,7 +9,9 @@ Guest orders share one customer id. Questions about single customers leave them
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ordermill.functions.values import (
@@ -21,6 +23,18 @@ from ordermill.schemas import GUEST, Tables
 QUARTILE_LABELS = ["Platinum", "Gold", "Silver", "Bronze"]
 
 
+class Sums(NamedTuple):
+    """What most questions need of order items: one row per order with items, and per product.
+
+    ``orders``: order_id, customer_id, order_date, region_code, revenue. ``products``: product_id,
+    revenue, pieces, bought, returned. A run stores both once; else each question sums the columns
+    it needs.
+    """
+
+    orders: DataFrame
+    products: DataFrame
+
+
 def revenue_per(items: DataFrame, key: str) -> DataFrame:
     return items.groupBy(key).agg(F.sum("revenue").alias("revenue"))
 
@@ -30,24 +44,35 @@ def with_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(revenue_per(items, "order_id"), "order_id")
 
 
+def pieces_if(kind: str) -> Column:
+    return F.sum(F.when(F.col("transaction_type") == kind, F.col("quantity_abs")).otherwise(0))
+
+
+def sums(t: Tables) -> Sums:
+    orders = t.orders.select("order_id", "customer_id", "order_date", "region_code")
+    return Sums(
+        with_revenue(orders, t.order_items),
+        t.order_items.groupBy("product_id").agg(
+            F.sum("revenue").alias("revenue"), F.sum("quantity_abs").alias("pieces"),
+            pieces_if("PURCHASE").alias("bought"), pieces_if("RETURN").alias("returned"),
+        ),
+    )
+
+
 def known_customers(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("customer_id") != GUEST)
 
 
-def revenue_per_customer(t: Tables) -> DataFrame:
+def revenue_per_customer(s: Sums) -> DataFrame:
     """Lifetime revenue of each known customer."""
-    orders = known_customers(t.orders).select("order_id", "customer_id")
-    return revenue_per(with_revenue(orders, t.order_items), "customer_id")
-
-
-def sum_if(kind: str) -> Column:
-    return F.sum(F.when(F.col("transaction_type") == kind, F.col("quantity_abs")).otherwise(0))
+    return revenue_per(known_customers(s.orders), "customer_id")
 
 
-def revenue_by_category(t: Tables) -> DataFrame:
+def revenue_by_category(t: Tables, s: Sums | None = None) -> DataFrame:
     """Total revenue per product category."""
+    s = s or sums(t)
     return (
-        revenue_per(t.order_items, "product_id")
+        s.products.select("product_id", "revenue")
         .join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category")
         .agg(rounded(F.sum("revenue")).alias("total_revenue"))
@@ -55,11 +80,11 @@ def revenue_by_category(t: Tables) -> DataFrame:
     )
 
 
-def top_customers(t: Tables, n: int = 10) -> DataFrame:
+def top_customers(t: Tables, s: Sums | None = None, n: int = 10) -> DataFrame:
     """Customers with the highest total order value."""
-    orders = t.orders.select("order_id", "customer_id")
+    s = s or sums(t)
     return (
-        revenue_per(with_revenue(orders, t.order_items), "customer_id")
+        revenue_per(s.orders, "customer_id")
         .join(t.customers.select("customer_id", "customer_name"), "customer_id")
         .withColumn("total_order_value", rounded(F.col("revenue")))
         .select("customer_id", "customer_name", "total_order_value")
@@ -68,7 +93,7 @@ def top_customers(t: Tables, n: int = 10) -> DataFrame:
     )
 
 
-def monthly_orders(t: Tables) -> DataFrame:
+def monthly_orders(t: Tables, s: Sums | None = None) -> DataFrame:
     """Orders per month from twelve months before the latest order date on.
 
     29 February, which the year before may lack, counts as 1 March there.
@@ -84,7 +109,7 @@ def monthly_orders(t: Tables) -> DataFrame:
     )
 
 
-def customers_never_delivered(t: Tables) -> DataFrame:
+def customers_never_delivered(t: Tables, s: Sums | None = None) -> DataFrame:
     """Customers with orders, none of them delivered."""
     counted = t.orders.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
@@ -98,45 +123,46 @@ def customers_never_delivered(t: Tables) -> DataFrame:
     )
 
 
-def returned_more_than_bought(t: Tables) -> DataFrame:
+def returned_more_than_bought(t: Tables, s: Sums | None = None) -> DataFrame:
     """Products with more pieces returned than bought."""
+    s = s or sums(t)
     return (
-        t.order_items.groupBy("product_id")
-        .agg(sum_if("PURCHASE").alias("purchase_qty"), sum_if("RETURN").alias("return_qty"))
-        .filter("return_qty > purchase_qty")
+        s.products.select("product_id", "bought", "returned")
+        .filter("returned > bought")
         .join(t.products.select("product_id", "product_name"), "product_id")
-        .select("product_id", "product_name", "purchase_qty", "return_qty")
+        .select(
+            "product_id", "product_name", F.col("bought").cast("double").alias("purchase_qty"),
+            F.col("returned").cast("double").alias("return_qty"),
+        )
         .orderBy(F.desc("return_qty"), "product_id")
     )
 
 
-def return_rate_by_category(t: Tables) -> DataFrame:
+def return_rate_by_category(t: Tables, s: Sums | None = None) -> DataFrame:
     """Returned pieces in percent of all pieces, per category."""
-    per_product = t.order_items.groupBy("product_id").agg(
-        F.sum("quantity_abs").alias("pieces"), sum_if("RETURN").alias("returned")
-    )
+    s = s or sums(t)
+    rate = percent_of(F.col("returned_items"), F.col("total_items"))
     return (
-        per_product.join(t.products.select("product_id", "category"), "product_id")
+        s.products.select("product_id", "pieces", "returned")
+        .join(t.products.select("product_id", "category"), "product_id")
         .groupBy("category")
-        .agg(F.sum("pieces").alias("total_items"), F.sum("returned").alias("returned_items"))
-        .withColumn(
-            "return_rate_percent", percent_of(F.col("returned_items"), F.col("total_items"))
+        .agg(
+            F.sum("pieces").cast("double").alias("total_items"),
+            F.sum("returned").cast("double").alias("returned_items"),
         )
+        .withColumn("return_rate_percent", rate)
         .orderBy(F.desc("return_rate_percent"), "category")
     )
 
 
-def running_revenue_by_region(t: Tables) -> DataFrame:
+def running_revenue_by_region(t: Tables, s: Sums | None = None) -> DataFrame:
     """Daily revenue per region and its running total.
 
     The window sees one row per region and calendar day, never single orders.
     """
-    orders = t.orders.select(
-        "order_id", "region_code", F.to_date("order_date").alias("order_date")
-    )
+    s = s or sums(t)
     daily = (
-        with_revenue(orders, t.order_items)
-        .groupBy("region_code", "order_date")
+        s.orders.groupBy("region_code", F.to_date("order_date").alias("order_date"))
         .agg(F.sum("revenue").alias("revenue"))
     )
     until_today = (
@@ -151,13 +177,14 @@ def running_revenue_by_region(t: Tables) -> DataFrame:
     ).orderBy("region_code", "order_date")
 
 
-def product_rank_in_category(t: Tables) -> DataFrame:
+def product_rank_in_category(t: Tables, s: Sums | None = None) -> DataFrame:
     """Product names ranked by revenue within their category; equal revenues share a rank.
 
     A category may hold most products, so ranks are taken in blocks.
     """
+    s = s or sums(t)
     revenue = (
-        revenue_per(t.order_items, "product_id")
+        s.products.select("product_id", "revenue")
         .join(t.products.select("product_id", "category", "product_name"), "product_id")
         .groupBy("category", "product_name")
         .agg(F.sum("revenue").alias("revenue"))
@@ -171,62 +198,93 @@ def product_rank_in_category(t: Tables) -> DataFrame:
     ).orderBy("category", "rank_in_category", "product_name")
 
 
-def order_gaps(
-    t: Tables, risk_days: int = 30, hot_rows: int = blocks.HOT_ROWS
-) -> DataFrame:
-    """Days since the customer's previous order, and churn risk from the average gap.
+MONTH = "__month"
+CARRIED = "__carried"
+
+
+def _by_month(t: Tables) -> DataFrame:
+    """Orders of known customers with their month, which splits busy customers into blocks."""
+    return known_customers(t.orders).select(
+        "customer_id", "order_date", "order_id", F.trunc("order_date", "month").alias(MONTH)
+    )
+
+
+def _months(orders: DataFrame) -> DataFrame:
+    """One row per customer and month: number of orders, first and last, dated ones."""
+    row = F.struct("order_date", "order_id")
+    return orders.groupBy("customer_id", MONTH).agg(
+        F.count("*").alias("orders"), F.min(row).alias("first"), F.max(row).alias("last"),
+        F.min("order_date").alias("low"), F.max("order_date").alias("high"),
+        F.count("order_date").alias("dated"),
+    )
+
 
-    A customer with a single order has no gap and counts as active.
+def _months_window() -> WindowSpec:
+    """A window that sees a customer's months, never single orders."""
+    return Window.partitionBy("customer_id")
+
+
+def _block_window() -> WindowSpec:
+    return Window.partitionBy("customer_id", MONTH)
+
+
+def _in_blocks(orders: DataFrame, carried: DataFrame) -> DataFrame:
+    """Orders and the rows carried into their blocks, placed by customer and month.
+
+    A carried row has what a block must know of the months around it. The placing serves windows
+    per block and the final order by customer, month and date, so orders move only once.
     """
-    orders = known_customers(t.orders).select("customer_id", "order_date", "order_id")
-    gap = micros_between(F.col("previous_order_date"), F.col("order_date"))
+    return (
+        orders.withColumn(CARRIED, F.lit(False))
+        .unionByName(carried.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
+        .repartitionByRange("customer_id", MONTH)
+    )
 
-    def plain(rows: DataFrame) -> DataFrame:
-        customer = Window.partitionBy("customer_id")
-        previous = F.lag("order_date").over(customer.orderBy("order_date", "order_id"))
-        return (
-            rows.repartitionByRange("customer_id")  # serves the window and the final sort
-            .withColumn("previous_order_date", previous)
-            .withColumn("gap", gap)
-            .withColumn("average_gap", F.avg("gap").over(customer))
-        )
 
-    def split(rows: DataFrame) -> DataFrame:
-        gaps = (
-            blocks.neighbours(
-                rows, ["customer_id"], ["order_date", "order_id"], ["order_date"], "before", "after"
-            )
-            .withColumn("previous_order_date", F.col("before.order_date"))
-            .withColumn("gap", gap)
-            .drop("before", "after")
-        )
-        average = gaps.groupBy("customer_id").agg(F.avg("gap").alias("average_gap"))
-        return gaps.join(F.broadcast(average), "customer_id")  # one row per hot customer
+BLOCK_ORDER = ["customer_id", MONTH, "order_date", "order_id"]
 
-    at_risk = F.col("average_gap") > risk_days * DAY_MICROS
+
+def order_gaps(t: Tables, s: Sums | None = None, risk_days: int = 30) -> DataFrame:
+    """Days since the customer's previous order, and churn risk from the average gap.
+
+    The gaps of a customer add up to the time between the first and the latest dated order, so the
+    average needs no gap. A customer with a single order has none and counts as active.
+    """
+    orders = _by_month(t)
+    dated = F.sum("dated").over(_months_window())
+    every = _months_window()
+    total = micros_between(F.min("low").over(every), F.max("high").over(every))
+    before = F.lag("last").over(_months_window().orderBy(MONTH))
+    carried = _months(orders).select(
+        "customer_id", MONTH,
+        before["order_date"].alias("order_date"), before["order_id"].alias("order_id"),
+        (total > risk_days * DAY_MICROS * (dated - 1)).alias("at_risk"),
+    )
+    gap = micros_between(F.col("previous_order_date"), F.col("order_date"))
     return (
-        blocks.split_hot(orders, "customer_id", plain, split, hot_rows)
-        .orderBy("customer_id", "order_date", "order_id")
+        _in_blocks(orders, carried)
+        .withColumn("previous_order_date", F.lag("order_date").over(_block_window().orderBy("order_date", "order_id")))
+        .withColumn("at_risk", F.max("at_risk").over(_block_window()))
+        .filter(~F.col(CARRIED))
+        .orderBy(*BLOCK_ORDER)
         .select(
             "customer_id",
             "order_date",
             "previous_order_date",
-            days(F.col("gap")).alias("days_gap"),
-            F.when(at_risk, "At Risk").otherwise("Active").alias("risk_status"),
+            days(gap).alias("days_gap"),
+            F.when(F.col("at_risk"), "At Risk").otherwise("Active").alias("risk_status"),
         )
     )
 
 
 def monthly_revenue_bands(
-    t: Tables, high_above: float = 10_000, medium_from: float = 5_000
+    t: Tables, s: Sums | None = None, high_above: float = 10_000, medium_from: float = 5_000
 ) -> DataFrame:
     """Customers per month and revenue band."""
-    orders = known_customers(t.orders).select(
-        "order_id", "customer_id", month_label(F.col("order_date")).alias("year_month")
-    )
+    s = s or sums(t)
     monthly = (
-        with_revenue(orders, t.order_items)
-        .groupBy("customer_id", "year_month")
+        known_customers(s.orders)
+        .groupBy("customer_id", month_label(F.col("order_date")).alias("year_month"))
         .agg(F.sum("revenue").alias("revenue"))
     )
     band = (
@@ -242,10 +300,10 @@ def monthly_revenue_bands(
     )
 
 
-def value_quartiles(t: Tables) -> DataFrame:
+def value_quartiles(t: Tables, s: Sums | None = None) -> DataFrame:
     """Customers in four groups of equal size by lifetime value."""
     tiled = blocks.ntile(
-        revenue_per_customer(t), 4, [F.desc("revenue"), F.asc("customer_id")], "quartile"
+        revenue_per_customer(s or sums(t)), 4, [F.desc("revenue"), F.asc("customer_id")], "quartile"
     )
     labels = F.array(*[F.lit(label) for label in QUARTILE_LABELS])
     # The rows already come in the order they were ranked by.
@@ -257,14 +315,11 @@ def value_quartiles(t: Tables) -> DataFrame:
     )
 
 
-def revenue_year_over_year(t: Tables) -> DataFrame:
+def revenue_year_over_year(t: Tables, s: Sums | None = None) -> DataFrame:
     """Each month's revenue next to that of the same month a year earlier."""
-    orders = t.orders.select(
-        "order_id", F.year("order_date").alias("y"), F.month("order_date").alias("m")
-    )
-    monthly = (
-        with_revenue(orders, t.order_items).groupBy("y", "m").agg(F.sum("revenue").alias("revenue"))
-    )
+    s = s or sums(t)
+    year, month = F.year("order_date").alias("y"), F.month("order_date").alias("m")
+    monthly = s.orders.groupBy(year, month).agg(F.sum("revenue").alias("revenue"))
     # One row per year in each window; the frame holds just the year before. Orders without a
     # date have no year and no such frame.
     year_before = Window.partitionBy("m").orderBy("y").rangeBetween(-1, -1)
@@ -283,16 +338,18 @@ def revenue_year_over_year(t: Tables) -> DataFrame:
     )
 
 
-def category_shift(t: Tables) -> DataFrame:
+def category_shift(t: Tables, s: Sums | None = None) -> DataFrame:
     """Category of each customer's first and latest purchase.
 
     First and latest item are kept per order and then per customer, both as combinable
-    aggregates. Items of one order are ordered by item id.
+    aggregates. Items of one order are ordered by item id. Items meet the products one by one, as
+    items of unknown products do not count; a hot product is dealt over several tasks.
     """
     item = F.struct("order_item_id", "category")
+    items = t.order_items.select("order_id", "order_item_id", "product_id")
+    products = t.products.select("product_id", "category")
     per_order = (
-        t.order_items.select("order_id", "order_item_id", "product_id")
-        .join(t.products.select("product_id", "category"), "product_id")
+        blocks.salted_join(items, products, "product_id", spread_by="order_item_id")
         .groupBy("order_id")
         .agg(F.min(item).alias("first_item"), F.max(item).alias("last_item"))
     )
@@ -312,16 +369,17 @@ def category_shift(t: Tables) -> DataFrame:
     )
 
 
-def cumulative_revenue_share(t: Tables) -> DataFrame:
+def cumulative_revenue_share(t: Tables, s: Sums | None = None) -> DataFrame:
     """Running share of total revenue, from the best customer down."""
+    # The rows already come in the order they were summed by.
     running = blocks.running_total(
-        revenue_per_customer(t),
+        revenue_per_customer(s or sums(t)),
         "revenue",
         [F.desc("revenue"), F.asc("customer_id")],
         "cumulative",
         "total",
     )
-    return running.orderBy(F.desc("revenue"), "customer_id").select(
+    return running.select(
         "customer_id",
         rounded(F.col("revenue")).alias("revenue"),
         rounded(F.col("cumulative")).alias("cumulative_revenue"),
@@ -333,13 +391,14 @@ def month_index(moment: Column) -> Column:
     return F.year(moment) * 12 + F.month(moment)
 
 
-def cohort_retention(t: Tables, last_month: int = 3) -> DataFrame:
+def cohort_retention(t: Tables, s: Sums | None = None, last_month: int = 3) -> DataFrame:
     """Share of each registration month's customers with orders in the months after."""
     registered = F.col("registration_date")
+    # One row per customer and cohort, also where a load let a customer in twice.
     cohorts = t.customers.select(
         "customer_id", month_label(registered).alias("cohort_month"),
         month_index(registered).alias("start"),
-    )
+    ).distinct()
     # One row per customer and month, however many orders there are.
     active = (
         known_customers(t.orders)
@@ -370,7 +429,7 @@ def cohort_retention(t: Tables, last_month: int = 3) -> DataFrame:
 
 def _next_order_columns(rows: DataFrame) -> DataFrame:
     wait = micros_between(F.col("order_date"), F.col("next.order_date"))
-    return rows.orderBy("customer_id", "order_date", "order_id").select(
+    return rows.orderBy(*BLOCK_ORDER).select(
         "customer_id",
         F.col("order_id").alias("current_order_id"),
         F.col("order_date").alias("current_order_date"),
@@ -380,39 +439,34 @@ def _next_order_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def next_order(t: Tables, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
+def next_order(t: Tables, s: Sums | None = None) -> DataFrame:
     """Each customer order with the order that follows it."""
-    orders = known_customers(t.orders).select("customer_id", "order_date", "order_id")
-    shown = ["order_id", "order_date"]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        customer = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
-        return (
-            rows.repartitionByRange("customer_id")  # serves the window and the final sort
-            .withColumn("next", F.lead(F.struct(*shown)).over(customer))
-        )
-
-    def split(rows: DataFrame) -> DataFrame:
-        return blocks.neighbours(
-            rows, ["customer_id"], ["order_date", "order_id"], shown, "before", "next"
-        ).drop("before")
-
-    return _next_order_columns(blocks.split_hot(orders, "customer_id", plain, split, hot_rows))
+    orders = _by_month(t)
+    after = F.lead("first").over(_months_window().orderBy(MONTH))
+    # The next month's first order stands at the end of a month's block.
+    carried = _months(orders).select("customer_id", MONTH, after.alias("after")).filter(
+        "after IS NOT NULL").select("customer_id", MONTH, "after.order_date", "after.order_id")
+    following = F.lead(F.struct("order_id", "order_date")).over(_block_window().orderBy("order_date", "order_id"))
+    return _next_order_columns(
+        _in_blocks(orders, carried).withColumn("next", following).filter(~F.col(CARRIED))
+    )
 
 
-def next_order_by_self_join(t: Tables, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
+def next_order_by_self_join(t: Tables, s: Sums | None = None) -> DataFrame:
     """``next_order`` by numbering the orders and joining each to the one numbered after it."""
-    orders = known_customers(t.orders).select("customer_id", "order_date", "order_id")
-    order = ["order_date", "order_id"]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        customer = Window.partitionBy("customer_id").orderBy(*order)
-        return rows.withColumn("n", F.row_number().over(customer).cast("bigint"))
-
-    def split(rows: DataFrame) -> DataFrame:
-        return blocks.row_number(rows, ["customer_id"], order, "n")
-
-    numbered = blocks.split_hot(orders, "customer_id", plain, split, hot_rows)
+    orders = _by_month(t)
+    before = _months_window().orderBy(MONTH).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.sum("orders").over(before)
+    carried = _months(orders).select(
+        "customer_id", MONTH, F.coalesce(earlier, F.lit(0)).alias("earlier")
+    )
+    place = F.row_number().over(
+        _block_window().orderBy(F.desc(CARRIED), "order_date", "order_id"))
+    numbered = (
+        _in_blocks(orders, carried)
+        .withColumn("n", F.max("earlier").over(_block_window()) + place - 1)
+        .filter(~F.col(CARRIED)).drop("earlier", CARRIED)
+    )
     following = numbered.select(
         "customer_id",
         (F.col("n") - 1).alias("n"),

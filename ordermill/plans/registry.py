@@ -13,7 +13,8 @@ from ordermill.functions.values import order_date_class
 from ordermill.operators import quality
 from ordermill.operators.clean import clean_order_items, clean_orders, clean_products
 from ordermill.plans import analytics, report
-from ordermill.plans.end_to_end import clean_tables, write_results
+from ordermill.plans.analytics import QUESTIONS
+from ordermill.plans.end_to_end import clean_tables, store_sums, write_results
 from ordermill.schemas import PRIMARY_KEYS, Tables
 from ordermill.session import new_scratch
 from ordermill.sources import files, generate, testdata
@@ -27,6 +28,9 @@ MEDIUM_FROM = 50_000
 AS_OF = dt.datetime(2000, 1, 1)
 PERIOD = report.parse_period("1998-01-01", "1998-01-31")
 FIRST_PERIOD = report.parse_period("1995-01-01", "1995-01-31")
+EMPTY_PERIOD = report.parse_period("2030-01-01", "2030-01-31")
+WEEK = report.parse_period("1998-01-05", "1998-01-11")
+DAY = report.parse_period("1998-01-05", "1998-01-05")
 
 
 def _for_output(rows: DataFrame) -> DataFrame:
@@ -45,11 +49,6 @@ def _on_raw(step: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, folder: _for_output(step(testdata.raw(spark, folder)))
 
 
-def _split_busy(question: Callable[..., DataFrame]) -> Query:
-    """A question that takes customers with over 1/1000 of all orders in blocks."""
-    return _on_clean(lambda t: question(t, hot_rows=max(1, t.orders.count() // 1000)))
-
-
 def _date_classes(raw: Tables) -> DataFrame:
     kind = order_date_class(F.col("order_date")).alias("date_class")
     return raw.orders.groupBy(kind).agg(F.count("*").alias("order_count"))
@@ -80,18 +79,35 @@ def _duplicate_keys(clean: Tables) -> DataFrame:
     return checks[0].unionByName(checks[1]).unionByName(checks[2]).unionByName(checks[3])
 
 
-def _csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw orders written to CSV, scanned as text and cleaned."""
-    path = new_scratch(spark, "raw")
-    files.write_csv(testdata.raw(spark, folder).orders, f"{path}/orders.csv")
-    return clean_orders(files.read_raw(spark, path, "orders")).rows
+CLEANERS = {
+    "customers": lambda rows: rows,
+    "products": lambda rows: clean_products(rows).rows,
+    "orders": lambda rows: clean_orders(rows).rows,
+    "order_items": lambda rows: clean_order_items(rows).rows,
+}
+
+
+def _csv_scan(table: str) -> Query:
+    """A raw table written to CSV, scanned as text and cleaned."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_scratch(spark, "raw")
+        rows = getattr(testdata.raw(spark, folder), table)
+        files.write_csv(rows, f"{path}/{table}.csv")
+        return _for_output(CLEANERS[table](files.read_raw(spark, path, table)))
+
+    return query
+
+
+def _csv_reload(table: str) -> Query:
+    """A clean table written to CSV and read back in its types."""
 
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_scratch(spark, "cleaned")
+        files.write_csv(getattr(testdata.clean(spark, folder), table), f"{path}/{table}.csv")
+        return _for_output(files.read_clean_csv(spark, path, table))
 
-def _csv_reload(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean order items written to CSV and read back in their types."""
-    path = new_scratch(spark, "cleaned")
-    files.write_csv(testdata.clean(spark, folder).order_items, f"{path}/order_items.csv")
-    return _for_output(files.read_clean_csv(spark, path, "order_items"))
+    return query
 
 
 def _load(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,14 +116,56 @@ def _load(spark: SparkSession, folder: str) -> DataFrame:
     return files.load_tables(cleaned, new_scratch(spark, "tables"), unique_keys=False)
 
 
-def _stored_result(spark: SparkSession, folder: str) -> DataFrame:
-    """A question's result saved under its name and read back."""
-    name = "q12_revenue_year_over_year"
-    path = new_scratch(spark, "results")
-    write_results(testdata.clean(spark, folder), path, {name: analytics.QUESTIONS[name]})
-    schema = "year string, month string, revenue double, prev_year_revenue double, " \
-             "yoy_growth_percent double"
-    return spark.read.schema(schema).options(**files.CSV_OPTIONS).csv(f"{path}/{name}.csv")
+def _stored_result(name: str) -> Query:
+    """A question's result from stored sums, saved under its name and read back."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = new_scratch(spark, "results")
+        t = testdata.clean(spark, folder)
+        made = []
+
+        def question(t: Tables, s: analytics.Sums) -> DataFrame:
+            made.append(_for_output(QUESTIONS[name](t, s)))
+            return made[0]
+
+        write_results(t, path, {name: question}, store_sums(t, f"{path}/sums"))
+        return spark.read.schema(made[0].schema).options(**files.CSV_OPTIONS).csv(
+            f"{path}/{name}.csv")
+
+    return query
+
+
+def _period_from_sums(spark: SparkSession, folder: str) -> DataFrame:
+    t = testdata.clean(spark, folder)
+    stored = store_sums(t, new_scratch(spark, "sums"))
+    return report.period_comparison(t, PERIOD, s=stored)
+
+
+def _periods_before(t: Tables) -> DataFrame:
+    """Each month with orders as a period, and the period before it."""
+    first = F.trunc("order_date", "month").alias("start")
+    months = t.orders.select(first).distinct().withColumn("end", F.last_day("start"))
+    begin, end = report.before_period(F.col("start"), F.col("end"))
+    return months.select("start", "end", begin.alias("previous_start"), end.alias("previous_end"))
+
+
+def _report_days(raw: Tables) -> DataFrame:
+    """How many registration and order dates are written as the report wants its dates."""
+    texts = raw.customers.select(F.col("registration_date").alias("day")).unionAll(
+        raw.orders.select("order_date"))
+    valid = report.report_day(F.col("day")).isNotNull().alias("valid")
+    return texts.groupBy(valid).agg(F.count("*").alias("days"))
+
+
+def _bucketed(question: Callable[[Tables], DataFrame]) -> Query:
+    """A question over catalog tables bucketed by order."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        spark.sql("CREATE DATABASE IF NOT EXISTS ordermill")
+        t = testdata.clean(spark, folder)
+        return _for_output(question(files.save_bucketed(t, "ordermill", 8)))
+
+    return query
 
 
 def _stored_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,19 +219,15 @@ def queries() -> dict[str, Query]:
             analytics.monthly_revenue_bands, high_above=HIGH_ABOVE, medium_from=MEDIUM_FROM
         ),
     }
-    found = {
-        name: _on_clean(scaled.get(name, question))
-        for name, question in analytics.QUESTIONS.items()
-    }
+    found = {name: _on_clean(scaled.get(name, ask)) for name, ask in QUESTIONS.items()}
     found |= {
-        "q09_order_gaps_hot_customers": _split_busy(
-            partial(analytics.order_gaps, risk_days=RISK_DAYS)
+        "q09_order_gaps_default": _on_clean(analytics.order_gaps),
+        "q10_monthly_revenue_bands_default": _on_clean(analytics.monthly_revenue_bands),
+        "q15_cohort_retention_double_customers": _on_clean(
+            lambda t: analytics.cohort_retention(
+                t._replace(customers=t.customers.unionAll(t.customers)))
         ),
-        "q16_next_order_hot_customers": _split_busy(analytics.next_order),
         "q16b_next_order_by_self_join": _on_clean(analytics.next_order_by_self_join),
-        "q16b_next_order_by_self_join_hot_customers": _split_busy(
-            analytics.next_order_by_self_join
-        ),
         "clean_orders": _on_raw(lambda raw: clean_orders(raw.orders).rows),
         "clean_products": _on_raw(lambda raw: clean_products(raw.products).rows),
         "clean_order_items": _on_raw(lambda raw: clean_order_items(raw.order_items).rows),
@@ -200,23 +254,29 @@ def queries() -> dict[str, Query]:
         ),
         "period_top_products": _on_clean(lambda t: report.top_products(t, PERIOD)),
         "period_comparison": _on_clean(lambda t: report.period_comparison(t, PERIOD)),
-        "period_summary_many_orders": _on_clean(
-            lambda t: report.period_summaries(t, {"current": PERIOD}, broadcast_orders=0)
-        ),
-        "period_top_products_many_orders": _on_clean(
-            lambda t: report.top_products(t, PERIOD, broadcast_orders=0)
+        "period_summary_empty": _on_clean(
+            lambda t: report.period_summaries(t, {"current": EMPTY_PERIOD})
         ),
         "period_comparison_no_prior": _on_clean(
             lambda t: report.period_comparison(t, FIRST_PERIOD)
         ),
-        "csv_scan_orders": _csv_scan,
-        "csv_reload_order_items": _csv_reload,
+        "period_comparison_weekly": _on_clean(
+            lambda t: report.period_comparison(t, WEEK, "weekly")
+        ),
+        "period_comparison_daily": _on_clean(lambda t: report.period_comparison(t, DAY, "daily")),
+        "period_comparison_from_sums": _period_from_sums,
+        "periods_before": _on_clean(_periods_before),
+        "report_days": _on_raw(_report_days),
         "table_load_counts": _load,
-        "query_result_sink": _stored_result,
+        "bucketed_running_revenue": _bucketed(analytics.running_revenue_by_region),
         "quality_report_sink": _stored_report,
         "cleaned_revenue_by_category": _after_cleaning(analytics.revenue_by_category),
         "cleaned_value_quartiles": _after_cleaning(analytics.value_quartiles),
     }
     for table in Tables._fields:
         found[f"generated_{table}"] = _generated(table)
+        found[f"csv_scan_{table}"] = _csv_scan(table)
+        found[f"csv_reload_{table}"] = _csv_reload(table)
+    for name in QUESTIONS:
+        found[f"stored_{name}"] = _stored_result(name)
     return found

@@ -8,10 +8,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.text import strip
 from ordermill.functions.values import fixed_moment, rounded
-from ordermill.plans.analytics import revenue_per
+from ordermill.plans.analytics import Sums, revenue_per, sums
 from ordermill.schemas import Tables
 
+# Report types and the label without a prior value.
 REPORT_TYPES = ["daily", "weekly", "monthly"]
 NO_PRIOR = "N/A (no prior data)"
 
@@ -37,6 +39,17 @@ def previous_period(period: Period) -> Period:
     return Period(end - (period.end - period.start), end)
 
 
+def report_day(text: Column) -> Column:
+    """A date written ``YYYY-MM-DD``, as :func:`parse_period` takes it; null for other text."""
+    own = strip(text)
+    return F.when(own.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), own.try_cast("date"))
+
+
+def before_period(start: Column, end: Column) -> tuple[Column, Column]:
+    """First and last day of the period of equal length before, as columns."""
+    return F.date_sub(start, F.date_diff(end, start) + 1), F.date_sub(start, 1)
+
+
 def _within(moment: Column, period: Period) -> Column:
     after = period.end + dt.timedelta(days=1)
     return (moment >= _midnight(period.start)) & (moment < _midnight(after))
@@ -46,57 +59,44 @@ def _midnight(day: dt.date) -> Column:
     return fixed_moment(dt.datetime.combine(day, dt.time()))
 
 
-# Orders of a period up to this number are broadcast: eight bytes to some tens of bytes each.
-BROADCAST_ORDERS = 500_000
-
-
-def _few(orders: DataFrame, limit: int) -> bool:
-    """Whether a broadcast of these orders is safe. Counts them; the date filter is pushed down."""
-    return orders.count() <= limit
-
-
 def period_summaries(
-    t: Tables, periods: dict[str, Period], broadcast_orders: int = BROADCAST_ORDERS
+    t: Tables, periods: dict[str, Period], s: Sums | None = None
 ) -> DataFrame:
     """``period, total_orders, total_revenue, unique_customers`` of periods that do not overlap.
 
-    One pass serves all periods. Orders and customers are counted on the orders alone; only
-    revenue needs order items. Those of a short period are picked by a broadcast of its orders
-    and never shuffled; for longer ones they are summed per order before the join.
+    One pass serves all periods. Orders and customers are counted on the orders alone; revenue comes
+    from the revenue per order, which has the order date. A period without orders has zeros.
     """
+    s = s or sums(t)
     name = F.coalesce(*[
         F.when(_within(F.col("order_date"), p), F.lit(name)) for name, p in periods.items()
     ])
     span = Period(min(p.start for p in periods.values()), max(p.end for p in periods.values()))
-    orders = (
-        t.orders.filter(_within(F.col("order_date"), span))
-        .select("order_id", "customer_id", name.alias("period"))
-        .filter("period IS NOT NULL")
-    )
-    per_customer = orders.groupBy("period", "customer_id").agg(F.count("*").alias("orders"))
+
+    def inside(rows: DataFrame) -> DataFrame:
+        return (
+            rows.filter(_within(F.col("order_date"), span))
+            .withColumn("period", name).filter("period IS NOT NULL")
+        )
+
+    per_customer = inside(t.orders).groupBy("period", "customer_id").agg(
+        F.count("*").alias("orders"))
     counts = per_customer.groupBy("period").agg(
         F.sum("orders").alias("total_orders"), F.count("customer_id").alias("unique_customers")
     )
-    keys = orders.select("order_id", "period")
-    if _few(keys, broadcast_orders):
-        sold = t.order_items.select("order_id", "revenue").join(F.broadcast(keys), "order_id")
-    else:
-        sold = revenue_per(t.order_items, "order_id").join(keys, "order_id")
-    return counts.join(revenue_per(sold, "period"), "period", "left").select(
+    sold = revenue_per(inside(s.orders), "period")
+    names = t.orders.sparkSession.createDataFrame([(n,) for n in periods], "period string")
+    return names.join(counts, "period", "left").join(sold, "period", "left").select(
         "period",
-        "total_orders",
+        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
         rounded(F.coalesce(F.col("revenue"), F.lit(0))).alias("total_revenue"),
-        "unique_customers",
+        F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
     )
 
 
-def top_products(
-    t: Tables, period: Period, n: int = 3, broadcast_orders: int = BROADCAST_ORDERS
-) -> DataFrame:
+def top_products(t: Tables, period: Period, n: int = 3) -> DataFrame:
     """Product names with the highest revenue in the period."""
     orders = t.orders.filter(_within(F.col("order_date"), period)).select("order_id")
-    if _few(orders, broadcast_orders):
-        orders = F.broadcast(orders)
     items = t.order_items.select("order_id", "product_id", "revenue")
     return (
         revenue_per(items.join(orders, "order_id", "left_semi"), "product_id")
@@ -122,7 +122,7 @@ def period_comparison(
     t: Tables,
     period: Period,
     report_type: str = "monthly",
-    broadcast_orders: int = BROADCAST_ORDERS,
+    s: Sums | None = None,
 ) -> DataFrame:
     """One row per figure: previous and current value and the change between them.
 
@@ -134,10 +134,9 @@ def period_comparison(
         "orders": "total_orders", "revenue": "total_revenue", "customers": "unique_customers",
     }
     sides = {"previous": previous_period(period), "current": period}
-    summaries = period_summaries(t, sides, broadcast_orders)
-    # A single row, also where a period has no orders at all.
+    summaries = period_summaries(t, sides, s)
     both = summaries.agg(*[
-        F.coalesce(F.max(F.when(F.col("period") == side, F.col(column))), F.lit(0))
+        F.max(F.when(F.col("period") == side, F.col(column)))
         .cast("double").alias(f"{side}_{metric}")
         for side in sides for metric, column in figures.items()
     ])

@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
+# Names of tables, columns and the guest customer.
 GUEST = "UNKNOWN"
 
 CUSTOMERS = "customers"
@@ -20,10 +21,10 @@ PRIMARY_KEYS = {
     ORDER_ITEMS: "order_item_id",
 }
 
-MONEY = "decimal(18,2)"
-PERCENT = "decimal(6,2)"
-# A 10-digit quantity times an 18-digit price times a 4-decimal factor, kept exactly.
-REVENUE = "decimal(34,6)"
+# Quantities, prices and costs keep fractions; discounts are within 0..100 before they are typed.
+NUMBER = "decimal(24,6)"
+PERCENT = "decimal(9,6)"
+REVENUE = "decimal(38,6)"
 
 RAW_COLUMNS = {
     CUSTOMERS: ["customer_id", "customer_name", "email", "registration_date", "customer_type"],
@@ -47,7 +48,7 @@ CLEAN_TYPES = {
         "product_name": "string",
         "category": "string",
         "subcategory": "string",
-        "cost_price": MONEY,
+        "cost_price": NUMBER,
     },
     ORDERS: {
         "order_id": "string",
@@ -61,11 +62,11 @@ CLEAN_TYPES = {
         "order_item_id": "string",
         "order_id": "string",
         "product_id": "string",
-        "quantity": "int",
-        "unit_price": MONEY,
+        "quantity": NUMBER,
+        "unit_price": NUMBER,
         "discount_percent": PERCENT,
         "transaction_type": "string",
-        "quantity_abs": "int",
+        "quantity_abs": NUMBER,
         "revenue": REVENUE,
     },
 }

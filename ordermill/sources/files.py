@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,27 +86,41 @@ def load_tables(tables: Tables, folder: str, unique_keys: bool = True) -> DataFr
 
     Orders are written in date order, so that a period reads few files. A primary key that is not
     unique makes the load fail, unless ``unique_keys`` is off; the check reads back the keys only.
+    A load is written beside the ones before and published by one more row in a small table, so
+    readers see a whole load or the one before. Old loads stay until somebody deletes them.
     """
+    spark = tables.orders.sparkSession
+    version = uuid.uuid4().hex
+    path = f"{folder}/loads/{version}"
     by_date = ["order_date", "order_id"]
     ready = {name: typed(rows, name) for name, rows in tables._asdict().items()}
     ready[ORDERS] = ready[ORDERS].repartitionByRange(*by_date).sortWithinPartitions(*by_date)
     for name, rows in ready.items():
-        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
-    loaded = read_tables(tables.orders.sparkSession, folder)
+        rows.write.parquet(f"{path}/{name}")
+    loaded = _tables_at(spark, path)
     if unique_keys:
         check_keys(loaded)
+    entry = spark.range(1).select(F.current_timestamp().alias("published"),
+                                  F.lit(version).alias("version"))
+    entry.write.mode("append").parquet(f"{folder}/published")
     return row_counts(loaded)
 
 
-def read_tables(spark: SparkSession, folder: str) -> Tables:
-    """The tables ``load_tables`` wrote."""
+def _tables_at(spark: SparkSession, path: str) -> Tables:
     return Tables(*[
         spark.read.schema(", ".join(f"{c} {t}" for c, t in CLEAN_TYPES[name].items()))
-        .parquet(f"{folder}/{name}")
+        .parquet(f"{path}/{name}")
         for name in Tables._fields
     ])
 
 
+def read_tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of the latest load that ``load_tables`` published."""
+    loads = spark.read.schema("published timestamp, version string").parquet(f"{folder}/published")
+    latest = loads.orderBy(F.desc("published"), "version").first()
+    return _tables_at(spark, f"{folder}/loads/{latest.version}")
+
+
 def save_bucketed(tables: Tables, database: str, buckets: int) -> Tables:
     """Save catalog tables with orders and order items bucketed by ``order_id``.
 
@@ -113,8 +129,12 @@ def save_bucketed(tables: Tables, database: str, buckets: int) -> Tables:
     """
     spark = tables.orders.sparkSession
     for name, rows in tables._asdict().items():
-        writer = typed(rows, name).write.mode("overwrite").format("parquet")
-        if name in (ORDERS, ORDER_ITEMS):
+        bucketed = name in (ORDERS, ORDER_ITEMS)
+        ready = typed(rows, name)
+        if bucketed:  # one file per bucket, however many tasks there were
+            ready = ready.repartition(buckets, "order_id")
+        writer = ready.write.mode("overwrite").format("parquet")
+        if bucketed:
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
         writer.saveAsTable(f"{database}.{name}")
     return Tables(*[spark.table(f"{database}.{name}") for name in Tables._fields])

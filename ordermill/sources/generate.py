@@ -174,7 +174,8 @@ def order_items(
     def number(nth: int) -> Column:
         return draw(seed, "order_item", row, nth)
 
-    ghost = identifier("O", 6, F.lit(900_001) + below(number(1), GHOST_ORDERS))
+    after = F.lit(n_orders) if isinstance(n_orders, int) else n_orders
+    ghost = identifier("O", 6, after + 1 + below(number(1), GHOST_ORDERS))
     known = identifier("O", 6, below(number(1), n_orders) + 1)
     pieces = number(3) % 5 + 1
     return ids.select(

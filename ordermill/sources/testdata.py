@@ -2,7 +2,7 @@
 
 ``clean`` gives clean tables. ``raw`` gives the same rows in dirty text form: two date formats,
 blank and NULL-like customer ids, padded and wrongly cased names and codes, discounts over 100 and
-order items without an order. Cleaning ``raw`` must lead back to ``clean`` (less the orphans).
+order items without an order, and dates, numbers and discounts in odd shapes. Cleaning ``raw`` must lead back to ``clean`` (less the orphans).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.clean import clamp_percent, with_measures
-from ordermill.schemas import GUEST, MONEY, PERCENT, Tables
+from ordermill.schemas import GUEST, NUMBER, PERCENT, Tables
 from ordermill.sources.generate import REGIONS
 
 # Columns and types of the test tables the projections read.
@@ -49,7 +49,7 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
         "initcap(p_name) AS product_name",
         "initcap(p_type) AS category",
         "p_brand AS subcategory",
-        f"CAST(p_retailprice AS {MONEY}) AS cost_price",
+        f"CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS {NUMBER}) AS cost_price",
     )
 
 
@@ -67,17 +67,24 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed order items before cleaning; prices are whole cents per piece."""
+    """Typed order items before cleaning.
+
+    Most have whole pieces, cents and percents; some have half pieces, thousandths of a price or of
+    a percent, and very many pieces.
+    """
     return _star(spark, folder, "lineitem").selectExpr(
         "l_orderkey * 10 + l_linenumber AS order_item_id",
         "l_orderkey AS order_id",
         "l_partkey AS product_id",
-        """CASE WHEN l_partkey % 97 = 0 THEN 0 WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS INT)
-            ELSE CAST(l_quantity AS INT) END AS quantity""",
+        f"""CAST(CASE WHEN l_partkey % 97 = 0 THEN 0 WHEN l_partkey % 499 = 1 THEN 3000000000
+            ELSE IF(l_returnflag = 'R', -1, 1)
+                * (CAST(l_quantity AS INT) + IF(l_partkey % 211 = 0, 0.5, 0))
+            END AS {NUMBER}) AS quantity""",
         f"""CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT)
-            AS DECIMAL(16,0)) * 0.01 AS {MONEY}) AS unit_price""",
-        f"""CAST(CAST(round(l_discount * 100) AS INT) + IF(l_partkey % 200 = 0, 101, 0)
-            AS {PERCENT}) AS discount_percent""",
+            AS DECIMAL(16,0)) * 0.01 + IF(l_partkey % 227 = 0, 0.009, 0) AS {NUMBER})
+            AS unit_price""",
+        f"""CAST(CAST(round(l_discount * 100) AS INT) + IF(l_partkey % 229 = 0, 0.345, 0)
+            + IF(l_partkey % 200 = 0, 101, 0) AS {PERCENT}) AS discount_percent""",
     )
 
 
@@ -115,7 +122,10 @@ def raw(spark: SparkSession, folder: str) -> Tables:
             WHEN order_id % 80 = 0 THEN '' WHEN order_id % 80 = 20 THEN ' NULL '
             WHEN order_id % 80 = 40 THEN 'nan' END AS customer_id""",
         """CASE WHEN order_id % 17 = 0 THEN date_format(order_date, 'dd-MM-yyyy')
-            WHEN order_id % 19 = 0 THEN date_format(order_date, 'yyyy/MM/dd')
+            WHEN order_id % 19 = 0 THEN date_format(order_date, CASE order_id % 6
+                WHEN 0 THEN 'yyyy/MM/dd' WHEN 1 THEN 'MM/dd/yyyy h:mm a'
+                WHEN 2 THEN 'd MMMM yyyy HH:mm' WHEN 3 THEN 'dd-MMM-yyyy'
+                WHEN 4 THEN 'MM/dd/yy' ELSE 'EEEE, MMMM d, yyyy' END)
             WHEN order_id % 1009 = 0 THEN '31-02-2024'
             ELSE date_format(order_date, 'yyyy-MM-dd HH:mm:ss') END AS order_date""",
         "IF(order_id % 7 = 0, concat('\t', lower(status), ' '), status) AS status",
@@ -127,6 +137,7 @@ def raw(spark: SparkSession, folder: str) -> Tables:
         "product_id",
         "CAST(quantity AS STRING) AS quantity",
         "concat(' ', unit_price) AS unit_price",
-        "CAST(discount_percent AS STRING) AS discount_percent",
+        """CASE WHEN product_id % 400 = 0 THEN '1e30' WHEN product_id % 600 = 0 THEN 'inf'
+            ELSE CAST(discount_percent AS STRING) END AS discount_percent""",
     )
     return Tables(customers, products, orders, order_items)

@@ -27,8 +27,9 @@ def order(key, customer_id, moment, status="PLACED", region="NORTH"):
 def item(key, order_id, product_id, quantity, revenue):
     kind = "RETURN" if quantity < 0 else "PURCHASE" if quantity else "ZERO_QTY"
     amount = None if revenue is None else Decimal(str(revenue))
-    return (key, order_id, product_id, quantity, Decimal("1.00"), Decimal("0.00"), kind,
-            abs(quantity), amount)
+    pieces = Decimal(str(quantity))
+    return (key, order_id, product_id, pieces, Decimal("1.00"), Decimal("0.00"), kind,
+            abs(pieces), amount)
 
 
 def tables(spark, customers=(), products=(), orders=(), items=()):

@@ -82,31 +82,9 @@ def test_dense_rank_of_one_value(spark, many_blocks):
     assert {r.r for r in found.collect()} == {1}
 
 
-def test_row_number_and_neighbours(rows, many_blocks):
-    by = ["v", "id"]
-    window = Window.partitionBy("g").orderBy(*by)
-    expected = (
-        rows.withColumn("n", F.row_number().over(window))
-        .withColumn("p", F.lag(F.struct("id", "v")).over(window))
-        .withColumn("q", F.lead(F.struct("id", "v")).over(window))
-    )
-    assert same(blocks.row_number(rows, ["g"], by, "n"), expected, ["id", "n"])
-    found = blocks.neighbours(rows, ["g"], by, ["id", "v"], "p", "q")
-    assert same(found, expected, ["id", "p", "q"])
-
-
-def test_only_hot_keys_are_split(rows):
-    known = rows.filter("g IS NOT NULL")
-    found = blocks.split_hot(
-        known, "g",
-        lambda r: r.withColumn("how", F.lit("plain")),
-        lambda r: r.withColumn("how", F.lit("split")),
-        hot_rows=900,
-    )
-    assert {(r.g == "hot", r.how) for r in found.collect()} == {(True, "split"), (False, "plain")}
-    assert found.count() == known.count()
-
-
-def test_without_hot_keys_the_plan_is_the_plain_one(rows):
-    plain = blocks.split_hot(rows, "g", lambda r: r, lambda r: 1 / 0, hot_rows=3_000)
-    assert plain is rows
+def test_salted_join(spark, many_blocks):
+    many = spark.range(3_000).selectExpr("id", "IF(id % 3 = 0, 1, id % 40) AS k")
+    side = spark.range(30).selectExpr("id AS k", "id * 2 AS v")
+    found = blocks.salted_join(many, side, "k", spread_by="id")
+    assert sorted(found.columns) == ["id", "k", "v"]
+    assert same(found, many.join(side, "k"), ["id", "k", "v"])

@@ -45,6 +45,13 @@ def test_items(spark):
         ("1", "10", "NaN"),
         ("1", "99999999999.99", "12345.5"),
         ("4.0", "0.05", "33.3"),
+        ("2.5", "7", "0"),          # part of a piece
+        ("-2.5", "7", "0"),
+        ("3000000000", "2", "50"),
+        ("1", "99.999", "12.345"),
+        ("1", "8", "1e30"),
+        ("1", "8", "inf"),
+        ("1", "8", "-inf"),
     ))
     found = [
         (r.quantity, r.quantity_abs, r.transaction_type, r.discount_percent, r.revenue)
@@ -58,11 +65,18 @@ def test_items(spark):
         (1, 1, "PURCHASE", None, None),
         (1, 1, "PURCHASE", 100, 0),
         (4, 4, "PURCHASE", Decimal("33.30"), Decimal("0.1334")),
+        (Decimal("2.5"), Decimal("2.5"), "PURCHASE", 0, Decimal("17.5")),
+        (Decimal("-2.5"), Decimal("2.5"), "RETURN", 0, Decimal("-17.5")),
+        (3_000_000_000, 3_000_000_000, "PURCHASE", 50, 3_000_000_000),
+        (1, 1, "PURCHASE", Decimal("12.345"), Decimal("87.654123")),
+        (1, 1, "PURCHASE", 100, 0),
+        (1, 1, "PURCHASE", 100, 0),
+        (1, 1, "PURCHASE", 0, 8),
     ]
     issues = cleaned.issues.first()
-    assert (issues.total_rows, issues.negative_quantity_rows) == (7, 1)
+    assert (issues.total_rows, issues.negative_quantity_rows) == (14, 2)
     assert issues.zero_quantity_rows == 0
-    assert issues.discount_over_100_capped == 1
+    assert issues.discount_over_100_capped == 3
 
 
 def test_items_that_are_numbers_already(spark):
@@ -78,7 +92,7 @@ def test_items_that_are_numbers_already(spark):
     ]
     assert found == [
         (3, Decimal("19.99"), None, None),
-        (None, Decimal("0.10"), 100, None),
+        (Decimal("2.5"), Decimal("0.10"), 100, 0),
         (-2, Decimal("0.10"), 0, Decimal("-0.2")),
     ]
 
@@ -126,7 +140,7 @@ def test_products(spark):
         "Padded Name", "Upper Name", "Two Spaces", "Good Name", None
     ]
     assert {(r.category, r.subcategory) for r in rows} == {("Books", "Non-Fiction")}
-    assert [r.cost_price for r in rows] == [None, *[Decimal("12.35")] * 4]
+    assert [r.cost_price for r in rows] == [None, *[Decimal("12.345")] * 4]
     # The padded name counts as unchanged.
     assert cleaned.issues.first().product_names_normalized == 3
 

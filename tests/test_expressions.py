@@ -1,6 +1,7 @@
 """Text, number and date expressions."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -59,6 +60,20 @@ DATES = {
     "01/02/2024 10:00:00": ("inferred", dt.datetime(2024, 1, 2, 10)),
     "5 Jan 2024": ("inferred", dt.datetime(2024, 1, 5)),
     "January 5, 2024": ("inferred", dt.datetime(2024, 1, 5)),
+    "01/15/2024 3:30 PM": ("inferred", dt.datetime(2024, 1, 15, 15, 30)),
+    "2024-01-15 12:05:09 a.m.": ("inferred", dt.datetime(2024, 1, 15, 0, 5, 9)),
+    "15 January 2024 10:30": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "Jan 15 2024 03:30:01 pm": ("inferred", dt.datetime(2024, 1, 15, 15, 30, 1)),
+    "15-Jan-2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "15-JAN-2024 23:59": ("inferred", dt.datetime(2024, 1, 15, 23, 59)),
+    "Jan. 15th, 2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "01/02/24": ("inferred", dt.datetime(2024, 1, 2)),
+    "13/02/68": ("inferred", dt.datetime(2068, 2, 13)),
+    "01/02/69": ("inferred", dt.datetime(1969, 1, 2)),
+    "Monday, January 15, 2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "Mon 15 Jan 2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "15 Smarch 2024": ("bad", None),
+    "01/15/2024 13:30 PM": ("bad", None),
     "31-02-2024": ("bad", None),
     "02-31-2024": ("bad", None),
     "2024-13-01 00:00:00": ("bad", None),
@@ -86,9 +101,10 @@ def test_order_dates_ignore_the_session_time_zone(spark, settings):
 
 def test_numbers(spark):
     texts = ["5", " 5 ", "5.0", "2.5", "-3", "1e2", "x", "", "NaN", None]
-    assert one(spark, texts, values.to_whole) == [5, 5, 5, None, -3, 100, None, None, None, None]
     numbers = one(spark, texts, lambda c: values.to_number(c).cast("double"))
     assert numbers == [5.0, 5.0, 5.0, 2.5, -3.0, 100.0, None, None, None, None]
+    assert one(spark, texts, values.to_double) == numbers
+    assert one(spark, ["1e30", "inf", "-inf"], values.to_double) == [1e30, math.inf, -math.inf]
 
 
 def test_not_a_number_is_null(spark):

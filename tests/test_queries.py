@@ -13,7 +13,7 @@ IN_BLOCKS = [
     "q08_product_rank_in_category",
     "q11_value_quartiles",
     "q14_cumulative_revenue_share",
-    *[name for name in QUERIES if name.endswith("hot_customers")],
+    "q09_order_gaps", "q16_next_order", "q16b_next_order_by_self_join",
 ]
 
 

@@ -3,8 +3,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.plans import report
+from ordermill.plans.analytics import sums
 from tests.tables import customer, item, order, product, rows, tables
 
 JANUARY = report.parse_period("2024-01-01", "2024-01-31")
@@ -46,28 +48,47 @@ def test_dates():
         report.parse_period("02-01-2024", "2024-01-01")
 
 
-@pytest.mark.parametrize("limit", [0, report.BROADCAST_ORDERS])
-def test_summary(shop, limit):
-    found = rows(report.period_summaries(shop, {"now": JANUARY}, limit))
+def test_periods_before_as_columns(spark):
+    starts = [dt.date(2024, 1, 1), dt.date(2024, 3, 1), dt.date(2023, 3, 1)]
+    for start in starts:
+        for length in (0, 6, 28, 30, 365):
+            period = report.Period(start, start + dt.timedelta(days=length))
+            begin, end = report.before_period(F.lit(period.start), F.lit(period.end))
+            assert tuple(spark.range(1).select(begin, end).first()) == report.previous_period(period)
+
+
+def test_report_days_as_columns(spark):
+    texts = ["2024-01-02", " 2024-1-2 ", "2024-02-30", "02-01-2024", "2024-01-02 00:00:00", "", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in frame.select(report.report_day(F.col("t"))).collect()]
+    assert found == [dt.date(2024, 1, 2)] * 2 + [None] * 5
+
+
+def test_summary(shop):
+    found = rows(report.period_summaries(shop, {"now": JANUARY}))
     # All guests together are one customer; an order without items still counts.
     assert found == [("now", 4, 37.5, 2)]
 
 
+def test_summary_of_a_period_without_orders(shop):
+    empty = report.parse_period("2030-01-01", "2030-01-07")
+    assert rows(report.period_summaries(shop, {"now": empty})) == [("now", 0, 0.0, 0)]
+
+
 def test_summary_ignores_the_session_time_zone(shop, settings):
     settings(spark__sql__session__timeZone="America/New_York")
     assert rows(report.period_summaries(shop, {"now": JANUARY})) == [("now", 4, 37.5, 2)]
 
 
-@pytest.mark.parametrize("limit", [0, report.BROADCAST_ORDERS])
-def test_top_products_by_name(shop, limit):
-    assert rows(report.top_products(shop, JANUARY, broadcast_orders=limit)) == [
+def test_top_products_by_name(shop):
+    assert rows(report.top_products(shop, JANUARY)) == [
         ("Same", 20.0), ("Product P3", 15.0), ("Product P4", 4.5)
     ]
 
 
-@pytest.mark.parametrize("limit", [0, report.BROADCAST_ORDERS])
-def test_comparison(shop, limit):
-    found = rows(report.period_comparison(shop, JANUARY, "monthly", limit))
+@pytest.mark.parametrize("stored", [False, True])
+def test_comparison(shop, stored):
+    found = rows(report.period_comparison(shop, JANUARY, "monthly", sums(shop) if stored else None))
     assert found == [
         ("monthly", "orders", 2.0, 4.0, 100.0, "+100.00%"),
         ("monthly", "revenue", 50.0, 37.5, -25.0, "-25.00%"),

@@ -94,6 +94,26 @@ def test_load_refuses_double_keys(spark, shop, tmp_path):
     assert files.load_tables(twice, f"{tmp_path}/tables", unique_keys=False).count() == 4
 
 
+def test_a_failed_load_leaves_the_one_before(spark, shop, tmp_path):
+    folder = f"{tmp_path}/tables"
+    files.load_tables(shop, folder)
+    with pytest.raises(ValueError):
+        files.load_tables(shop._replace(orders=shop.orders.unionAll(shop.orders)), folder)
+    assert files.read_tables(spark, folder).orders.count() == 2
+    files.load_tables(shop._replace(orders=shop.orders.filter("order_id = 'O1'")), folder)
+    assert files.read_tables(spark, folder).orders.count() == 1
+
+
+def test_a_bucketed_table_has_one_file_per_bucket(spark, shop, many_blocks):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    many = spark.range(0, 400, 1, 12).selectExpr(
+        "string(id) AS order_id", "'A' AS customer_id", "timestamp_ntz'2024-01-01' AS order_date",
+        "'PLACED' AS status", "'EAST' AS region_code", "0 AS is_guest_order",
+    )
+    saved = files.save_bucketed(shop._replace(orders=many), "shop", 16)
+    assert len(saved.orders.inputFiles()) == 16
+
+
 def test_bucketed_tables_sum_and_join_orders_without_shuffle(spark, settings, shop):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
@@ -172,9 +192,11 @@ def test_generated_items(spark):
     assert near(issues.negative_quantity_rows, 3)
     assert near(issues.discount_over_100_capped, 0.5)
     assert issues.zero_quantity_rows == 0
-    ghosts = made.filter("order_id > 'O900000'")
-    assert near(ghosts.count(), 1)
-    assert ghosts.select("order_id").distinct().count() == generate.GHOST_ORDERS
+    for orders, items in ((800, made), (1_000_000, generate.order_items(
+            ids(spark), 1_000_000, 500))):
+        ghosts = items.filter(f"int(substr(order_id, 2)) > {orders}")
+        assert near(ghosts.count(), 1)
+        assert ghosts.select("order_id").distinct().count() == generate.GHOST_ORDERS
 
 
 def test_large_ids_keep_all_digits(spark):
