@@ -13,6 +13,20 @@ def _smallest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels of :func:`components` after more edges, from a graph of the components alone."""
+    def named(side: str) -> DataFrame:
+        return labels.select(F.col("doc_id").alias(side), F.col("label").alias(f"{side}_label"))
+
+    between = (edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
+               .select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
+    moved = stored(components(between), "moved")
+    new = moved.select(F.col("doc_id").alias("label"), F.col("label").alias("new"))
+    return (labels.join(new, "label", "left")
+            .select("doc_id", F.coalesce("new", "label").alias("label"))
+            .union(moved.join(labels, "doc_id", "left_anti").select("doc_id", "label")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``doc_id, label`` of each node of the edges ``a, b``; the label is its component's smallest.
 
@@ -39,7 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
         crowded = after.groupBy("b").agg(F.count("*").alias("n")).filter("n > 1")
         inner = after.select("b").join(after.select(F.col("a").alias("b")), "b", "left_semi")
         links = after
-        if crowded.isEmpty() and inner.isEmpty():
+        if crowded.select("b").union(inner).isEmpty():
             break
     return links.select(F.col("b").alias("doc_id"), F.col("a").alias("label")).union(
         links.select(F.col("a").alias("doc_id"), F.col("a").alias("label")).distinct())

@@ -6,11 +6,14 @@ first filled bin in an order of its own (optimal densification). Each run of ``R
 band; documents with an equal band share a bucket.
 
 Documents with equal sets are one class, linked to its smallest id, so only classes are compared.
-Within a bucket, candidates are stars: a few centres, each with all other members, never all pairs.
-The first round takes one centre, the smallest id. Links are confirmed on the full sets, and
-connected components follow. Buckets that still hold several components go on with more centres,
-four times as many each round, until each bucket holds one component or each of its members was a
-centre. So no pair of a bucket whose link could matter stays untested.
+Within a bucket, candidates are a star: its smallest id with each other member, never all pairs.
+Links are confirmed on the full sets, and connected components follow.
+
+A star misses two members that resemble each other but not the centre. So the members of buckets
+that still hold several components are indexed a second time, exactly: of their sets, each ordered
+from rare to common, two similar ones share a shingle among their first quarters. A list of such a
+shingle holds mostly one component; each other member is compared with the members of other
+components, where sizes and the shingle's places leave room for enough common ones.
 
 Two sets whose similarity is just 0.75 share no bucket with a probability of
 ``(1 - 0.75 ** ROWS) ** BANDS``, 5e-6; it falls steeply above.
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.graph import components
+from ordermill.llm.graph import components, merged
 from ordermill.llm.words import gram_hashes, keyed, map_batches, mixed, stored, texts, word_hashes
 
 SHINGLE = 5
@@ -37,7 +40,6 @@ ROWS = 4
 BANDS = 32
 BINS = ROWS * BANDS
 PERCENT = 75
-GROWTH = 4
 
 
 def shingle_set(data: bytes) -> np.ndarray:
@@ -109,11 +111,35 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return map_batches(keyed(docs), make, "doc_id long, n long, shingles array<long>")
 
 
-def stars(members: DataFrame, centres: int) -> DataFrame:
-    """Marks up to ``centres`` rows of each bucket: ``key, centre``."""
-    part = F.pmod(F.xxhash64("doc_id", F.lit(centres)), F.lit(centres)) if centres > 1 else F.lit(0)
-    return (members.groupBy("key", part.alias("part")).agg(F.min("doc_id").alias("centre"))
-            .select("key", "centre"))
+def rare_pairs(sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Candidates ``a, b`` among some sets, for all similar pairs of different components.
+
+    ``labels`` has ``doc_id, label`` of each set that is linked yet.
+    """
+    known = (sets.join(labels, "doc_id", "left")
+             .select("doc_id", "n", F.coalesce("label", "doc_id").alias("label"),
+                     F.xxhash64("shingles").alias("own"), F.explode("shingles").alias("shingle")))
+    common = known.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    # Shingles of one set alone come first in the order but need no list.
+    by_rarity = Window.partitionBy("doc_id", "own")
+    shared = (known.join(common, "shingle")
+              .withColumn("place", F.col("n") - F.count("*").over(by_rarity) - 1
+                          + F.row_number().over(by_rarity.orderBy("df", "shingle"))))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    lists = stored(shared.filter(F.col("place") < first)
+                   .select("shingle", "doc_id", "n", "label", "place"), "lists")
+    held = lists.groupBy("shingle", "label").agg(F.count("*").alias("members"))
+    mixed_lists = (held.groupBy("shingle")
+                   .agg(F.max_by("label", "members").alias("most"), F.count("*").alias("labels"))
+                   .filter("labels > 1").select("shingle", "most"))
+    own = lists.join(mixed_lists, "shingle").filter("label != most").drop("most").alias("x")
+    other = lists.alias("y")
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
+    room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return (own.join(other, (F.col("x.shingle") == F.col("y.shingle"))
+                     & (F.col("x.label") != F.col("y.label")) & (room >= need))
+            .select(F.least("x.doc_id", "y.doc_id").alias("a"),
+                    F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -146,34 +172,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = stored(shingle_sets(keyed(docs).join(wanted, "doc_id"))
                   .dropDuplicates(["doc_id", "shingles"]), "sets")
 
-    links = stored(copies, "copies")
-    open_rows, labels, centres = members.withColumn("label", F.col("doc_id")), None, 1
-    while True:
-        marked = stars(open_rows, centres)
-        if centres == 1:  # before the first round each row is its own component
-            middle = marked.withColumn("centre_label", F.col("centre"))
-        else:
-            middle = marked.join(
-                open_rows.select("key", F.col("doc_id").alias("centre"),
-                                 F.col("label").alias("centre_label")), ["key", "centre"])
-        pairs = (open_rows.join(middle, "key").filter("label != centre_label")
-                 .select(F.least("doc_id", "centre").alias("a"),
-                         F.greatest("doc_id", "centre").alias("b")).distinct())
-        found = stored(confirmed(pairs, sets, percent), "links")
-        links = links.union(found)
-        labels = stored(components(links), "labels")
-        rest = (open_rows.drop("label")
-                .join(marked.select("key", F.col("centre").alias("doc_id")), ["key", "doc_id"],
-                      "left_anti")
-                .join(labels, "doc_id", "left")
-                .withColumn("label", F.coalesce("label", "doc_id")))
-        # Buckets are open while members that were no centre are in several components.
-        mixed_keys = (rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                      .filter("lo < hi").select("key"))
-        open_rows = stored(rest.join(mixed_keys, "key"), "open")
-        if open_rows.isEmpty():
-            break
-        centres *= GROWTH
+    centres = members.groupBy("key").agg(F.min("doc_id").alias("a"))
+    stars = (members.withColumnRenamed("doc_id", "b").join(centres, "key").filter("a != b")
+             .select("a", "b").distinct())
+    found = confirmed(stars, sets, percent)
+    labels = stored(components(copies.union(found)), "labels")
+
+    named_members = (members.join(labels, "doc_id", "left")
+                     .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
+    several = (named_members.groupBy("key")
+               .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+               .filter("low < high").select("key"))
+    open_docs = members.join(several, "key").select("doc_id").distinct()
+    open_sets = stored(sets.join(open_docs, "doc_id"), "open")
+    rest = confirmed(rare_pairs(open_sets, labels, percent), open_sets, percent)
+    labels = stored(merged(labels, stored(rest, "links")), "labels")
 
     return (known.join(labels, "doc_id", "left")
             .select("doc_id", "n_shingles",
