@@ -283,7 +283,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     single = (known.join(classes, "digest").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
               .dropDuplicates(["digest"]))
     places = stored(single.select("rep", F.explode("anchors").alias("anchor")), "anchors")
-    twice = places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Stored, so that the join with a hot anchor's places is one that Spark can split.
+    twice = stored(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+                   .select("anchor"), "repeated")
     # One list per document, no longer than the document.
     wanted = (places.join(twice, "anchor").groupBy("rep")
               .agg(F.collect_set("anchor").alias("wanted")))
