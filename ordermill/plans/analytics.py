@@ -261,9 +261,10 @@ def order_gaps(t: Tables, s: Sums | None = None, risk_days: int = 30) -> DataFra
         (total > risk_days * DAY_MICROS * (dated - 1)).alias("at_risk"),
     )
     gap = micros_between(F.col("previous_order_date"), F.col("order_date"))
+    in_order = _block_window().orderBy("order_date", "order_id")
     return (
         _in_blocks(orders, carried)
-        .withColumn("previous_order_date", F.lag("order_date").over(_block_window().orderBy("order_date", "order_id")))
+        .withColumn("previous_order_date", F.lag("order_date").over(in_order))
         .withColumn("at_risk", F.max("at_risk").over(_block_window()))
         .filter(~F.col(CARRIED))
         .orderBy(*BLOCK_ORDER)
@@ -446,7 +447,8 @@ def next_order(t: Tables, s: Sums | None = None) -> DataFrame:
     # The next month's first order stands at the end of a month's block.
     carried = _months(orders).select("customer_id", MONTH, after.alias("after")).filter(
         "after IS NOT NULL").select("customer_id", MONTH, "after.order_date", "after.order_id")
-    following = F.lead(F.struct("order_id", "order_date")).over(_block_window().orderBy("order_date", "order_id"))
+    in_order = _block_window().orderBy("order_date", "order_id")
+    following = F.lead(F.struct("order_id", "order_date")).over(in_order)
     return _next_order_columns(
         _in_blocks(orders, carried).withColumn("next", following).filter(~F.col(CARRIED))
     )

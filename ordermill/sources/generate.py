@@ -12,7 +12,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The vocabulary of the generated tables.
+# The vocabulary of the generated tables. The shares in percent, the ranges and the
+# formats inside the functions below are fixed as well.
 CATEGORIES = {
     "Electronics": ["Mobiles", "Laptops", "Headphones", "Cameras", "Accessories"],
     "Clothing": ["Men", "Women", "Kids", "Footwear", "Winterwear"],

@@ -2,7 +2,8 @@
 
 ``clean`` gives clean tables. ``raw`` gives the same rows in dirty text form: two date formats,
 blank and NULL-like customer ids, padded and wrongly cased names and codes, discounts over 100 and
-order items without an order, and dates, numbers and discounts in odd shapes. Cleaning ``raw`` must lead back to ``clean`` (less the orphans).
+order items without an order, and dates, numbers and discounts in odd shapes. Cleaning ``raw``
+must lead back to ``clean`` (less the orphans).
 """
 
 from __future__ import annotations

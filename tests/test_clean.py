@@ -15,7 +15,7 @@ def items(spark, *rows):
 
 
 def test_discount_over_100_is_capped(spark):
-    cleaned = clean_order_items(items(spark, ("2", "100.0", "150")))
+    cleaned = clean_order_items(items(spark, ("7", "41.5", "173")))
     row = cleaned.rows.first()
     assert row.discount_percent == 100
     assert row.revenue == 0
@@ -23,14 +23,14 @@ def test_discount_over_100_is_capped(spark):
 
 
 def test_zero_quantity(spark):
-    cleaned = clean_order_items(items(spark, ("0", "500.0", "10")))
+    cleaned = clean_order_items(items(spark, ("0", "62.25", "35")))
     row = cleaned.rows.first()
     assert (row.transaction_type, row.quantity_abs, row.revenue) == ("ZERO_QTY", 0, 0)
     assert cleaned.issues.first().zero_quantity_rows == 1
 
 
 def test_future_date_is_kept(spark):
-    later = dt.datetime.now().replace(microsecond=0) + dt.timedelta(days=30)
+    later = dt.datetime.now().replace(microsecond=0) + dt.timedelta(days=411)
     raw = spark.createDataFrame([("O", "C", str(later), "PLACED", "NORTH")], ORDER)
     assert clean_orders(raw).rows.first().order_date == later
 
