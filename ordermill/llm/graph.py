@@ -19,7 +19,8 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
         return labels.select(F.col("doc_id").alias(side), F.col("label").alias(f"{side}_label"))
 
     between = (edges.join(named("a"), "a", "left").join(named("b"), "b", "left")
-               .select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
+               .select(F.coalesce("a_label", "a").alias("a"),
+                       F.coalesce("b_label", "b").alias("b")))
     moved = stored(components(between), "moved")
     new = moved.select(F.col("doc_id").alias("label"), F.col("label").alias("new"))
     return (labels.join(new, "label", "left")

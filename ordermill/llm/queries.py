@@ -118,7 +118,9 @@ ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _words(pattern: str, lowered: bool) -> str:
-    text = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')" if lowered else "coalesce(text, '')"
+    text = "coalesce(text, '')"
+    if lowered:
+        text = f"translate({text}, '{UPPER}', '{LOWER}')"
     return f"regexp_extract_all({text}, '{pattern}')"
 
 

@@ -91,7 +91,8 @@ class FileWriter:
         index = self.pack.compress(np.array(self.rows, ROW).tobytes())
         table = np.array(self.seek, SEEK).tobytes()
         self.out.write(index + struct.pack("<II", SKIPPABLE, len(table)) + table
-                       + struct.pack(FOOTER, len(index), len(table), zlib.crc32(index + table), MAGIC))
+                       + struct.pack(FOOTER, len(index), len(table), zlib.crc32(index + table),
+                                     MAGIC))
         self.out.close()
 
 
