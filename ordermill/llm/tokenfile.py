@@ -181,7 +181,7 @@ class WordEncoder:
 
     def encode(self, data: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        for group in in_groups([d.lower().split() for d in data]):
+        for group in in_groups(d.lower().split() for d in data):
             ids, sizes = self.words(group)
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out

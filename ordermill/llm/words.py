@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -152,7 +152,8 @@ class Coder:
         return self.flat[place], np.diff(bounds)
 
 
-def in_groups(documents: list[list[bytes]], words: int = 400_000) -> Iterator[list[list[bytes]]]:
+def in_groups(documents: Iterable[list[bytes]], words: int = 400_000,
+              ) -> Iterator[list[list[bytes]]]:
     """Consecutive documents with about so many words together."""
     group: list[list[bytes]] = []
     held = 0

@@ -1,0 +1,360 @@
+"""The operators' own interfaces, on small inputs made for one case each."""
+
+import itertools
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import (
+    bpe, decontaminate, graph, neardup, pii, quality, shards, substrings, tokencounts, tokenfile,
+    urlrules,
+)
+from tests.conftest import TEST_DATA
+from tests.llm import brute
+
+
+def docs(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+
+
+def words(rng, n, size=900):
+    return [f"w{rng.randrange(size)}" for _ in range(n)]
+
+
+# byte-level BPE
+
+@pytest.fixture(scope="module")
+def coder():
+    return bpe.Bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def test_bpe_equals_the_library_on_random_text(coder):
+    rng = random.Random(7)
+    alphabet = "ab  \n\t'stvelm 019é́中🙂.,!  　\x1c\x85 \r_-"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(1500)]
+    library = brute.bpe("byte_bpe_multi_50k.tiktoken")
+    ids = coder.encode([t.encode() for t in texts])
+    assert [i.tolist() for i in ids] == [library.encode_ordinary(t) for t in texts]
+    assert coder.decode(ids) == [t.encode() for t in texts]
+
+
+def test_bpe_forgets_and_goes_on(coder):
+    small = bpe.Bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                    public_tokenizers.PATTERN)
+    small.words.limit = small.pieces.limit = 5
+    texts = [f"some words {i} and more of them{i % 3}".encode() for i in range(20)]
+    for text in texts * 2:
+        assert small.encode([text])[0].tolist() == coder.encode([text])[0].tolist()
+
+
+# near duplicates
+
+def test_densified_bins_match_as_often_as_the_sets_overlap():
+    rng = np.random.default_rng(3)
+    order = neardup.probe_order()
+    for size in (4, 40, 400):
+        same = []
+        for _ in range(200):
+            pool = rng.integers(0, 2**64, size, np.uint64, endpoint=False)
+            a, b = np.sort(pool[:size * 7 // 8]), np.sort(pool[size // 8:])
+            same.append((neardup.signature(a, order) == neardup.signature(b, order)).mean())
+        overlap = (size * 7 // 8 - size // 8) / size
+        assert abs(np.mean(same) - overlap) < 0.04
+
+
+def test_links_that_a_star_misses_are_found(spark):
+    """Edited copies of one text: most resemble each other in pairs, but not the first."""
+    rng = random.Random(11)
+    base = words(rng, 120)
+    texts = []
+    for _ in range(150):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randrange(1, 14)):
+            own[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    texts += [" ".join(words(rng, 100)) for _ in range(50)]
+    found = neardup.near_duplicates(docs(spark, texts))
+    rows = {tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept")
+            .collect()}
+    assert rows == set(brute.near_duplicates(list(enumerate(texts))))
+
+
+def test_rare_pairs_hold_every_similar_pair_of_different_components(spark):
+    rng = random.Random(2)
+    pool = list(range(60))
+    sets = {i: sorted(rng.sample(pool, rng.randrange(1, 24))) for i in range(250)}
+    for i in range(250, 400):
+        own = set(sets[i - 250])
+        own ^= {rng.choice(pool)}
+        sets[i] = sorted(own) or [1]
+    frame = spark.createDataFrame([(d, len(s), s) for d, s in sets.items()],
+                                  "doc_id long, n long, shingles array<long>")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)], "doc_id long, label long")
+    got = {tuple(r) for r in neardup.confirmed(neardup.rare_pairs(frame, labels), frame).collect()}
+    expected = set()
+    for a, b in itertools.combinations(sets, 2):
+        common = len(set(sets[a]) & set(sets[b]))
+        if 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common) and not (a < 40 and b < 40):
+            expected.add((a, b))
+    assert got == expected
+
+
+def test_documents_with_one_id_are_one(spark):
+    rng = random.Random(4)
+    first, second = " ".join(words(rng, 60)), " ".join(words(rng, 60))
+    rows = [(5, first), (5, second), (3, first), (4, second), (None, first), (9, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(frame).collect()}
+    assert found == {(5, 3, False), (3, 3, True), (4, 3, False), (None, None, True), (9, 9, True)}
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
+    edges += [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 600)]
+    half = len(edges) // 2
+
+    def frame(part):
+        return spark.createDataFrame(part, "a long, b long")
+
+    label = {n: n for e in edges for n in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    expected = {n: m for n, m in label.items() if any(n in e for e in edges if e[0] != e[1])}
+    assert dict(graph.components(frame(edges)).collect()) == expected
+    first = graph.components(frame(edges[:half]))
+    assert dict(graph.merged(first, frame(edges[half:])).collect()) == expected
+
+
+# token files
+
+@pytest.fixture(scope="module")
+def token_folder(spark, tmp_path_factory):
+    folder = f"file://{tmp_path_factory.mktemp('tokens')}/out"
+    frame = spark.read.parquet(f"{TEST_DATA}/documents.parquet")
+    tokenfile.write(frame, folder, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return folder
+
+
+def test_wanted_documents_are_read_from_their_frames(spark, token_folder):
+    everything = {r.doc_id: r for r in tokenfile.read(spark, token_folder).collect()}
+    wanted = [0, 7, 150, 9_999]
+    found = {r.doc_id: r for r in tokenfile.read(spark, token_folder, wanted).collect()}
+    assert found == {d: everything[d] for d in wanted if d in everything}
+    assert tokenfile.read(spark, token_folder, []).collect() == []
+
+
+def test_a_reader_unpacks_only_the_frames_it_needs(token_folder, tmp_path):
+    writer = tokenfile.FileWriter(str(tmp_path))
+    for i in range(40):
+        writer.add(i, np.full(9_000, i, np.uint32))
+    writer.close()
+    reader = tokenfile.FileReader(str(tmp_path), writer.name)
+    read, frame = [], reader.frame
+    reader.frame = lambda number: read.append(number) or frame(number)
+    (doc, ids, before), = reader.documents(np.array([17]))
+    assert (doc, set(ids.tolist()), len(ids), before) == (17, {17}, 9_000, 17 * 9_000)
+    assert len(read) == 1 < len(reader.seek)
+
+
+def test_damage_is_noticed(tmp_path):
+    writer = tokenfile.FileWriter(str(tmp_path))
+    writer.add(None, np.arange(50_000, dtype=np.uint32))
+    writer.close()
+    path = tmp_path / writer.name
+    data = bytearray(path.read_bytes())
+    data[1_000] ^= 255
+    path.write_bytes(data)
+    with pytest.raises(Exception, match="damaged|checksum|corrupt|decompress"):
+        list(tokenfile.FileReader(str(tmp_path), writer.name).documents())
+    path.write_bytes(bytes(data[:-5]))
+    with pytest.raises(ValueError, match="no whole token file"):
+        tokenfile.FileReader(str(tmp_path), writer.name)
+
+
+# URL rules
+
+def test_mined_rules_have_their_support_and_confidence(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(400):
+        tokens = sorted({f"host:{rng.choice('abc')}", f"path:{rng.choice('de')}", "key:x"})
+        rows.append(("block" if "host:a" in tokens and "path:d" in tokens else "allow", tokens))
+    labelled = spark.createDataFrame(rows, "verdict string, tokens array<string>")
+    found = urlrules.mine(labelled)
+    assert [r.tokens for r in found] == [("host:a", "path:d")]
+    fit = [v for v, t in rows if {"host:a", "path:d"} <= set(t)]
+    assert found[0].confidence == 1 and abs(found[0].support - len(fit) / 400) < 1e-9
+    tokens = spark.createDataFrame([(t,) for _, t in rows] + [([],)], "tokens array<string>")
+    got = [r[0] for r in tokens.select(urlrules.matches(F.col("tokens"), found)).collect()]
+    assert got == [v == "block" for v, _ in rows] + [False]
+
+
+# decontamination
+
+def test_fm_index_finds_and_locates_every_occurrence():
+    rng = np.random.default_rng(5)
+    runs = rng.integers(0, 5, 3_000)
+    runs[0] = runs[-1] = 0
+    index = decontaminate.FmIndex(runs, 4)
+    for size in (1, 2, 5):
+        patterns = np.array(list(itertools.product(range(1, 5), repeat=size)))[:300]
+        low, high = index.search(patterns)
+        for pattern, a, b in zip(patterns, low, high, strict=True):
+            windows = np.lib.stride_tricks.sliding_window_view(runs, size)
+            expected = np.flatnonzero((windows == pattern).all(axis=1))
+            assert sorted(index.locate(np.arange(a, b)).tolist()) == expected.tolist()
+
+
+def test_benchmark_in_many_blocks(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(words(rng, 3 + i, 50))) for i in range(30)]
+    texts = [" ".join(words(rng, 30, 50)) + " " + items[i % 30][1] for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one, many = (sorted(decontaminate.contamination(docs(spark, texts), bench, block_words=n)
+                        .collect()) for n in (10**6, 40))
+    assert one == many
+    assert [(r.doc_id, len(r.items)) for r in one] == [
+        (r[0], r[3]) for r in brute.decontamination(list(enumerate(texts)), items)]
+
+
+# sharding
+
+def test_maps_move_only_what_they_must():
+    owner = shards.SlotMap.of(40)
+    grown = owner.grown()
+    moved = [(a, b) for a, b in zip(owner.owner, grown.owner, strict=True) if a != b]
+    assert {b for _, b in moved} == {40} and len(moved) == shards.SLOTS // 41
+    held = np.bincount(owner.owner)
+    assert held.max() - held.min() <= 2
+
+
+def test_rebalancing_evens_bytes_out(spark):
+    rng = random.Random(8)
+    sizes = {s: rng.randrange(1, 1000) * (50 if s % 7 == 0 else 1) for s in range(512)}
+    owner = shards.SlotMap.of(8, 512)
+    even = owner.rebalanced(sizes, 0.02)
+    load = [sum(sizes[s] for s, o in enumerate(even.owner) if o == k) for k in range(8)]
+    assert even.version == owner.version + 1
+    assert max(load) - min(load) <= 0.02 * sum(load) / 8
+    stored = owner.table(spark).union(even.table(spark))
+    assert shards.SlotMap.load(stored, even.version) == even
+
+
+# personal data
+
+def test_trees_add_spans_that_look_like_checked_ones(spark):
+    rng = random.Random(3)
+    texts = []
+    for i in range(200):
+        plain = " ".join(words(rng, 20))
+        texts.append(f"{plain} write to ann{i}@mail{i % 9}.example.com or {i}{i}{i} now {plain} "
+                     f"token = \"{rng.randrange(16**32):032x}\"")
+    texts.append("ask bob.j.smith@intranet please")
+    texts.append("nothing here but 12 words and a long_identifier_of_a_function_name")
+    found = {r.doc_id: r for r in pii.find(docs(spark, texts)).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[200].spans] == [("contact", 4, 24)]
+    assert found[201].spans == []
+    assert all(len(found[i].spans) == 1 for i in range(200))
+
+
+def test_redaction_of_spans_that_overlap(spark):
+    frame = spark.createDataFrame([("a🙂bcdefgh",)], "text string")
+    spans = F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.lit(a).alias("start"), F.lit(b).alias("end"))
+        for k, a, b in (("ip", 2, 5), ("card", 4, 6), ("email", 1, 3))])
+    assert frame.select(pii.redacted(F.col("text"), spans)).first()[0] == "a[EMAIL][IP][CARD]fgh"
+
+
+# quality
+
+def test_classifier_on_held_out_rows(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    known = F.pmod("doc_id", F.lit(2)) == 0
+    model = quality.train(frame, labels.filter(known))
+    rows = quality.judge(frame, model).join(labels.filter(~known), "doc_id").filter(
+        "not base_failed").select("quality", "kept").collect()
+    right = sum(bool(r.quality) == r.kept for r in rows)
+    assert right >= 0.97 * len(rows) and len(rows) > 100
+    assert all(r.kept for r in rows if r.quality)
+
+
+def test_without_two_qualities_there_is_no_model(spark):
+    frame = docs(spark, ["a b c", None])
+    labels = spark.createDataFrame([(0, 1), (1, 1), (None, 0)], "doc_id long, quality int")
+    assert quality.train(frame, labels) is None
+    assert [r.kept for r in quality.judge(docs(spark, ["w " * 10, "a"]), None).collect()] == [
+        False, False]
+
+
+# token counts
+
+def test_tokens_that_cross_sections():
+    begin, end = np.array([0, 3, 5, 9]), np.array([3, 5, 9, 12])
+    starts, stops = np.array([0, 4, 6]), np.array([4, 6, 12])
+    first = tokencounts.attributed(begin, end, starts, stops, "first")
+    most = tokencounts.attributed(begin, end, starts, stops, "most")
+    assert first.tolist() == [0, 0, 1, 2]
+    assert most.tolist() == [0, 0, 2, 2]
+    gap = tokencounts.attributed(begin, end, np.array([4]), np.array([6]), "first")
+    assert gap.tolist() == [-1, -1, 0, -1]
+
+
+def test_sections_of_a_rule_add_up(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    texts = ["one\ntwo three\n\n", "é" * 30 + "\nß", "", None, "no line feed"]
+    for rule in tokencounts.RULES:
+        rows = tokencounts.section_counts(docs(spark, texts), path, public_tokenizers.PATTERN,
+                                          rule=rule).collect()
+        for i in range(len(texts)):
+            own = [r for r in rows if r.doc_id == i]
+            assert sum(r.n_tokens for r in own) == own[0].doc_tokens
+    with pytest.raises(ValueError):
+        tokencounts.section_counts(docs(spark, texts), path, public_tokenizers.PATTERN, rule="x")
+
+
+# repeated passages
+
+@pytest.mark.parametrize("hot", [0, 3, 2_000])
+def test_hot_anchors_are_counted_to_the_same_spans(spark, hot):
+    rng = random.Random(5)
+    passage, line = words(rng, 60), words(rng, 30)
+    texts = []
+    for i in range(40):
+        texts.append(" ".join(words(rng, 40) + passage[i % 5:] + words(rng, 30)))
+        texts.append(" ".join(words(rng, 25) + line + words(rng, 25)))
+    texts += [" ".join(["again"] * 80), texts[3], texts[3] + " "]
+    found = substrings.repeated_passages(docs(spark, texts), hot_regions=hot)
+    rows = {tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+            .collect()}
+    assert rows == set(brute.repeated_substrings(list(enumerate(texts))))
+    spans = {r.doc_id: list(zip(r.begin, r.end, strict=True)) for r in found.collect()}
+    assert all(sum(e - b for b, e in spans[r[0]]) == r[2] for r in rows)
+
+
+def test_suffix_automaton_counts_occurrences():
+    rng = random.Random(12)
+    for _ in range(30):
+        rows = [[rng.randrange(3) for _ in range(rng.randrange(1, 25))] for _ in range(4)]
+        weights = [rng.randrange(1, 3) for _ in rows]
+        automaton = substrings.SuffixAutomaton()
+        for row, weight in zip(rows, weights, strict=True):
+            automaton.add(row, weight)
+        automaton.close()
+        for row in rows:
+            hit = np.zeros(len(row), bool)
+            for i in range(len(row) - 3):
+                gram = row[i:i + 4]
+                n = sum(w * (r[j:j + 4] == gram) for r, w in zip(rows, weights, strict=True)
+                        for j in range(len(r) - 3))
+                if n > 1:
+                    hit[i:i + 4] = True
+            got = np.zeros(len(row), bool)
+            for b, e in zip(*automaton.repeated(row, 4), strict=True):
+                got[b:e] = True
+            assert got.tolist() == hit.tolist()
