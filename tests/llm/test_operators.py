@@ -252,7 +252,7 @@ def test_trees_add_spans_that_look_like_checked_ones(spark):
     texts = []
     for i in range(200):
         plain = " ".join(words(rng, 20))
-        texts.append(f"{plain} write to ann{i}@mail{i % 9}.example.com or {i}{i}{i} now {plain} "
+        texts.append(f"{plain} write to ann{i}@mail{i % 9}.example.com or {i}{i}{i} now {plain} a_long_name_{'of_it' * (i % 3 + 2)} "
                      f"token = \"{rng.randrange(16**32):032x}\"")
     texts.append("ask bob.j.smith@intranet please")
     texts.append("nothing here but 12 words and a long_identifier_of_a_function_name")
