@@ -129,9 +129,10 @@ def rare_pairs(sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> Da
     lists = stored(shared.filter(F.col("place") < first)
                    .select("shingle", "doc_id", "n", "label", "place"), "lists")
     held = lists.groupBy("shingle", "label").agg(F.count("*").alias("members"))
-    mixed_lists = (held.groupBy("shingle")
-                   .agg(F.max_by("label", "members").alias("most"), F.count("*").alias("labels"))
-                   .filter("labels > 1").select("shingle", "most"))
+    mixed_lists = stored(
+        held.groupBy("shingle")
+        .agg(F.max_by("label", "members").alias("most"), F.count("*").alias("labels"))
+        .filter("labels > 1").select("shingle", "most"), "mixed")
     own = lists.join(mixed_lists, "shingle").filter("label != most").drop("most").alias("x")
     other = lists.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * percent / (100 + percent))
@@ -172,7 +173,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = stored(shingle_sets(keyed(docs).join(wanted, "doc_id"))
                   .dropDuplicates(["doc_id", "shingles"]), "sets")
 
-    centres = members.groupBy("key").agg(F.min("doc_id").alias("a"))
+    # Stored, so that the join with a hot bucket's members is one that Spark can split.
+    centres = stored(members.groupBy("key").agg(F.min("doc_id").alias("a")), "centres")
     stars = (members.withColumnRenamed("doc_id", "b").join(centres, "key").filter("a != b")
              .select("a", "b").distinct())
     found = confirmed(stars, sets, percent)

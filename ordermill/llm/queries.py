@@ -191,6 +191,55 @@ SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_removed, 0) AS n_
 FROM texts t LEFT JOIN kept USING (doc_id)"""
 
 
+# A URL matches a mined rule if some combination of up to three of its tokens is one, so all
+# combinations are counted and it does not matter that the operator keeps only the shortest.
+URL_RULES = f"""WITH rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'),
+  ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+urls AS (
+  SELECT row_number() OVER () AS n, page_id,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+fixed AS (
+  SELECT n, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY n),
+tokens AS (
+  SELECT DISTINCT n, kind || token AS token FROM (
+    SELECT n, 'host:' AS kind, unnest(string_split(host, '.')) AS token FROM parts
+    UNION ALL SELECT n, 'path:', unnest(string_split(path, '/')) FROM parts
+    UNION ALL SELECT n, 'type:', regexp_extract(path, '\\.([A-Za-z0-9]+)$', 1) FROM parts
+    UNION ALL SELECT n, 'key:', regexp_extract(unnest(string_split(
+      regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&')), '^[^=]*') FROM parts
+    UNION ALL SELECT n, 'part:', regexp_extract(rest, '#(.*)', 1) FROM parts)
+  WHERE token <> ''),
+total AS (SELECT COUNT(*) AS rows FROM fixed),
+frequent AS (
+  SELECT token FROM tokens JOIN fixed USING (n) GROUP BY token
+  HAVING COUNT(*) >= 0.01 * (SELECT rows FROM total)
+    AND COUNT(*) < 0.99 * (SELECT rows FROM total)),
+used AS (SELECT * FROM tokens SEMI JOIN frequent USING (token)),
+sets AS (
+  SELECT n, [token] AS items FROM used
+  UNION ALL SELECT a.n, [a.token, b.token] FROM used a JOIN used b ON a.n = b.n
+    AND a.token < b.token
+  UNION ALL SELECT a.n, [a.token, b.token, c.token] FROM used a
+    JOIN used b ON a.n = b.n AND a.token < b.token
+    JOIN used c ON b.n = c.n AND b.token < c.token),
+mined AS (
+  SELECT items FROM sets JOIN fixed USING (n) GROUP BY items
+  HAVING COUNT(*) FILTER (verdict = 'block') >= ceil(0.01 * (SELECT rows FROM total))
+    AND COUNT(*) FILTER (verdict = 'block') / COUNT(*) >= 0.95),
+hit AS (SELECT DISTINCT n FROM sets SEMI JOIN mined USING (items))
+SELECT page_id, host, path, rule,
+  COALESCE(fixed.verdict, CASE WHEN hit.n IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+  rule IS NULL AND hit.n IS NOT NULL AS mined
+FROM parts LEFT JOIN fixed USING (n) LEFT JOIN hit USING (n)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The results that SQL can state on small tables.
 
@@ -199,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
     """
     return {
         "op2_near_duplicates": NEAR_DUPLICATES,
+        "op4_url_rules": URL_RULES,
         "op5_decontamination": DECONTAMINATION,
         "op10_repeated_substrings": REPEATED_SUBSTRINGS,
     }
