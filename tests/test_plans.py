@@ -9,7 +9,8 @@ from ordermill.plans.registry import queries
 from ordermill.sources import testdata
 from tests.conftest import TEST_DATA
 
-QUERIES = queries()
+# Queries that end with reading what they wrote have no plan to look at.
+QUERIES = [n for n in queries() if not n.startswith(("stored_", "csv_", "bucketed_"))]
 
 
 def plan(frame) -> str:
@@ -23,7 +24,7 @@ def no_broadcast(settings):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_plan_holds_no_bottleneck(spark, no_broadcast, name):
-    text = plan(QUERIES[name](spark, TEST_DATA))
+    text = plan(queries()[name](spark, TEST_DATA))
     for bad in ("CartesianProduct", "NestedLoopJoin", "PythonUDF", "InPandas", "InArrow"):
         assert bad not in text
     # One task sees all rows only after an aggregate or a limit.
