@@ -43,7 +43,7 @@ FILE_IDS = 16_000_000
 #: Sizes of index and seek table, their checksum, the magic word.
 FOOTER = "<IIII"
 FOOTER_SIZE = struct.calcsize(FOOTER)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 
 ROW = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u8"), ("frame", "<u4")])
 SEEK = np.dtype([("packed", "<u8"), ("plain", "<u8"), ("crc", "<u4")])
@@ -146,12 +146,24 @@ class FileReader:
                    int(before[i]))
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers spell bytes: printable ones as themselves, the rest from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+BYTE_LETTERS = _byte_letters()
+#: Words of these letters, lowered one by one, are in normal form C.
+LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
 class WordEncoder:
     """A tokenizer of words, applied to each distinct word once.
 
     The tokenizer drops white space and never joins words across it, and lower-cases its input, so
     a text's ids are those of its lower-cased words on end. A final full stop or comma after an
-    ASCII letter is a token of its own.
+    ASCII letter is a token of its own. Words of Latin letters go straight to the tokenizer's model:
+    all that stands in front of it would do is to lower them and to spell their bytes as letters.
     """
 
     def __init__(self, path: str):
@@ -159,13 +171,26 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.marks = {m: self._plain([m])[0] for m in (b".", b",")}
+        self.model = self.tokenizer.model
         self.cores = Coder(self._encode, KNOWN_WORDS)
         self.words = Coder(self._words, KNOWN_WORDS)
 
     def _plain(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(
-            [w.decode() for w in words], add_special_tokens=False)]
+        tokenize, found = self.model.tokenize, []
+        for word in words:
+            if not word.isalpha():
+                text = word.decode()
+                if not LATIN.fullmatch(text):
+                    found.append(None)
+                    continue
+                word = text.lower().encode()
+            found.append([t.id for t in tokenize(word.decode("latin-1").translate(BYTE_LETTERS))])
+        rest = [i for i, f in enumerate(found) if f is None]
+        coded = self.tokenizer.encode_batch_fast([words[i].decode() for i in rest],
+                                                 add_special_tokens=False)
+        for i, own in zip(rest, coded, strict=True):
+            found[i] = own.ids
+        return found
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         flat, length = [np.zeros(0, np.uint32)], []
@@ -278,6 +303,7 @@ def _read(spark: SparkSession, folder: str, wanted: list[int] | None, schema: st
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=arrow)
 
-    # The window left all files in one partition; each is read by a task of its own.
-    return (files.select("file", "ids_before").repartition("file")
+    # The window left all files in one partition. With a fixed number of tasks, one per file, Spark
+    # does not put them together again for being short rows.
+    return (files.select("file", "ids_before").repartition(max(1, files.count()), "file")
             .mapInArrow(run, struct_type))
