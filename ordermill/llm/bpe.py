@@ -28,10 +28,10 @@ from ordermill.llm.words import Coder, in_groups, keyed, map_batches, texts, wor
 
 #: Fixed value: the characters that ``\\s`` stands for in the split pattern.
 SPACE = r"\t-\r \x85\xa0  -     　"
-DECODE_TOKENS = 300_000
-MERGE_PIECES = 50_000
-KNOWN_PIECES = 1_000_000
-KNOWN_WORDS = 700_000
+DECODE_TOKENS = 150_000
+MERGE_PIECES = 20_000
+KNOWN_PIECES = 400_000
+KNOWN_WORDS = 250_000
 
 # A row's spot is its piece times 2^32 and its place, so one order serves all pieces.
 ENCODE = """
@@ -97,7 +97,7 @@ class Bpe:
         self.pattern = split_pattern(pattern)
         self.pieces = Coder(self._merge, KNOWN_PIECES)
         self.words = Coder(self._cut, KNOWN_WORDS)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB",
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB",
                                          "temp_directory": "", "preserve_insertion_order": False})
         merges = [((self.ranks[t[:i]] << 32) + self.ranks[t[i:]], r) for t, r in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -175,7 +175,7 @@ class Bpe:
     def encode(self, data: list[bytes]) -> list[np.ndarray]:
         """The ids of each UTF-8 text."""
         out: list[np.ndarray] = []
-        for group in in_groups(map(self.cut, data), 200_000):
+        for group in in_groups(map(self.cut, data), 100_000):
             ids, sizes = self.words(group)
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out
