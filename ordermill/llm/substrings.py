@@ -159,7 +159,10 @@ def shard_spans(regions: pa.Table, least: int) -> pa.Table:
 
 
 def sketches(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, n_words, digest, anchors``; the digest is of the words joined by spaces."""
+    """``doc_id, n_words, digest, same, anchors``; the digest is of the words joined by spaces.
+
+    ``same`` is a hash of the text itself, which Spark can compute beside it once more.
+    """
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             sizes, digests, found = [], [], []
@@ -169,26 +172,32 @@ def sketches(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 digests.append(hashlib.sha256(b" ".join(data.split())).hexdigest())
                 found.append(anchors(words, length, gram)[0])
             return {"doc_id": batch.column("doc_id"), "n_words": sizes, "digest": digests,
-                    "anchors": found}
+                    "same": batch.column("same"), "anchors": found}
 
         return work
 
-    return map_batches(keyed(docs), make,
-                       "doc_id long, n_words long, digest string, anchors array<long>")
+    return map_batches(keyed(docs).withColumn("same", F.xxhash64("text")), make, "doc_id long, "
+                       "n_words long, digest string, same long, anchors array<long>")
 
 
 def _bodies(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """``digest, body, anchor, first, last``: texts with their regions of repeated anchors."""
+    """``digest, body, anchor, first, last``: texts with their regions of repeated anchors.
+
+    Rows whose text has not the digest beside it are dropped.
+    """
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {n: [] for n in ("digest", "body", "anchor", "first", "last")}
-            wanted = batch.column("wanted").to_pylist()
-            for data, own in zip(texts(batch.column("text")), wanted, strict=True):
+            wanted, digests = (batch.column(n).to_pylist() for n in ("wanted", "digest"))
+            for data, own, digest in zip(texts(batch.column("text")), wanted, digests,
+                                         strict=True):
                 body = b" ".join(data.split())
+                if hashlib.sha256(body).hexdigest() != digest:
+                    continue
                 mark, first, last = anchors(word_hashes(body), length, gram)
                 keep = np.isin(mark, np.array(own, np.int64))
-                for name, value in zip(out, (hashlib.sha256(body).hexdigest(), body, mark[keep],
-                                             first[keep], last[keep]), strict=True):
+                for name, value in zip(out, (digest, body, mark[keep], first[keep], last[keep]),
+                                       strict=True):
                     out[name].append(value)
             return out
 
@@ -278,19 +287,27 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     joined by one space.
     """
     known = stored(sketches(docs, length, gram), "sketches")
+    # One row stands for all texts of a digest: ids may repeat with other texts, or be null.
     classes = (known.filter(F.col("n_words") >= length).groupBy("digest")
-               .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    single = (known.join(classes, "digest").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
+               .agg(F.min(F.struct("doc_id", "same")).alias("rep"), F.count("*").alias("copies")))
+    classes = classes.withColumn("class", F.xxhash64("digest"))
+    single = (known.join(classes, "digest")
+              .filter(F.col("doc_id").eqNullSafe(F.col("rep.doc_id"))
+                      & (F.col("same") == F.col("rep.same")))
               .dropDuplicates(["digest"]))
-    places = stored(single.select("rep", F.explode("anchors").alias("anchor")), "anchors")
+    places = stored(single.select("class", F.explode("anchors").alias("anchor")), "anchors")
     # Stored, so that the join with a hot anchor's places is one that Spark can split.
     twice = stored(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
                    .select("anchor"), "repeated")
-    # One list per document, no longer than the document.
-    wanted = (places.join(twice, "anchor").groupBy("rep")
+    # One list per class, no longer than its text. Should two digests share a class number, both
+    # get the anchors of both, and each text keeps those that it has.
+    wanted = (places.join(twice, "anchor").groupBy("class")
               .agg(F.collect_set("anchor").alias("wanted")))
-    own = keyed(docs)
-    rows = own.join(wanted, own.doc_id.eqNullSafe(wanted.rep)).select("text", "wanted")
+    wanted = wanted.join(classes, "class").select(
+        "digest", "wanted", F.col("rep.doc_id").alias("rep"), F.col("rep.same").alias("same"))
+    own = keyed(docs).withColumn("same", F.xxhash64("text"))
+    rows = own.join(wanted, own.doc_id.eqNullSafe(wanted.rep) & (own.same == wanted.same)).select(
+        "text", "digest", "wanted")
     bodies = stored(_bodies(rows, length, gram).dropDuplicates(["digest"]), "bodies")
 
     regions = _regions(bodies, length)
@@ -324,7 +341,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     end = F.when(whole, F.array(n)).otherwise(F.coalesce("end", empty))
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     kept = F.when(whole, nothing).otherwise(F.coalesce(F.sha2("kept", 256), F.col("digest")))
-    return (known.drop("anchors").join(classes.drop("rep"), "digest", "left")
+    return (known.drop("anchors", "same").join(classes.select("digest", "copies"), "digest", "left")
             .join(gone, "digest", "left")
             .select("doc_id", "n_words", begin.alias("begin"), end.alias("end"),
                     kept.alias("kept_sha256"))

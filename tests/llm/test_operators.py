@@ -337,6 +337,24 @@ def test_hot_anchors_are_counted_to_the_same_spans(spark, hot):
     assert all(sum(e - b for b, e in spans[r[0]]) == r[2] for r in rows)
 
 
+@pytest.mark.parametrize("other", [5, None])
+def test_passages_of_texts_whose_ids_repeat_or_are_null(spark, other):
+    """B shares one passage with A and one with C; most of its copies have the id of A."""
+    rng = random.Random(21)
+    of_a, of_c = words(rng, 50, 10**6), words(rng, 35, 10**6)
+    fill = [words(rng, 40, 10**6) for _ in range(7)]
+    a = " ".join(fill[0] + of_a + fill[1])
+    b = " ".join(fill[2] + of_a + fill[3] + of_c + fill[4])
+    c = " ".join(fill[5] + of_c + fill[6])
+    rows = [(other, a), *[(other, b.replace(" ", " " * n, 1)) for n in range(1, 30)], (3, b), (8, c)]
+    found = substrings.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    expected = [(rows[i][0], *rest) for i, *rest in brute.repeated_substrings(
+        [(i, t) for i, (_, t) in enumerate(rows)])]
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=repr) \
+        == sorted(expected, key=repr)
+
+
 def test_suffix_automaton_counts_occurrences():
     rng = random.Random(12)
     for _ in range(30):
