@@ -9,15 +9,24 @@ together per text; decoding joins ids with the vocabulary and aggregates its byt
 A worker keeps the ids of pieces and of the words between two spaces for later texts, up to a fixed
 number, so the queries see each distinct piece about once.
 
+Each round of the recursive query leaves a row per open token, so a piece of n bytes costs about
+n * n / 2 rows. A batch of pieces is bounded by these rows; a piece of more than ``LONG_PIECE``
+bytes is merged outside the query, by a heap of its pairs. Decoding sends ``DECODE_TOKENS`` ids at
+a time, whatever text they belong to.
+
 Nulls: a null text is empty and has no ids. Repeated rows are encoded one by one. A text of any
-length is encoded whole; a single piece of n bytes takes up to n rounds.
+length is encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
+from array import array
+from collections.abc import Iterator
+
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -30,6 +39,8 @@ from ordermill.llm.words import Coder, in_groups, keyed, map_batches, texts, wor
 SPACE = r"\t-\r \x85\xa0  -     　"
 DECODE_TOKENS = 150_000
 MERGE_PIECES = 20_000
+MERGE_ROWS = 2_000_000
+LONG_PIECE = 512
 KNOWN_PIECES = 400_000
 KNOWN_WORDS = 250_000
 
@@ -112,8 +123,11 @@ class Bpe:
     def _merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces by the recursive query; a piece that is a token starts as this token."""
         flat, length = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for begin in range(0, len(pieces), MERGE_PIECES):
-            part = pieces[begin:begin + MERGE_PIECES]
+        for part in self._batches(pieces):
+            if len(part[0]) > LONG_PIECE and part[0] not in self.ranks:
+                flat.append(self._merge_long(part[0]))
+                length.append(np.array([len(flat[-1])], np.int64))
+                continue
             known = np.array([self.ranks.get(p, -1) for p in part], np.int32)
             sizes = np.array([len(p) for p in part], np.int64)
             owner = np.repeat(np.arange(len(part)), sizes)
@@ -129,6 +143,50 @@ class Bpe:
             length.append(np.bincount(np.asarray(rows["piece"]), minlength=len(part)))
         return np.concatenate(flat), np.concatenate(length)
 
+    def _batches(self, pieces: list[bytes]) -> Iterator[list[bytes]]:
+        """Consecutive pieces of bounded number and rows; a long piece is alone."""
+        part: list[bytes] = []
+        rows = 0
+        for piece in pieces:
+            own = 1 if piece in self.ranks else len(piece) * (len(piece) + 1) // 2
+            alone = len(piece) > LONG_PIECE and piece not in self.ranks
+            if part and (alone or len(part) >= MERGE_PIECES or rows + own > MERGE_ROWS):
+                yield part
+                part, rows = [], 0
+            part.append(piece)
+            rows += own
+            if alone:
+                yield part
+                part, rows = [], 0
+        if part:
+            yield part
+
+    def _merge_long(self, piece: bytes) -> np.ndarray:
+        """Ids of one piece: the leftmost pair of smallest rank is contracted until none is left."""
+        n, get = len(piece), self.ranks.get
+        after, before = array("i", range(1, n + 2)), array("i", range(-1, n))
+        token = array("i", self.single[np.frombuffer(piece, np.uint8)].tolist())
+        # A pair is its rank and its place in one number; a pair that is gone has another rank.
+        heap = [(rank << 32) + i for i in range(n - 1)
+                if (rank := get(piece[i:i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            best = heapq.heappop(heap)
+            rank, i = best >> 32, best & 0xFFFFFFFF
+            j = after[i]
+            if token[i] < 0 or j >= n or get(piece[i:after[j]]) != rank:
+                continue
+            token[i], token[j] = rank, -1
+            after[i] = end = after[j]
+            if end < n:
+                before[end] = i
+                if (rank := get(piece[i:after[end]])) is not None:
+                    heapq.heappush(heap, (rank << 32) + i)
+            if i and (rank := get(piece[before[i]:end])) is not None:
+                heapq.heappush(heap, (rank << 32) + before[i])
+        found = np.array(token, np.int32)
+        return found[found >= 0]
+
     def _cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each the text of one or more whole pieces; see :meth:`cut`."""
         flat, length = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
@@ -180,24 +238,29 @@ class Bpe:
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out
 
+    def decoded_parts(self, documents: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+        """The bytes of each id sequence in order, as its number and one part after the other."""
+        ends = np.cumsum([len(d) for d in documents], dtype=np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *documents])
+        for begin in range(0, len(flat), DECODE_TOKENS):
+            place = np.arange(begin, min(begin + DECODE_TOKENS, len(flat)))
+            self._table("tokens", {"doc": np.searchsorted(ends, place, "right"), "place": place,
+                                   "token": flat[place].astype(np.int64)})
+            yield from self.db.execute(DECODE).fetchall()
+
     def decode(self, documents: list[np.ndarray]) -> list[bytes]:
         """The bytes of each id sequence."""
-        found = [b""] * len(documents)
-        begin = 0
-        while begin < len(documents):
-            end, held = begin, 0
-            while end < len(documents) and (end == begin or held < DECODE_TOKENS):
-                held += len(documents[end])
-                end += 1
-            sizes = [len(d) for d in documents[begin:end]]
-            self._table("tokens", {
-                "doc": np.repeat(np.arange(begin, end), sizes),
-                "place": np.arange(held),
-                "token": np.concatenate(documents[begin:end]).astype(np.int64)})
-            for doc, text in self.db.execute(DECODE).fetchall():
-                found[doc] = text
-            begin = end
-        return found
+        found: list[list[bytes]] = [[] for _ in documents]
+        for doc, part in self.decoded_parts(documents):
+            found[doc].append(part)
+        return [b"".join(parts) for parts in found]
+
+    def decoded_sha256(self, documents: list[np.ndarray]) -> list[str]:
+        """The checksum of the bytes of each id sequence."""
+        found = [hashlib.sha256() for _ in documents]
+        for doc, part in self.decoded_parts(documents):
+            found[doc].update(part)
+        return [f.hexdigest() for f in found]
 
 
 def coder(path: str, pattern: str) -> Bpe:
@@ -229,7 +292,7 @@ def round_trips(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             return {
                 "doc_id": batch.column("doc_id"), "n_tokens": [len(i) for i in ids],
                 "ids_sha256": [hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-                "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in bpe.decode(ids)]}
+                "decoded_sha256": bpe.decoded_sha256(ids)}
 
         return work
 

@@ -50,6 +50,23 @@ def test_bpe_forgets_and_goes_on(coder):
         assert small.encode([text])[0].tolist() == coder.encode([text])[0].tolist()
 
 
+def test_bpe_of_a_text_of_tens_of_megabytes(coder):
+    rng = random.Random(15)
+    text = " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(3000)}" for _ in range(4_000_000))
+    ids, = coder.encode([text.encode()])
+    assert len(text) > 20_000_000 and len(ids) > 4_000_000
+    assert coder.decoded_sha256([ids]) == [brute.sha(text.encode())]
+
+
+def test_bpe_of_long_pieces_equals_the_library(coder):
+    rng = random.Random(16)
+    texts = ["".join(rng.choices("abstrnei", k=n)) for n in (500, 513, 30_000)] + ["a" * 20_000]
+    texts.append(" ".join("".join(rng.choices("etaoin", k=400)) for _ in range(200)))
+    library = brute.bpe("byte_bpe_multi_50k.tiktoken")
+    assert [i.tolist() for i in coder.encode([t.encode() for t in texts])] == [
+        library.encode_ordinary(t) for t in texts]
+
+
 # near duplicates
 
 def test_densified_bins_match_as_often_as_the_sets_overlap():
