@@ -211,6 +211,27 @@ def test_mined_rules_have_their_support_and_confidence(spark):
     assert got == [v == "block" for v, _ in rows] + [False]
 
 
+def test_mined_rules_need_evidence_of_their_own_domain(spark):
+    """Of .net only blocks are labelled, of .org nothing; four tokens block on shop.com."""
+    rules = (urlrules.UrlRule("allow", "com", "/"), urlrules.UrlRule("block", "net", "/es/"),
+             urlrules.UrlRule("block", "shop.com", "/a/b/c/"))
+    urls = [f"http://w{i}.x.net/es/{i}" for i in range(100)]
+    for i in range(400):
+        first, second, third = ("ab"[i % 2], "bd"[i // 2 % 2], "ce"[i // 4 % 2])
+        urls.append(f"http://shop.com/{first}/{second}/{third}/{i}")
+    urls += ["http://q.x.net/de/1", "http://shop.org/a/b/c/1", "http://x.org/es/2"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = urlrules.judge(pages, rules).filter("rule is null").select("verdict").collect()
+    assert [r.verdict for r in found] == ["allow"] * 3
+    rows = [("block" if len(t) == 4 else "allow", ["host:shop.com", *t])
+            for k in range(5) for t in itertools.combinations(["path:a", "path:b", "path:c", "key:d"], k)]
+    labelled = spark.createDataFrame(rows * 80, "verdict string, tokens array<string>")
+    assert [r.tokens for r in urlrules.mine(labelled)] == [
+        ("host:shop.com", "key:d", "path:a", "path:b", "path:c")]
+    few = [("block", ["host:a.com", "path:p"])] * 12 + [("allow", ["host:a.com", "path:q"])] * 300
+    assert urlrules.mine(spark.createDataFrame(few, "verdict string, tokens array<string>")) == []
+
+
 # decontamination
 
 def test_fm_index_finds_and_locates_every_occurrence():
