@@ -300,6 +300,27 @@ def test_trees_add_spans_that_look_like_checked_ones(spark):
     assert all(len(found[i].spans) == 1 for i in range(200))
 
 
+def test_trees_add_phones_without_plus_and_spelled_addresses(spark):
+    rng = random.Random(31)
+    phone = "1 (509) 555-{:04d}".format
+    texts = []
+    for i in range(240):
+        plain = " ".join(words(rng, 12))
+        texts.append(f"{plain} ann{i}@mail{i % 9}.example.com or +{phone(i)} {plain} "
+                     f"id 4111{rng.randrange(10**11):011d}x and 20{i % 20 + 10}-01-{i % 20 + 10} end")
+    first = len(texts)
+    texts += [f"call {phone(77)} please", "ask eve7@mail3.example.com or bob3 [at] mail4.example.com",
+              "look (at) this and 2014-05-16"]
+    found = {r.doc_id: r for r in pii.find(docs(spark, texts)).collect()}
+    added = [[(s.kind, texts[i][s.start:s.end]) for s in found[i].spans[len(found[i].base):]]
+             for i in range(len(texts))]
+    assert added[first] == [("number", phone(77))]
+    assert added[first + 1] == [("contact", "bob3 [at] mail4.example.com")]
+    assert added[first + 2] == []
+    assert [len(r.base) for r in (found[i] for i in range(first))] == [2] * first
+    assert all(a == [] for a in added[:first])
+
+
 def test_redaction_of_spans_that_overlap(spark):
     frame = spark.createDataFrame([("a🙂bcdefgh",)], "text string")
     spans = F.array(*[
