@@ -12,6 +12,7 @@ from ordermill.llm import (
     bpe,
     decontaminate,
     neardup,
+    pieces,
     pii,
     quality,
     shards,
@@ -25,6 +26,7 @@ from ordermill.session import new_scratch
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 SECTION_FILE = "byte_bpe_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 END_ID = 2
 SHARDS = 40
 
@@ -97,6 +99,11 @@ def repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trips(_table(spark, folder, "documents"),
+                              public_tokenizers.path(PIECE_FILE))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": byte_bpe,
@@ -109,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules,
         "op9_token_counts": token_counts,
         "op10_repeated_substrings": repeated_substrings,
+        "op11_sentence_pieces": sentence_pieces,
     }
 
 

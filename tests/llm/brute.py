@@ -8,6 +8,7 @@ import re
 import zlib
 
 import public_tokenizers
+import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -202,3 +203,12 @@ def section_counts(docs):
             end = min(begin + len(line) + 1, len(text))
             yield (doc_id, f"line {i}", begin, end, owners[i], len(ids))
             begin = end
+
+
+def sentence_pieces(docs):
+    model = sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for doc_id, text in docs:
+        ids = model.encode(text or "", add_bos=True, add_eos=True)
+        yield (doc_id, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)),
+               sha(model.decode(ids).encode()))

@@ -28,6 +28,8 @@ EXPECTED = {
     "op9_token_counts": (brute.section_counts, "doc_id section start end n_tokens doc_tokens"),
     "op10_repeated_substrings": (brute.repeated_substrings,
                                  "doc_id n_words n_removed kept_sha256"),
+    "op11_sentence_pieces": (brute.sentence_pieces,
+                             "doc_id n_tokens ids_sha256 decoded_sha256"),
 }
 
 
