@@ -261,6 +261,10 @@ def coder(path: str) -> Pieces:
     return worker_state(f"pieces {path}", lambda: Pieces(path))
 
 
+def piece_count(path: str) -> int:
+    return sentencepiece.SentencePieceProcessor(model_file=path).get_piece_size()
+
+
 def _with_marks(pieces: Pieces, coded: list[np.ndarray]) -> Iterator[np.ndarray]:
     first, last = np.array([pieces.bos], np.uint32), np.array([pieces.eos], np.uint32)
     return (np.concatenate([first, ids, last]) for ids in coded)

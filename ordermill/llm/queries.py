@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    alignment,
     bpe,
     decontaminate,
     neardup,
@@ -26,6 +27,7 @@ from ordermill.session import new_scratch
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 SECTION_FILE = "byte_bpe_50k.tiktoken"
 WORD_FILE = "word_bpe_49k.json"
+BYTE_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
 END_ID = 2
 SHARDS = 40
@@ -104,6 +106,12 @@ def sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
                               public_tokenizers.path(PIECE_FILE))
 
 
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_counts(_table(spark, folder, "documents"),
+                                      public_tokenizers.path(BYTE_FILE),
+                                      public_tokenizers.path(PIECE_FILE))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": byte_bpe,
@@ -117,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_counts": token_counts,
         "op10_repeated_substrings": repeated_substrings,
         "op11_sentence_pieces": sentence_pieces,
+        "op12_token_alignment": token_alignment,
     }
 
 

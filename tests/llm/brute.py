@@ -212,3 +212,60 @@ def sentence_pieces(docs):
         ids = model.encode(text or "", add_bos=True, add_eos=True)
         yield (doc_id, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)),
                sha(model.decode(ids).encode()))
+
+
+def byte_letters():
+    """How byte-level tokenizers spell bytes."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def alignment(docs):
+    """One pass over each text's tokens for the links, a second one for the counts."""
+    a_coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a_coder.encode_special_tokens = True
+    b_coder = sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    letters = byte_letters()
+
+    def b_bytes(i):
+        if b_coder.is_byte(i):
+            return bytes([int(b_coder.id_to_piece(i)[3:5], 16)])
+        return b_coder.id_to_piece(i).replace("\u2581", " ").encode()
+
+    aligned, counts = [], collections.Counter()
+    for doc_id, text in docs:
+        a = a_coder.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_coder.encode(text) if text else []
+        a_spans, b_spans = [], []
+        for spans, parts in ((a_spans, [bytes(letters[c] for c in a_coder.id_to_token(i))
+                                        for i in a]), (b_spans, [b_bytes(i) for i in b])):
+            at = 0
+            for part in parts:
+                spans.append((at, at + len(part)))
+                at += len(part)
+            if b"".join(parts) != (" " + text).encode() if text else parts:
+                a = b = []
+        links, names = [], []
+        if a:
+            cuts = sorted({e for _, e in a_spans} & {e for _, e in b_spans})
+            i = j = 0
+            for cut in cuts:
+                i0, j0 = i, j
+                while i < len(a) and a_spans[i][1] <= cut:
+                    i += 1
+                while j < len(b) and b_spans[j][1] <= cut:
+                    j += 1
+                names.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
+                links += [(a[x], b[y]) for x in range(i0, i) for y in range(j0, j)
+                          if a_spans[x][0] < b_spans[y][1] and b_spans[y][0] < a_spans[x][1]]
+        counts.update(links)
+        aligned.append((doc_id, len(a), len(b), links, names))
+    top = collections.Counter()
+    for (_, b), n in counts.items():
+        top[b] = max(top[b], n)
+    for doc_id, n_a, n_b, links, names in aligned:
+        yield (doc_id, n_a, n_b, len(names), len(links),
+               sum(counts[p] == top[p[1]] for p in links), sum(counts[p] for p in links),
+               sha(";".join(names).encode()) if names else "")

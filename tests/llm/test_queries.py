@@ -30,6 +30,8 @@ EXPECTED = {
                                  "doc_id n_words n_removed kept_sha256"),
     "op11_sentence_pieces": (brute.sentence_pieces,
                              "doc_id n_tokens ids_sha256 decoded_sha256"),
+    "op12_token_alignment": (brute.alignment, "doc_id n_a n_b n_groups n_links n_best count_sum "
+                                              "groups_sha256"),
 }
 
 
