@@ -21,6 +21,7 @@ from ordermill.llm import (
     tokencounts,
     tokenfile,
     urlrules,
+    whitening,
 )
 from ordermill.session import new_scratch
 
@@ -112,6 +113,10 @@ def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
                                       public_tokenizers.path(PIECE_FILE))
 
 
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": byte_bpe,
@@ -126,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_repeated_substrings": repeated_substrings,
         "op11_sentence_pieces": sentence_pieces,
         "op12_token_alignment": token_alignment,
+        "op13_embedding_whitening": embedding_whitening,
     }
 
 

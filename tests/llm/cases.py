@@ -53,6 +53,14 @@ def pages():
             (11, "http://a.com/#/es/://b.net/es/", "x"), (12, "", "x")]
 
 
+def embeddings():
+    rng = random.Random(6)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(12)], 1, 5) for i in range(40)]
+    return rows + [(3, rows[3][1], 1, 5), (None, rows[4][1], 1, 5), (50, None, 1, 5),
+                   (51, [None] * 12, 1, 5), (52, [float("nan")] * 12, 1, 5),
+                   (53, [float("-inf")] * 12, 1, 5), (54, [], 1, 5)]
+
+
 def write(spark, folder, empty=False):
     docs = [(d, t, "en", "s", len(t or ""), 7, "r", True, "d", 3, 1) for d, t in documents()]
     labels = [(d, int(d % 3 > 0), 0) for d, _ in documents()] + [(None, 1, 0), (5, None, 0)]
@@ -61,6 +69,7 @@ def write(spark, folder, empty=False):
         "benchmark": (benchmark(), "item_id long, text string"),
         "labels": (labels, "doc_id long, quality int, toxic int"),
         "pages": (pages(), "page_id long, url string, html string"),
+        "embeddings": (embeddings(), "vec_id long, embedding array<float>, label int, n long"),
     }
     for name, (rows, schema) in tables.items():
         spark.createDataFrame([] if empty else rows, schema).repartition(2).write.parquet(
