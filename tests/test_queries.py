@@ -7,6 +7,7 @@ from ordermill.plans import registry
 from tests import oracle
 from tests.conftest import TEST_DATA
 
+LARGER = TEST_DATA.replace("sf0.001", "sf0.01")
 QUERIES = registry.queries()
 SQL = entry.oracle_sql()
 IN_BLOCKS = [
@@ -22,6 +23,11 @@ def duck():
     return oracle.connect(TEST_DATA)
 
 
+@pytest.fixture(scope="module")
+def larger_duck():
+    return oracle.connect(LARGER)
+
+
 def test_each_query_has_sql():
     assert set(QUERIES) <= set(SQL)
 
@@ -35,6 +41,11 @@ def test_query_equals_sql(spark, duck, name):
     assert oracle.differences(QUERIES[name](spark, TEST_DATA), duck, SQL[name]) == []
 
 
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_on_more_rows_equals_sql(spark, larger_duck, name):
+    assert oracle.differences(QUERIES[name](spark, LARGER), larger_duck, SQL[name]) == []
+
+
 @pytest.mark.parametrize("name", IN_BLOCKS)
 def test_query_in_several_blocks_equals_sql(spark, duck, many_blocks, name):
     assert oracle.differences(QUERIES[name](spark, TEST_DATA), duck, SQL[name]) == []
