@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import BLANK, collapse, strip
-from ordermill.schemas import NUMBER, REVENUE
 
 DAY_MICROS = 86_400_000_000
 
@@ -38,15 +36,14 @@ NAMED_DAYS = ["d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy"]
 CLOCKS = ["[ H:mm:ss][ H:mm]", " h:mm[:ss] a"]
 
 
-def to_number(value: Column) -> Column:
-    """A number with up to six decimals, or null where the text is none (NaN included)."""
-    return value.try_cast(NUMBER)
+# Texts that the cast takes for numbers, but that are none: letters after the digits, base 16.
+NOT_A_NUMBER = r"(?i)[0-9.][df]\s*\z|0x"
 
 
-def to_double(value: Column) -> Column:
-    """A number of any size, infinite ones included, or null where the text is none."""
+def to_number(value: Column) -> Column:
+    """A number of any size, infinite ones included, or null where the text is none (or NaN)."""
     number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & ~value.cast("string").rlike(NOT_A_NUMBER), number)
 
 
 def day_first_timestamp(raw: Column) -> Column:
@@ -104,9 +101,36 @@ def order_date_class(raw: Column) -> Column:
 
 
 def net_revenue(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
-    """Signed quantity times price less discount, to six decimals: a return counts negative."""
-    kept = (F.lit(100) - discount_percent) * F.lit(Decimal("0.01"))
-    return F.try_multiply(F.try_multiply(quantity, unit_price), kept).try_cast(REVENUE)
+    """Signed quantity times price less discount; a return counts negative.
+
+    The result is the double nearest to the exact product where that has up to eleven places: whole
+    pieces at prices of four and discounts of two places multiply as whole numbers, others as
+    decimals. What is left, very large, very small or with more places, multiplies as doubles.
+    Infinity times nothing is null.
+    """
+    price, percent = F.rint(unit_price * 10_000), F.rint(discount_percent * 100)
+    product = quantity * price * (10_000 - percent)
+    whole = (
+        (F.rint(quantity) == quantity) & (price / 10_000 == unit_price)
+        & (percent / 100 == discount_percent) & (F.abs(product) < 2.0**53)
+        & (F.abs(quantity) < 2.0**31)  # so that no factor is rounded either
+    )
+
+    def exact(number: Column) -> Column:
+        return number.try_cast("decimal(18,6)")
+
+    numbers = (quantity, unit_price, discount_percent)
+    is_exact = F.lit(True)
+    for number in numbers:
+        is_exact = is_exact & (exact(number).cast("double") == number)
+    kept = ((F.lit(100) - exact(discount_percent)) / 100).cast("decimal(9,8)")
+    decimal = F.try_multiply(F.try_multiply(exact(quantity), exact(unit_price)), kept).cast("double")
+    plain = quantity * unit_price * (1 - discount_percent / 100)
+    # A decimal that lost places is further away than the few roundings of doubles.
+    near = is_exact & (F.abs(decimal - plain) <= F.abs(quantity * unit_price) * 1e-15)
+    found = F.when(whole, product / 1e8).otherwise(F.coalesce(F.when(near, decimal), plain))
+    # A discounted return of nothing is 0, not -0.
+    return F.when(found == 0, F.lit(0.0)).when(~F.isnan(found), found)
 
 
 def rounded(amount: Column, digits: int = 2) -> Column:

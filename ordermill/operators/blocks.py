@@ -1,46 +1,130 @@
 """Ordered calculations over groups of any size.
 
 A window puts each of its groups into one task, so a ranking over all rows, or over a group
-with a third of them, does not scale. Here rows are range-partitioned by group and order
-instead: every partition is a *block*, a run of neighbouring rows of bounded size, whatever the
-group sizes are. Windows run per block; what a block must know about the blocks before and after
-it comes from a summary of a few values per block and group.
-
-Block numbers come from the partition a row lands in, and range bounds are sampled anew each time
-a plan runs. The placed rows are therefore checkpointed once, and every later pass reads them.
+with a third of them, does not scale. Here every row belongs to a *block*, a run of neighbouring
+values of bounded size, whatever the group sizes are. Windows run per block; what a block must know
+about the blocks before it comes from a summary of a few values per block and group.
+
+The edges of the blocks are quantiles of the values, from a sketch that Spark merges over all tasks:
+one aggregation, of which a few numbers per block reach the driver. A block follows from a row's own
+value, so every pass and every retry sees the same blocks. A value that alone fills a block or more
+is a block of its own, and its rows are split by the tie-break column, by quantiles of it.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ordermill.session import shared_folder
+from pyspark.sql import types as T
 
 BLOCK = "__block"
+BASE = "__base"
 PLACE = "__place"
 GROUP = "__group"
+#: Blocks for each partition of a shuffle, so that partitions come out even.
+BLOCKS_PER_PARTITION = 3
+#: Bytes of a text that one double can hold in order.
+KEY_BYTES = 6
+#: How many such keys are tried, for texts that all begin alike.
+KEYS = 6
+
+
+class Edges(NamedTuple):
+    """Values that divide the rows, and tie-break keys that divide the rows of one value."""
+
+    points: list[float]
+    hot: list[bool]
+    hot_nulls: bool
+    ties: list[float]
+    tie_key: int
+
+
+def _number(column: Column) -> Column:
+    return column.cast("double")
+
+
+def _tie_keys(rows: DataFrame, tie: str) -> list[Column]:
+    """Numbers in the order of the tie-break column; later ones serve where earlier ones are equal."""
+    if not isinstance(rows.schema[tie].dataType, T.StringType):
+        return [_number(F.col(tie))]
+    data = F.encode(F.col(tie), "UTF-8")
+    digits = 2 * KEY_BYTES
+    return [
+        F.conv(F.rpad(F.hex(F.substring(data, 1 + i * KEY_BYTES, KEY_BYTES)), digits, "0"), 16, 10)
+        .cast("double") for i in range(KEYS)
+    ]
+
+
+def edges(rows: DataFrame, value: Column, tie: str, blocks: int) -> Edges:
+    """The edges of about ``blocks`` blocks of equal size, by one aggregation."""
+    ranks = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
+    keys = _tie_keys(rows, tie)
+    names = [f"key{i}" for i in range(len(keys))]
+    table = rows.select(_number(value).alias("value"), *[
+        k.alias(n) for k, n in zip(keys, names, strict=True)])
+
+    def quantiles(name: str) -> Column:
+        sketch = F.kll_sketch_agg_double(name)
+        some = F.count(name) > 0
+        return F.when(some, F.kll_sketch_get_quantile_double(sketch, ranks)).alias(name)
+
+    found = table.agg(
+        F.count("*").alias("rows"), F.count("value").alias("known"), quantiles("value"),
+        *[c for n in names for c in (
+            quantiles(n), (F.min(n) < F.max(n)).alias(f"{n}_differs"))],
+    ).first()
+    values = found.value or []
+    finite = sorted({v for v in values if abs(v) != float("inf")})
+    chosen = next((i for i, n in enumerate(names) if found[f"{n}_differs"]), 0)
+    return Edges(
+        points=finite,
+        hot=[values.count(v) > 1 for v in finite],
+        hot_nulls=(found.rows - found.known) * blocks > found.rows,
+        ties=sorted(set(found[names[chosen]] or [])),
+        tie_key=chosen,
+    )
+
 
-# monotonically_increasing_id() holds the partition number above this bit, the row's place below.
-PLACE_BITS = 33
+def _bucket(rows: DataFrame, column: str, points: list[float], to: str) -> DataFrame:
+    """Adds the number of points up to a column's value."""
+    if not points:
+        return rows.withColumn(to, F.lit(0.0))
+    return Bucketizer(splits=[float("-inf"), *points, float("inf")], inputCol=column, outputCol=to,
+                      handleInvalid="keep").transform(rows)
 
 
-def place(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rows in the given total order, with their block and their place in it (from 0).
+def with_block(
+    rows: DataFrame, value: Column, tie: str, nulls_first: bool = False, blocks: int | None = None,
+) -> DataFrame:
+    """Adds ``BLOCK``, which ascends with ``value`` and, within equal values, with ``tie``.
 
-    ``order`` must end in a unique column: rows that tie cannot be put into different blocks.
+    ``BASE`` is the same for all blocks of one value. Building this runs one aggregation.
     """
-    shared_folder(rows.sparkSession)
-    row_id = F.col("__row_id")
-    return (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__row_id", F.monotonically_increasing_id())
-        .withColumn(BLOCK, F.shiftright(row_id, PLACE_BITS))
-        .withColumn(PLACE, row_id.bitwiseAND((1 << PLACE_BITS) - 1))
-        .drop("__row_id")
-        .checkpoint()
-    )
+    if blocks is None:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = BLOCKS_PER_PARTITION * partitions
+    found = edges(rows, value, tie, max(blocks, 2))
+    key = _tie_keys(rows, tie)[found.tie_key]
+    columns = rows.columns
+    placed = rows.withColumns({"__value": _number(value), "__key": key})
+    placed = _bucket(placed, "__value", found.points, "__at")
+    placed = _bucket(placed, "__key", found.ties, "__tie")
+    at = F.col("__at").cast("int")
+    # Below the first point, on a point, between points: 0, 1, 2 and so on.
+    on_point = F.get(F.lit(found.points or [0.0]), at - 1) == F.col("__value")
+    hot = F.get(F.lit(found.hot or [False]), at - 1) & on_point
+    base = 2 * at - F.when(on_point, 1).otherwise(0)
+    null_base = F.lit(-1 if nulls_first else 2 * len(found.points) + 1)
+    known = F.col("__value").isNotNull()
+    split = F.when(known, hot).otherwise(F.lit(found.hot_nulls))
+    within = F.when(split & F.col("__key").isNotNull(), F.col("__tie").cast("bigint") + 1)
+    base = F.when(known, base).otherwise(null_base).cast("bigint")
+    return placed.select(
+        *columns, base.alias(BASE),
+        (base * (len(found.ties) + 2) + F.coalesce(within, F.lit(0))).alias(BLOCK))
 
 
 def _before(blocks: DataFrame, value: str) -> Column:
@@ -48,12 +132,18 @@ def _before(blocks: DataFrame, value: str) -> Column:
     return F.sum(value).over(Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1))
 
 
-def ntile(rows: DataFrame, tiles: int, order: list[Column], name: str) -> DataFrame:
-    """SQL ``NTILE`` over the whole table: sizes differ by one at most, larger tiles first.
+def _ranked(rows: DataFrame, value: str, tie: str) -> tuple[DataFrame, list[Column]]:
+    """Rows in blocks of descending value, and the order within a block."""
+    return with_block(rows, -F.col(value), tie), [F.desc(value), F.asc(tie)]
+
 
-    The result keeps ``order``, as blocks follow each other and none of their rows move again.
+def ntile(rows: DataFrame, tiles: int, value: str, tie: str, name: str) -> DataFrame:
+    """SQL ``NTILE`` over the whole table, highest ``value`` first and ``tie`` within equal ones.
+
+    Sizes differ by one at most, larger tiles first. ``tie`` is unique. The result is in order:
+    blocks are range partitioned once, which serves the window and the order.
     """
-    placed = place(rows, order)
+    placed, order = _ranked(rows, value, tie)
     counts = placed.groupBy(BLOCK).agg(F.count("*").alias("__rows"))
     offsets = counts.select(
         BLOCK,
@@ -67,83 +157,70 @@ def ntile(rows: DataFrame, tiles: int, order: list[Column], name: str) -> DataFr
         END
     """)
     return (
-        placed.join(F.broadcast(offsets), BLOCK)  # one row per block
+        placed.repartitionByRange(BLOCK)
+        .withColumn(PLACE, F.row_number().over(Window.partitionBy(BLOCK).orderBy(*order)) - 1)
+        .join(F.broadcast(offsets), BLOCK)  # one row per block
+        .orderBy(BLOCK, PLACE)
         .withColumns({
             "__number": F.col("__before") + F.col(PLACE),
             "__small": F.floor(F.col("__total") / tiles),
             "__larger": F.col("__total") % tiles,
         })
         .withColumn(name, tile)
-        .drop("__before", "__total", "__number", "__small", "__larger", BLOCK, PLACE)
+        .select(*rows.columns, name)
     )
 
 
 def running_total(
-    rows: DataFrame, value: str, order: list[Column], name: str, total: str
+    rows: DataFrame, sums: list[str], value: str, tie: str, names: list[str], totals: list[str],
 ) -> DataFrame:
-    """Running and grand total of ``value`` over the whole table.
+    """Running and grand totals of the columns ``sums``, highest ``value`` first.
 
-    The result keeps ``order``: blocks are range partitioned once, which serves the window and the
-    order.
+    ``tie`` is unique. The result is in order.
     """
-    placed = place(rows, order)
-    sums = placed.groupBy(BLOCK).agg(F.sum(value).alias("__sum"))
-    offsets = sums.select(
+    placed, order = _ranked(rows, value, tie)
+    in_block = placed.groupBy(BLOCK).agg(*[F.sum(c).alias(c) for c in sums])
+    offsets = in_block.select(
         BLOCK,
-        _before(sums, "__sum").alias("__before"),
-        F.sum("__sum").over(Window.partitionBy()).alias(total),
-    )
-    local = F.sum(value).over(
-        Window.partitionBy(BLOCK).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
+        *[_before(in_block, c).alias(f"__before_{c}") for c in sums],
+        *[F.sum(c).over(Window.partitionBy()).alias(t) for c, t in zip(sums, totals, strict=True)],
     )
+    local = Window.partitionBy(BLOCK).orderBy(*order)
+    until = local.rowsBetween(Window.unboundedPreceding, 0)
+
+    def both(column: str) -> Column:
+        before, own = F.col(f"__before_{column}"), F.col(f"__local_{column}")
+        return F.coalesce(before + own, own, before)
+
     return (
         placed.repartitionByRange(BLOCK)
-        .withColumn("__local", local)
+        .withColumns({f"__local_{c}": F.sum(c).over(until) for c in sums})
+        .withColumn(PLACE, F.row_number().over(local))
         .join(F.broadcast(offsets), BLOCK)  # one row per block
         .orderBy(BLOCK, PLACE)
-        .withColumn(
-            name, F.coalesce(F.col("__before") + F.col("__local"), "__local", "__before")
-        )
-        .drop("__before", "__local", BLOCK, PLACE)
+        .select(*rows.columns, *[both(c).alias(n) for c, n in zip(sums, names, strict=True)],
+                *totals)
     )
 
 
-def _placed_groups(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+def dense_rank(rows: DataFrame, group: list[str], value: str, tie: str, name: str) -> DataFrame:
+    """``DENSE_RANK`` per group, highest ``value`` first. ``tie`` only splits hot values."""
+    placed, _ = _ranked(rows, value, tie)
     # A struct of the group columns is never null, so null groups join as any other.
-    return place(rows, [*[F.col(c) for c in group], *order]).withColumn(GROUP, F.struct(*group))
-
-
-def dense_rank(
-    rows: DataFrame, group: list[str], value: str, tie_break: list[str], name: str
-) -> DataFrame:
-    """``DENSE_RANK`` per group, highest ``value`` first."""
-    placed = _placed_groups(rows, group, [F.desc(value), *[F.asc(c) for c in tie_break]])
-    within = Window.partitionBy(BLOCK, GROUP)
-    local = placed.withColumn("__rank", F.dense_rank().over(within.orderBy(F.desc(value))))
-    ends = local.groupBy(BLOCK, GROUP).agg(
-        F.max("__rank").alias("__distinct"),
-        F.min_by(F.struct(value), PLACE).alias("__first"),
-        F.max_by(F.struct(value), PLACE).alias("__last"),
-    )
+    placed = placed.withColumn(GROUP, F.struct(*group))
+    within = Window.partitionBy(GROUP, BLOCK).orderBy(F.desc(value))
+    local = placed.withColumn("__rank", F.dense_rank().over(within))
+    ends = local.groupBy(GROUP, BLOCK, BASE).agg(F.max("__rank").alias("__distinct"))
     across = Window.partitionBy(GROUP).orderBy(BLOCK)  # at most one row per block
-    earlier = F.sum("__distinct").over(across.rowsBetween(Window.unboundedPreceding, -1))
-    # A value that runs on from one block into the next must be ranked once.
-    runs_on = F.coalesce((F.lag("__last").over(across) == F.col("__first")).cast("int"), F.lit(0))
-    offsets = (
-        ends.withColumn("__earlier", F.coalesce(earlier, F.lit(0)))
-        .withColumn("__runs_on", runs_on)
-        .select(
-            BLOCK,
-            GROUP,
-            (F.col("__earlier") - F.sum("__runs_on").over(
-                across.rowsBetween(Window.unboundedPreceding, 0)
-            )).alias("__offset"),
-        )
-    )
+    # Blocks of one value have one rank together.
+    counted = F.when(F.lead(BASE).over(across) == F.col(BASE), 0).otherwise(F.col("__distinct"))
+    earlier = F.sum("__counted").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ends.withColumn("__counted", counted).select(
+        GROUP, BLOCK, F.coalesce(earlier, F.lit(0)).alias("__offset"))
     return (
-        local.join(offsets, [BLOCK, GROUP])
+        local.join(offsets, [GROUP, BLOCK])
         .withColumn(name, F.col("__rank") + F.col("__offset"))
-        .drop("__rank", "__offset", BLOCK, PLACE, GROUP)
+        .select(*rows.columns, name)
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import values
 from ordermill.functions.text import collapse, strip, title_case, upper_code
-from ordermill.schemas import GUEST, PERCENT
+from ordermill.schemas import GUEST
 
 # The metric names of the counts below, and customer ids that stand for "no customer".
 MISSING_IDS = ["", "nan", "NULL", "None"]
@@ -75,7 +75,7 @@ def transaction_type(quantity: Column) -> Column:
 
 
 def clamp_percent(percent: Column) -> Column:
-    return F.when(percent > 100, 100).when(percent < 0, 0).otherwise(percent)
+    return F.when(percent > 100, 100.0).when(percent < 0, 0.0).otherwise(percent)
 
 
 def with_measures(items: DataFrame) -> DataFrame:
@@ -92,14 +92,15 @@ def with_measures(items: DataFrame) -> DataFrame:
 def clean_order_items(raw: DataFrame) -> Cleaned:
     """Numbers from text, discounts within 0..100, transaction type and signed revenue.
 
-    A discount is capped before it is typed, so one of any size, infinite ones too, becomes 100.
+    Numbers keep their size and precision. A quantity of any size, infinite ones too, counts by its
+    sign; one that is no number counts as a purchase without revenue.
     """
     quantity = values.to_number(F.col("quantity"))
-    discount = values.to_double(F.col("discount_percent"))
+    discount = values.to_number(F.col("discount_percent"))
     rows = with_measures(raw.withColumns({
         "quantity": quantity,
         "unit_price": values.to_number(F.col("unit_price")),
-        "discount_percent": clamp_percent(discount).cast(PERCENT),
+        "discount_percent": clamp_percent(discount),
     }))
     issues = raw.agg(
         F.count("*").alias("total_rows"),

@@ -9,13 +9,15 @@ Guest orders share one customer id. Questions about single customers leave them
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ordermill.functions import amounts
 from ordermill.functions.values import (
-    DAY_MICROS, days, micros_between, month_label, percent_of, rounded,
+    DAY_MICROS, days, fixed_moment, micros_between, month_label, percent_of,
 )
 from ordermill.operators import blocks
 from ordermill.schemas import GUEST, Tables
@@ -27,35 +29,40 @@ class Sums(NamedTuple):
     """What most questions need of order items: one row per order with items, and per product.
 
     ``orders``: order_id, customer_id, order_date, region_code, revenue. ``products``: product_id,
-    revenue, pieces, bought, returned. A run stores both once; else each question sums the columns
-    it needs.
+    revenue, pieces, bought, returned. The numbers are amounts, exact in two columns each. A run
+    stores both tables once; else each question sums the columns it needs.
     """
 
     orders: DataFrame
     products: DataFrame
 
 
-def revenue_per(items: DataFrame, key: str) -> DataFrame:
-    return items.groupBy(key).agg(F.sum("revenue").alias("revenue"))
+def revenue_per(rows: DataFrame, *keys) -> DataFrame:
+    """Revenue per key, from rows whose revenue is summed already."""
+    return amounts.sum_again(rows, list(keys), "revenue")
+
+
+def item_revenue_per(items: DataFrame, key: str) -> DataFrame:
+    return amounts.sum_per(items, [key], {"revenue": F.col("revenue")})
 
 
 def with_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders that have items, each with the sum of its item revenues."""
-    return orders.join(revenue_per(items, "order_id"), "order_id")
+    return orders.join(item_revenue_per(items, "order_id"), "order_id")
 
 
-def pieces_if(kind: str) -> Column:
-    return F.sum(F.when(F.col("transaction_type") == kind, F.col("quantity_abs")).otherwise(0))
+def _pieces_if(kind: str) -> Column:
+    return F.when(F.col("transaction_type") == kind, F.col("quantity_abs")).otherwise(0.0)
 
 
 def sums(t: Tables) -> Sums:
     orders = t.orders.select("order_id", "customer_id", "order_date", "region_code")
     return Sums(
         with_revenue(orders, t.order_items),
-        t.order_items.groupBy("product_id").agg(
-            F.sum("revenue").alias("revenue"), F.sum("quantity_abs").alias("pieces"),
-            pieces_if("PURCHASE").alias("bought"), pieces_if("RETURN").alias("returned"),
-        ),
+        amounts.sum_per(t.order_items, ["product_id"], {
+            "revenue": F.col("revenue"), "pieces": F.col("quantity_abs"),
+            "bought": _pieces_if("PURCHASE"), "returned": _pieces_if("RETURN"),
+        }),
     )
 
 
@@ -71,11 +78,11 @@ def revenue_per_customer(s: Sums) -> DataFrame:
 def revenue_by_category(t: Tables, s: Sums | None = None) -> DataFrame:
     """Total revenue per product category."""
     s = s or sums(t)
+    sold = s.products.select("product_id", *amounts.columns("revenue")).join(
+        t.products.select("product_id", "category"), "product_id")
     return (
-        s.products.select("product_id", "revenue")
-        .join(t.products.select("product_id", "category"), "product_id")
-        .groupBy("category")
-        .agg(rounded(F.sum("revenue")).alias("total_revenue"))
+        revenue_per(sold, "category")
+        .select("category", amounts.rounded("revenue").alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "category")
     )
 
@@ -86,7 +93,7 @@ def top_customers(t: Tables, s: Sums | None = None, n: int = 10) -> DataFrame:
     return (
         revenue_per(s.orders, "customer_id")
         .join(t.customers.select("customer_id", "customer_name"), "customer_id")
-        .withColumn("total_order_value", rounded(F.col("revenue")))
+        .withColumn("total_order_value", amounts.rounded("revenue"))
         .select("customer_id", "customer_name", "total_order_value")
         .orderBy(F.desc("total_order_value"), "customer_id")
         .limit(n)
@@ -127,13 +134,13 @@ def returned_more_than_bought(t: Tables, s: Sums | None = None) -> DataFrame:
     """Products with more pieces returned than bought."""
     s = s or sums(t)
     return (
-        s.products.select("product_id", "bought", "returned")
-        .filter("returned > bought")
-        .join(t.products.select("product_id", "product_name"), "product_id")
-        .select(
-            "product_id", "product_name", F.col("bought").cast("double").alias("purchase_qty"),
-            F.col("returned").cast("double").alias("return_qty"),
+        s.products.select(
+            "product_id", amounts.total("bought").alias("purchase_qty"),
+            amounts.total("returned").alias("return_qty"),
         )
+        .filter("return_qty > purchase_qty")
+        .join(t.products.select("product_id", "product_name"), "product_id")
+        .select("product_id", "product_name", "purchase_qty", "return_qty")
         .orderBy(F.desc("return_qty"), "product_id")
     )
 
@@ -141,15 +148,14 @@ def returned_more_than_bought(t: Tables, s: Sums | None = None) -> DataFrame:
 def return_rate_by_category(t: Tables, s: Sums | None = None) -> DataFrame:
     """Returned pieces in percent of all pieces, per category."""
     s = s or sums(t)
+    pieces = s.products.select(
+        "product_id", *amounts.columns("pieces"), *amounts.columns("returned")
+    ).join(t.products.select("product_id", "category"), "product_id")
     rate = percent_of(F.col("returned_items"), F.col("total_items"))
     return (
-        s.products.select("product_id", "pieces", "returned")
-        .join(t.products.select("product_id", "category"), "product_id")
-        .groupBy("category")
-        .agg(
-            F.sum("pieces").cast("double").alias("total_items"),
-            F.sum("returned").cast("double").alias("returned_items"),
-        )
+        amounts.sum_again(pieces, ["category"], "pieces", "returned")
+        .select("category", amounts.total("pieces").alias("total_items"),
+                amounts.total("returned").alias("returned_items"))
         .withColumn("return_rate_percent", rate)
         .orderBy(F.desc("return_rate_percent"), "category")
     )
@@ -161,19 +167,16 @@ def running_revenue_by_region(t: Tables, s: Sums | None = None) -> DataFrame:
     The window sees one row per region and calendar day, never single orders.
     """
     s = s or sums(t)
-    daily = (
-        s.orders.groupBy("region_code", F.to_date("order_date").alias("order_date"))
-        .agg(F.sum("revenue").alias("revenue"))
-    )
+    daily = revenue_per(s.orders, "region_code", F.to_date("order_date").alias("order_date"))
     until_today = (
         Window.partitionBy("region_code").orderBy("order_date")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return daily.select(
+    return daily.withColumns(amounts.over("revenue", until_today, "run")).select(
         "region_code",
         "order_date",
-        rounded(F.col("revenue")).alias("daily_revenue"),
-        rounded(F.sum("revenue").over(until_today)).alias("running_total"),
+        amounts.rounded("revenue").alias("daily_revenue"),
+        amounts.rounded("run").alias("running_total"),
     ).orderBy("region_code", "order_date")
 
 
@@ -183,65 +186,67 @@ def product_rank_in_category(t: Tables, s: Sums | None = None) -> DataFrame:
     A category may hold most products, so ranks are taken in blocks.
     """
     s = s or sums(t)
-    revenue = (
-        s.products.select("product_id", "revenue")
-        .join(t.products.select("product_id", "category", "product_name"), "product_id")
-        .groupBy("category", "product_name")
-        .agg(F.sum("revenue").alias("revenue"))
-    )
-    ranked = blocks.dense_rank(revenue, ["category"], "revenue", ["product_name"], "rank")
+    sold = s.products.select("product_id", *amounts.columns("revenue")).join(
+        t.products.select("product_id", "category", "product_name"), "product_id")
+    revenue = revenue_per(sold, "category", "product_name").withColumn(
+        "value", amounts.total("revenue"))
+    ranked = blocks.dense_rank(revenue, ["category"], "value", "product_name", "rank")
     return ranked.select(
         "category",
         "product_name",
-        rounded(F.col("revenue")).alias("total_revenue"),
+        amounts.rounded("revenue").alias("total_revenue"),
         F.col("rank").cast("bigint").alias("rank_in_category"),
     ).orderBy("category", "rank_in_category", "product_name")
 
 
-MONTH = "__month"
 CARRIED = "__carried"
+BLOCK = blocks.BLOCK
 
 
-def _by_month(t: Tables) -> DataFrame:
-    """Orders of known customers with their month, which splits busy customers into blocks."""
-    return known_customers(t.orders).select(
-        "customer_id", "order_date", "order_id", F.trunc("order_date", "month").alias(MONTH)
-    )
+def _in_time(t: Tables) -> DataFrame:
+    """Orders of known customers with their block of time, which splits busy customers.
 
+    Blocks hold about equal numbers of all orders, whatever the times are, and orders of one instant
+    are split by their ids where they are many.
+    """
+    orders = known_customers(t.orders).select("customer_id", "order_date", "order_id")
+    since = micros_between(fixed_moment(dt.datetime(1970, 1, 1)), F.col("order_date"))
+    return blocks.with_block(orders, since, "order_id", nulls_first=True).drop(blocks.BASE)
 
-def _months(orders: DataFrame) -> DataFrame:
-    """One row per customer and month: number of orders, first and last, dated ones."""
+
+def _blocks_of(orders: DataFrame) -> DataFrame:
+    """One row per customer and block: number of orders, first and last, dated ones."""
     row = F.struct("order_date", "order_id")
-    return orders.groupBy("customer_id", MONTH).agg(
+    return orders.groupBy("customer_id", BLOCK).agg(
         F.count("*").alias("orders"), F.min(row).alias("first"), F.max(row).alias("last"),
         F.min("order_date").alias("low"), F.max("order_date").alias("high"),
         F.count("order_date").alias("dated"),
     )
 
 
-def _months_window() -> WindowSpec:
-    """A window that sees a customer's months, never single orders."""
+def _customer_window() -> WindowSpec:
+    """A window that sees a customer's blocks, never single orders."""
     return Window.partitionBy("customer_id")
 
 
 def _block_window() -> WindowSpec:
-    return Window.partitionBy("customer_id", MONTH)
+    return Window.partitionBy("customer_id", BLOCK)
 
 
 def _in_blocks(orders: DataFrame, carried: DataFrame) -> DataFrame:
-    """Orders and the rows carried into their blocks, placed by customer and month.
+    """Orders and the rows carried into their blocks, placed by customer and block.
 
-    A carried row has what a block must know of the months around it. The placing serves windows
-    per block and the final order by customer, month and date, so orders move only once.
+    A carried row has what a block must know of the blocks around it. The placing serves windows
+    per block and the final order by customer, block and date, so orders move only once.
     """
     return (
         orders.withColumn(CARRIED, F.lit(False))
         .unionByName(carried.withColumn(CARRIED, F.lit(True)), allowMissingColumns=True)
-        .repartitionByRange("customer_id", MONTH)
+        .repartitionByRange("customer_id", BLOCK)
     )
 
 
-BLOCK_ORDER = ["customer_id", MONTH, "order_date", "order_id"]
+BLOCK_ORDER = ["customer_id", BLOCK, "order_date", "order_id"]
 
 
 def order_gaps(t: Tables, s: Sums | None = None, risk_days: int = 30) -> DataFrame:
@@ -250,13 +255,13 @@ def order_gaps(t: Tables, s: Sums | None = None, risk_days: int = 30) -> DataFra
     The gaps of a customer add up to the time between the first and the latest dated order, so the
     average needs no gap. A customer with a single order has none and counts as active.
     """
-    orders = _by_month(t)
-    dated = F.sum("dated").over(_months_window())
-    every = _months_window()
+    orders = _in_time(t)
+    dated = F.sum("dated").over(_customer_window())
+    every = _customer_window()
     total = micros_between(F.min("low").over(every), F.max("high").over(every))
-    before = F.lag("last").over(_months_window().orderBy(MONTH))
-    carried = _months(orders).select(
-        "customer_id", MONTH,
+    before = F.lag("last").over(_customer_window().orderBy(BLOCK))
+    carried = _blocks_of(orders).select(
+        "customer_id", BLOCK,
         before["order_date"].alias("order_date"), before["order_id"].alias("order_id"),
         (total > risk_days * DAY_MICROS * (dated - 1)).alias("at_risk"),
     )
@@ -283,15 +288,11 @@ def monthly_revenue_bands(
 ) -> DataFrame:
     """Customers per month and revenue band."""
     s = s or sums(t)
-    monthly = (
-        known_customers(s.orders)
-        .groupBy("customer_id", month_label(F.col("order_date")).alias("year_month"))
-        .agg(F.sum("revenue").alias("revenue"))
-    )
+    month = month_label(F.col("order_date")).alias("year_month")
+    monthly = revenue_per(known_customers(s.orders), "customer_id", month)
+    value = amounts.total("revenue")
     band = (
-        F.when(F.col("revenue") > high_above, "High")
-        .when(F.col("revenue") >= medium_from, "Medium")
-        .otherwise("Low")
+        F.when(value > high_above, "High").when(value >= medium_from, "Medium").otherwise("Low")
     )
     # Each customer occurs once per month here, so counting rows counts customers.
     return (
@@ -303,14 +304,13 @@ def monthly_revenue_bands(
 
 def value_quartiles(t: Tables, s: Sums | None = None) -> DataFrame:
     """Customers in four groups of equal size by lifetime value."""
-    tiled = blocks.ntile(
-        revenue_per_customer(s or sums(t)), 4, [F.desc("revenue"), F.asc("customer_id")], "quartile"
-    )
+    revenue = revenue_per_customer(s or sums(t)).withColumn("value", amounts.total("revenue"))
+    tiled = blocks.ntile(revenue, 4, "value", "customer_id", "quartile")
     labels = F.array(*[F.lit(label) for label in QUARTILE_LABELS])
     # The rows already come in the order they were ranked by.
     return tiled.select(
         "customer_id",
-        rounded(F.col("revenue")).alias("total_value"),
+        amounts.rounded("revenue").alias("total_value"),
         "quartile",
         F.element_at(labels, F.col("quartile").cast("int")).alias("quartile_label"),
     )
@@ -320,21 +320,24 @@ def revenue_year_over_year(t: Tables, s: Sums | None = None) -> DataFrame:
     """Each month's revenue next to that of the same month a year earlier."""
     s = s or sums(t)
     year, month = F.year("order_date").alias("y"), F.month("order_date").alias("m")
-    monthly = s.orders.groupBy(year, month).agg(F.sum("revenue").alias("revenue"))
+    monthly = revenue_per(s.orders, year, month)
     # One row per year in each window; the frame holds just the year before. Orders without a
     # date have no year and no such frame.
     year_before = Window.partitionBy("m").orderBy("y").rangeBetween(-1, -1)
-    previous = F.when(F.col("y").isNotNull(), F.max("revenue").over(year_before))
-    growth = percent_of(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
+    previous = {
+        name: F.when(F.col("y").isNotNull(), before)
+        for name, before in amounts.over("revenue", year_before, "prev_revenue").items()
+    }
+    now, then = amounts.total("revenue"), amounts.total("prev_revenue")
     return (
-        monthly.withColumn("prev_revenue", previous)
+        monthly.withColumns(previous)
         .orderBy("y", "m")
         .select(
             F.lpad(F.col("y").cast("string"), 4, "0").alias("year"),
             F.lpad(F.col("m").cast("string"), 2, "0").alias("month"),
-            rounded(F.col("revenue")).alias("revenue"),
-            rounded(F.col("prev_revenue")).alias("prev_year_revenue"),
-            growth.alias("yoy_growth_percent"),
+            amounts.rounded("revenue").alias("revenue"),
+            amounts.rounded("prev_revenue").alias("prev_year_revenue"),
+            percent_of(now - then, then).alias("yoy_growth_percent"),
         )
     )
 
@@ -373,18 +376,16 @@ def category_shift(t: Tables, s: Sums | None = None) -> DataFrame:
 def cumulative_revenue_share(t: Tables, s: Sums | None = None) -> DataFrame:
     """Running share of total revenue, from the best customer down."""
     # The rows already come in the order they were summed by.
+    revenue = revenue_per_customer(s or sums(t)).withColumn("value", amounts.total("revenue"))
     running = blocks.running_total(
-        revenue_per_customer(s or sums(t)),
-        "revenue",
-        [F.desc("revenue"), F.asc("customer_id")],
-        "cumulative",
-        "total",
+        revenue, amounts.columns("revenue"), "value", "customer_id",
+        amounts.columns("cumulative"), amounts.columns("whole"),
     )
     return running.select(
         "customer_id",
-        rounded(F.col("revenue")).alias("revenue"),
-        rounded(F.col("cumulative")).alias("cumulative_revenue"),
-        percent_of(F.col("cumulative"), F.col("total")).alias("cumulative_percent"),
+        amounts.rounded("revenue").alias("revenue"),
+        amounts.rounded("cumulative").alias("cumulative_revenue"),
+        percent_of(amounts.total("cumulative"), amounts.total("whole")).alias("cumulative_percent"),
     )
 
 
@@ -442,11 +443,11 @@ def _next_order_columns(rows: DataFrame) -> DataFrame:
 
 def next_order(t: Tables, s: Sums | None = None) -> DataFrame:
     """Each customer order with the order that follows it."""
-    orders = _by_month(t)
-    after = F.lead("first").over(_months_window().orderBy(MONTH))
-    # The next month's first order stands at the end of a month's block.
-    carried = _months(orders).select("customer_id", MONTH, after.alias("after")).filter(
-        "after IS NOT NULL").select("customer_id", MONTH, "after.order_date", "after.order_id")
+    orders = _in_time(t)
+    after = F.lead("first").over(_customer_window().orderBy(BLOCK))
+    # The next block's first order stands at the end of a block.
+    carried = _blocks_of(orders).select("customer_id", BLOCK, after.alias("after")).filter(
+        "after IS NOT NULL").select("customer_id", BLOCK, "after.order_date", "after.order_id")
     in_order = _block_window().orderBy("order_date", "order_id")
     following = F.lead(F.struct("order_id", "order_date")).over(in_order)
     return _next_order_columns(
@@ -456,11 +457,11 @@ def next_order(t: Tables, s: Sums | None = None) -> DataFrame:
 
 def next_order_by_self_join(t: Tables, s: Sums | None = None) -> DataFrame:
     """``next_order`` by numbering the orders and joining each to the one numbered after it."""
-    orders = _by_month(t)
-    before = _months_window().orderBy(MONTH).rowsBetween(Window.unboundedPreceding, -1)
+    orders = _in_time(t)
+    before = _customer_window().orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.sum("orders").over(before)
-    carried = _months(orders).select(
-        "customer_id", MONTH, F.coalesce(earlier, F.lit(0)).alias("earlier")
+    carried = _blocks_of(orders).select(
+        "customer_id", BLOCK, F.coalesce(earlier, F.lit(0)).alias("earlier")
     )
     place = F.row_number().over(
         _block_window().orderBy(F.desc(CARRIED), "order_date", "order_id"))

@@ -31,6 +31,8 @@ FIRST_PERIOD = report.parse_period("1995-01-01", "1995-01-31")
 EMPTY_PERIOD = report.parse_period("2030-01-01", "2030-01-31")
 WEEK = report.parse_period("1998-01-05", "1998-01-11")
 DAY = report.parse_period("1998-01-05", "1998-01-05")
+# From the middle of a week and month to a time without orders.
+SERIES = report.parse_period("2001-05-17", "2001-10-10")
 
 
 def _for_output(rows: DataFrame) -> DataFrame:
@@ -145,8 +147,25 @@ def _periods_before(t: Tables) -> DataFrame:
     """Each month with orders as a period, and the period before it."""
     first = F.trunc("order_date", "month").alias("start")
     months = t.orders.select(first).distinct().withColumn("end", F.last_day("start"))
-    begin, end = report.before_period(F.col("start"), F.col("end"))
-    return months.select("start", "end", begin.alias("previous_start"), end.alias("previous_end"))
+    before = report.previous_period(report.Period(F.col("start"), F.col("end")))
+    return months.select("start", "end", before.start.alias("previous_start"),
+                         before.end.alias("previous_end"))
+
+
+def _period_of_all_orders(t: Tables) -> DataFrame:
+    """The summary of the period from the first to the latest order, given as the report's texts."""
+    first, last = t.orders.agg(
+        *[F.date_format(f("order_date"), "yyyy-MM-dd") for f in (F.min, F.max)]).first()
+    return report.period_summaries(t, {"all": report.parse_period(first, last)})
+
+
+def _series(report_type: str, stored: bool = False) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        t = testdata.clean(spark, folder)
+        s = store_sums(t, new_scratch(spark, "sums")) if stored else None
+        return report.period_series(t, SERIES, report_type, s)
+
+    return query
 
 
 def _report_days(raw: Tables) -> DataFrame:
@@ -236,6 +255,10 @@ def queries() -> dict[str, Query]:
         "clean_order_items_issues": _on_raw(
             lambda raw: clean_order_items(raw.order_items).issues
         ),
+        "odd_numbers": lambda spark, folder: clean_order_items(
+            testdata.odd_items(spark, folder)).rows,
+        "odd_numbers_issues": lambda spark, folder: clean_order_items(
+            testdata.odd_items(spark, folder)).issues,
         "order_date_classes": _on_raw(_date_classes),
         "invalid_emails": _on_raw(lambda raw: quality.invalid_emails(raw.customers)),
         "invalid_email_sample": _on_raw(lambda raw: quality.invalid_email_sample(raw.customers)),
@@ -266,6 +289,10 @@ def queries() -> dict[str, Query]:
         "period_comparison_daily": _on_clean(lambda t: report.period_comparison(t, DAY, "daily")),
         "period_comparison_from_sums": _period_from_sums,
         "periods_before": _on_clean(_periods_before),
+        "period_of_all_orders": _on_clean(_period_of_all_orders),
+        "period_series_daily": _series("daily"),
+        "period_series_weekly": _series("weekly"),
+        "period_series_monthly": _series("monthly", stored=True),
         "report_days": _on_raw(_report_days),
         "table_load_counts": _load,
         "bucketed_running_revenue": _bucketed(analytics.running_revenue_by_region),

@@ -8,9 +8,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions import amounts
 from ordermill.functions.text import strip
-from ordermill.functions.values import fixed_moment, rounded
-from ordermill.plans.analytics import Sums, revenue_per, sums
+from ordermill.plans.analytics import Sums, item_revenue_per, revenue_per
 from ordermill.schemas import Tables
 
 # Report types and the label without a prior value.
@@ -18,11 +18,14 @@ REPORT_TYPES = ["daily", "weekly", "monthly"]
 NO_PRIOR = "N/A (no prior data)"
 
 
+UNITS = {"daily": "day", "weekly": "week", "monthly": "month"}
+
+
 class Period(NamedTuple):
-    """First and last day, both included."""
+    """First and last day, both included; dates or date columns."""
 
-    start: dt.date
-    end: dt.date
+    start: dt.date | Column
+    end: dt.date | Column
 
 
 def parse_period(start: str, end: str) -> Period:
@@ -34,9 +37,9 @@ def parse_period(start: str, end: str) -> Period:
 
 
 def previous_period(period: Period) -> Period:
-    """The period of equal length that ends the day before."""
-    end = period.start - dt.timedelta(days=1)
-    return Period(end - (period.end - period.start), end)
+    """The period of equal length that ends the day before, as date columns."""
+    start, end = F.lit(period.start), F.lit(period.end)
+    return Period(F.date_sub(start, F.date_diff(end, start) + 1), F.date_sub(start, 1))
 
 
 def report_day(text: Column) -> Column:
@@ -45,67 +48,113 @@ def report_day(text: Column) -> Column:
     return F.when(own.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), own.try_cast("date"))
 
 
-def before_period(start: Column, end: Column) -> tuple[Column, Column]:
-    """First and last day of the period of equal length before, as columns."""
-    return F.date_sub(start, F.date_diff(end, start) + 1), F.date_sub(start, 1)
+def _midnight(day: dt.date | Column) -> Column:
+    """A constant that reaches the scan: dates become moments without a time zone."""
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def _within(moment: Column, period: Period) -> Column:
-    after = period.end + dt.timedelta(days=1)
+    after = F.date_add(F.lit(period.end), 1)
     return (moment >= _midnight(period.start)) & (moment < _midnight(after))
 
 
-def _midnight(day: dt.date) -> Column:
-    return fixed_moment(dt.datetime.combine(day, dt.time()))
-
-
-def period_summaries(
-    t: Tables, periods: dict[str, Period], s: Sums | None = None
+def _figures(
+    t: Tables, s: Sums | None, span: Period, name: Column, names: DataFrame,
 ) -> DataFrame:
-    """``period, total_orders, total_revenue, unique_customers`` of periods that do not overlap.
+    """Orders, revenue and customers of each period of ``names``; ``name`` tells an order's period.
 
-    One pass serves all periods. Orders and customers are counted on the orders alone; revenue comes
-    from the revenue per order, which has the order date. A period without orders has zeros.
+    Only what lies in ``span`` takes part. Orders and customers are counted on the orders alone.
+    Revenue comes from the stored revenue per order, which lies in date order; else only the items
+    of the span's orders are read on. A period without orders has zeros.
     """
-    s = s or sums(t)
-    name = F.coalesce(*[
-        F.when(_within(F.col("order_date"), p), F.lit(name)) for name, p in periods.items()
-    ])
-    span = Period(min(p.start for p in periods.values()), max(p.end for p in periods.values()))
-
     def inside(rows: DataFrame) -> DataFrame:
         return (
             rows.filter(_within(F.col("order_date"), span))
             .withColumn("period", name).filter("period IS NOT NULL")
         )
 
-    per_customer = inside(t.orders).groupBy("period", "customer_id").agg(
-        F.count("*").alias("orders"))
+    orders = inside(t.orders)
+    per_customer = orders.groupBy("period", "customer_id").agg(F.count("*").alias("orders"))
     counts = per_customer.groupBy("period").agg(
         F.sum("orders").alias("total_orders"), F.count("customer_id").alias("unique_customers")
     )
-    sold = revenue_per(inside(s.orders), "period")
-    names = t.orders.sparkSession.createDataFrame([(n,) for n in periods], "period string")
+    if s is not None:
+        sold = revenue_per(inside(s.orders), "period")
+    else:
+        items = t.order_items.select("order_id", "revenue")
+        dated = items.join(orders.select("order_id", "period"), "order_id")
+        sold = amounts.sum_per(dated, ["period"], {"revenue": F.col("revenue")})
     return names.join(counts, "period", "left").join(sold, "period", "left").select(
         "period",
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
-        rounded(F.coalesce(F.col("revenue"), F.lit(0))).alias("total_revenue"),
+        F.coalesce(amounts.rounded("revenue"), F.lit(0.0)).alias("total_revenue"),
         F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
     )
 
 
+def period_summaries(
+    t: Tables, periods: dict[str, Period], s: Sums | None = None
+) -> DataFrame:
+    """``period, total_orders, total_revenue, unique_customers`` of periods that do not overlap.
+
+    One pass serves all periods.
+    """
+    name = F.coalesce(*[
+        F.when(_within(F.col("order_date"), p), F.lit(name)) for name, p in periods.items()
+    ])
+    first, *others = periods.values()
+    start, end = F.lit(first.start), F.lit(first.end)
+    for other in others:
+        start, end = F.least(start, F.lit(other.start)), F.greatest(end, F.lit(other.end))
+    names = t.orders.sparkSession.createDataFrame([(n,) for n in periods], "period string")
+    return _figures(t, s, Period(start, end), name, names)
+
+
+def period_series(
+    t: Tables, period: Period, report_type: str = "daily", s: Sums | None = None
+) -> DataFrame:
+    """The figures of each day, week (from Monday) or month of a period, empty ones included.
+
+    The first and last week or month count the days inside the period only.
+    """
+    unit = _unit(report_type)
+    start, end = F.lit(period.start), F.lit(period.end)
+
+    def begin(day: Column) -> Column:
+        return F.date_trunc(unit, day.cast("timestamp_ntz")).cast("date")
+
+    step = F.make_interval(**{f"{unit}s": F.lit(1)}) if unit != "day" else F.make_dt_interval(
+        days=F.lit(1))
+    days = F.sequence(begin(start), end, step)
+    names = t.orders.sparkSession.range(1).select(F.explode(days).alias("period"))
+    found = _figures(t, s, period, begin(F.col("order_date")), names)
+    after = F.date_add(F.last_day("period"), 1) if unit == "month" else F.date_add(
+        "period", 7 if unit == "week" else 1)
+    return found.select(
+        F.lit(report_type).alias("report_type"),
+        F.greatest(F.col("period"), start).alias("first_day"),
+        F.least(F.date_sub(after, 1), end).alias("last_day"),
+        "total_orders", "total_revenue", "unique_customers",
+    ).orderBy("first_day")
+
+
+def _unit(report_type: str) -> str:
+    if report_type not in REPORT_TYPES:
+        raise ValueError(f"report type must be one of {', '.join(REPORT_TYPES)}")
+    return UNITS[report_type]
+
+
 def top_products(t: Tables, period: Period, n: int = 3) -> DataFrame:
     """Product names with the highest revenue in the period."""
     orders = t.orders.filter(_within(F.col("order_date"), period)).select("order_id")
     items = t.order_items.select("order_id", "product_id", "revenue")
+    sold = item_revenue_per(items.join(orders, "order_id", "left_semi"), "product_id").join(
+        t.products.select("product_id", "product_name"), "product_id")
     return (
-        revenue_per(items.join(orders, "order_id", "left_semi"), "product_id")
-        .join(t.products.select("product_id", "product_name"), "product_id")
-        .groupBy("product_name")
-        .agg(F.sum("revenue").alias("revenue"))
-        .orderBy(F.desc("revenue"), "product_name")
+        revenue_per(sold, "product_name")
+        .orderBy(F.desc(amounts.total("revenue")), "product_name")
         .limit(n)
-        .select("product_name", rounded(F.col("revenue")).alias("revenue"))
+        .select("product_name", amounts.rounded("revenue").alias("revenue"))
     )
 
 
@@ -128,8 +177,7 @@ def period_comparison(
 
     ``report_type`` only labels the report; the dates alone set its range.
     """
-    if report_type not in REPORT_TYPES:
-        raise ValueError(f"report type must be one of {', '.join(REPORT_TYPES)}")
+    _unit(report_type)
     figures = {
         "orders": "total_orders", "revenue": "total_revenue", "customers": "unique_customers",
     }

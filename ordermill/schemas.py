@@ -21,10 +21,8 @@ PRIMARY_KEYS = {
     ORDER_ITEMS: "order_item_id",
 }
 
-# Quantities, prices and costs keep fractions; discounts are within 0..100 before they are typed.
-NUMBER = "decimal(24,6)"
-PERCENT = "decimal(9,6)"
-REVENUE = "decimal(38,6)"
+# Numbers of any size and precision; functions/amounts.py adds them up exactly.
+NUMBER = "double"
 
 RAW_COLUMNS = {
     CUSTOMERS: ["customer_id", "customer_name", "email", "registration_date", "customer_type"],
@@ -64,10 +62,10 @@ CLEAN_TYPES = {
         "product_id": "string",
         "quantity": NUMBER,
         "unit_price": NUMBER,
-        "discount_percent": PERCENT,
+        "discount_percent": NUMBER,
         "transaction_type": "string",
         "quantity_abs": NUMBER,
-        "revenue": REVENUE,
+        "revenue": NUMBER,
     },
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.clean import clamp_percent, with_measures
-from ordermill.schemas import GUEST, NUMBER, PERCENT, Tables
+from ordermill.schemas import GUEST, Tables
 from ordermill.sources.generate import REGIONS
 
 # Columns and types of the test tables the projections read.
@@ -50,7 +50,7 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
         "initcap(p_name) AS product_name",
         "initcap(p_type) AS category",
         "p_brand AS subcategory",
-        f"CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS {NUMBER}) AS cost_price",
+        "CAST(p_retailprice AS DECIMAL(18,2)) AS cost_price",
     )
 
 
@@ -77,23 +77,23 @@ def _items(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey * 10 + l_linenumber AS order_item_id",
         "l_orderkey AS order_id",
         "l_partkey AS product_id",
-        f"""CAST(CASE WHEN l_partkey % 97 = 0 THEN 0 WHEN l_partkey % 499 = 1 THEN 3000000000
+        """CASE WHEN l_partkey % 97 = 0 THEN 0D WHEN l_partkey % 499 = 1 THEN 3000000000D
             ELSE IF(l_returnflag = 'R', -1, 1)
-                * (CAST(l_quantity AS INT) + IF(l_partkey % 211 = 0, 0.5, 0))
-            END AS {NUMBER}) AS quantity""",
-        f"""CAST(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT)
-            AS DECIMAL(16,0)) * 0.01 + IF(l_partkey % 227 = 0, 0.009, 0) AS {NUMBER})
-            AS unit_price""",
-        f"""CAST(CAST(round(l_discount * 100) AS INT) + IF(l_partkey % 229 = 0, 0.345, 0)
-            + IF(l_partkey % 200 = 0, 101, 0) AS {PERCENT}) AS discount_percent""",
+                * (CAST(l_quantity AS INT) + IF(l_partkey % 211 = 0, 0.5D, 0D))
+            END AS quantity""",
+        """(CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS INT) * 10
+            + IF(l_partkey % 227 = 0, 9, 0)) / 1000D AS unit_price""",
+        """(CAST(round(l_discount * 100) AS INT) * 1000 + IF(l_partkey % 229 = 0, 345, 0)
+            + IF(l_partkey % 200 = 0, 101000, 0)) / 1000D AS discount_percent""",
     )
 
 
 def clean(spark: SparkSession, folder: str) -> Tables:
-    in_range = clamp_percent(F.col("discount_percent")).cast(PERCENT)
+    in_range = clamp_percent(F.col("discount_percent"))
     return Tables(
         customers=_customers(spark, folder),
-        products=_products(spark, folder),
+        products=_products(spark, folder).withColumn(
+            "cost_price", F.col("cost_price").cast("double")),
         orders=_orders(spark, folder),
         order_items=with_measures(
             _items(spark, folder).withColumn("discount_percent", in_range)
@@ -101,6 +101,27 @@ def clean(spark: SparkSession, folder: str) -> Tables:
     )
 
 
+#: Quantities, prices and discounts in text that few number types hold; null leaves the item's own.
+ODD_NUMBERS = [
+    ("-0.0000001", None, None), ("0.0000004", None, None), ("1e19", None, None),
+    ("-1e19", None, "100.5"), ("inf", None, "0"), (" -Infinity ", None, "100"),
+    (None, "0.12345678", None), (None, None, "33.3333333"), ("1e17", "1e17", None),
+    ("1.5d", None, None), ("0x10", None, None), ("-0.0", None, None), ("nan", None, "-3"),
+    ("123456789012", "98765.43", "12.5"), ("2", "1e-300", "-1e400"),
+]
+
+
+def odd_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Order items of which every other has one of the odd numbers, in text form."""
+    rows = raw(spark, folder).order_items
+    texts = [F.array(*[F.lit(odd[i]) for odd in ODD_NUMBERS]) for i in range(3)]
+    at = (F.col("order_item_id") % (2 * len(ODD_NUMBERS))).cast("int")
+    return rows.withColumns({
+        name: F.coalesce(F.get(text, at), F.col(name)) for name, text in zip(
+            ("quantity", "unit_price", "discount_percent"), texts, strict=True)
+    })
+
+
 def raw(spark: SparkSession, folder: str) -> Tables:
     customers = _customers(spark, folder).withColumn(
         "registration_date", F.col("registration_date").cast("string")
@@ -136,9 +157,9 @@ def raw(spark: SparkSession, folder: str) -> Tables:
         "order_item_id",
         f"IF(order_id % 100 = 0, order_id + {GHOST_OFFSET}, order_id) AS order_id",
         "product_id",
-        "CAST(quantity AS STRING) AS quantity",
-        "concat(' ', unit_price) AS unit_price",
+        "CAST(CAST(quantity AS DECIMAL(16,6)) AS STRING) AS quantity",
+        "concat(' ', CAST(unit_price AS DECIMAL(16,6))) AS unit_price",
         """CASE WHEN product_id % 400 = 0 THEN '1e30' WHEN product_id % 600 = 0 THEN 'inf'
-            ELSE CAST(discount_percent AS STRING) END AS discount_percent""",
+            ELSE CAST(CAST(discount_percent AS DECIMAL(9,6)) AS STRING) END AS discount_percent""",
     )
     return Tables(customers, products, orders, order_items)

@@ -1,7 +1,6 @@
 """Small clean tables written by hand."""
 
 import datetime as dt
-from decimal import Decimal
 
 from ordermill.schemas import CLEAN_TYPES, Tables
 
@@ -16,7 +15,7 @@ def customer(key, registered="2024-01-01"):
 
 
 def product(key, category, name=None):
-    return (key, name or f"Product {key}", category, "Sub", Decimal("1.00"))
+    return (key, name or f"Product {key}", category, "Sub", 1.0)
 
 
 def order(key, customer_id, moment, status="PLACED", region="NORTH"):
@@ -26,10 +25,9 @@ def order(key, customer_id, moment, status="PLACED", region="NORTH"):
 
 def item(key, order_id, product_id, quantity, revenue):
     kind = "RETURN" if quantity < 0 else "PURCHASE" if quantity else "ZERO_QTY"
-    amount = None if revenue is None else Decimal(str(revenue))
-    pieces = Decimal(str(quantity))
-    return (key, order_id, product_id, pieces, Decimal("1.00"), Decimal("0.00"), kind,
-            abs(pieces), amount)
+    pieces = float(quantity)
+    return (key, order_id, product_id, pieces, 1.0, 0.0, kind, abs(pieces),
+            None if revenue is None else float(revenue))
 
 
 def tables(spark, customers=(), products=(), orders=(), items=()):

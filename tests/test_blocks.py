@@ -34,26 +34,52 @@ def order():
     return [F.desc("v"), F.asc("id")]
 
 
-def test_blocks_are_split_and_in_order(rows, many_blocks):
-    placed = blocks.place(rows, order()).select("v", "id", blocks.BLOCK, blocks.PLACE).collect()
-    in_order = sorted(placed, key=lambda r: (r[2], r[3]))
-    assert len({r[2] for r in placed}) == 5
-    assert [r.id for r in in_order] == [r.id for r in rows.orderBy(*order()).collect()]
-    for block in {r[2] for r in placed}:
-        places = sorted(r[3] for r in placed if r[2] == block)
-        assert places == list(range(len(places)))
+@pytest.mark.parametrize("nulls_first", [False, True])
+def test_blocks_are_even_and_in_order(rows, nulls_first):
+    order = [F.asc_nulls_first("v") if nulls_first else F.asc_nulls_last("v"), F.asc("id")]
+    placed = blocks.with_block(rows, F.col("v"), "id", nulls_first, 12).collect()
+    block = {r.id: r[blocks.BLOCK] for r in placed}
+    in_order = [block[r.id] for r in rows.orderBy(*order).collect()]
+    assert in_order == sorted(in_order)
+    sizes = sorted(in_order.count(b) for b in set(in_order))
+    # The hot value and the nulls are split by the tie-break column.
+    assert len(sizes) >= 12
+    assert sizes[-1] < 2 * len(in_order) / 12
+    assert {(r.v, r[blocks.BASE]) for r in placed if r.v == 7} == {(7, placed_base(placed, 7))}
+
+
+def placed_base(placed, value):
+    return next(r[blocks.BASE] for r in placed if r.v == value)
+
+
+@pytest.mark.parametrize("prefix", ["", "customer-with-a-long-"])
+def test_texts_of_one_value_are_split_by_their_bytes(spark, prefix):
+    table = spark.range(4_000).select(
+        F.concat(F.lit(prefix), F.lpad(F.col("id").cast("string"), 7, "0")).alias("key"),
+        F.lit(5.0).alias("v"))
+    placed = blocks.with_block(table, F.col("v"), "key", blocks=8).collect()
+    block = [r[blocks.BLOCK] for r in sorted(placed, key=lambda r: r.key)]
+    assert block == sorted(block)
+    assert max(block.count(b) for b in set(block)) < 1_100
+
+
+def test_infinite_values_have_blocks(spark):
+    data = [(i, float(v)) for i, v in enumerate(["inf", "-inf", "0", "1", "inf", "2"])]
+    table = spark.createDataFrame(data, "id int, v double")
+    found = blocks.ntile(table, 3, "v", "id", "t").collect()
+    assert [(r.id, r.t) for r in found] == [(0, 1), (4, 1), (5, 2), (3, 2), (2, 3), (1, 3)]
 
 
 @pytest.mark.parametrize("tiles", [1, 4, 7, 2_999, 5_000])
 def test_ntile(rows, many_blocks, tiles):
-    found = blocks.ntile(rows, tiles, order(), "t")
+    found = blocks.ntile(rows, tiles, "v", "id", "t")
     expected = rows.withColumn("t", F.ntile(tiles).over(Window.orderBy(*order())))
     assert same(found, expected, ["id", "t"])
     assert [r.id for r in found.collect()] == [r.id for r in rows.orderBy(*order()).collect()]
 
 
 def test_running_total(rows, many_blocks):
-    found = blocks.running_total(rows, "v", order(), "run", "all")
+    found = blocks.running_total(rows, ["v"], "v", "id", ["run"], ["all"])
     ordered = Window.orderBy(*order()).rowsBetween(Window.unboundedPreceding, 0)
     expected = rows.withColumn("run", F.sum("v").over(ordered)).withColumn(
         "all", F.sum("v").over(Window.partitionBy())
@@ -63,13 +89,13 @@ def test_running_total(rows, many_blocks):
 
 def test_running_total_of_nothing_is_null(spark, many_blocks):
     empty = spark.range(20).selectExpr("id", "CAST(NULL AS BIGINT) AS v")
-    found = blocks.running_total(empty, "v", [F.asc("id")], "run", "all").collect()
+    found = blocks.running_total(empty, ["v"], "v", "id", ["run"], ["all"]).collect()
     assert len(found) == 20
     assert {(r.run, r.all) for r in found} == {(None, None)}
 
 
 def test_dense_rank(rows, many_blocks):
-    found = blocks.dense_rank(rows, ["g"], "v", ["id"], "r")
+    found = blocks.dense_rank(rows, ["g"], "v", "id", "r")
     expected = rows.withColumn(
         "r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("v")))
     )
@@ -78,10 +104,26 @@ def test_dense_rank(rows, many_blocks):
 
 def test_dense_rank_of_one_value(spark, many_blocks):
     equal = spark.range(500).selectExpr("id", "1 AS g", "9 AS v")
-    found = blocks.dense_rank(equal, ["g"], "v", ["id"], "r")
+    found = blocks.dense_rank(equal, ["g"], "v", "id", "r")
     assert {r.r for r in found.collect()} == {1}
 
 
+def test_empty_tables_have_no_blocks(spark):
+    empty = spark.createDataFrame([], "g string, v double, id string")
+    assert blocks.ntile(empty, 4, "v", "id", "t").collect() == []
+    assert blocks.dense_rank(empty, ["g"], "v", "id", "r").collect() == []
+
+
+def test_no_checkpoint_is_needed(spark, rows, monkeypatch):
+    def refuse(*args, **kwargs):
+        raise AssertionError("a checkpoint was asked for")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", refuse)
+    blocks.ntile(rows, 4, "v", "id", "t").count()
+    blocks.running_total(rows, ["v"], "v", "id", ["run"], ["all"]).count()
+    blocks.dense_rank(rows, ["g"], "v", "id", "r").count()
+
+
 def test_salted_join(spark, many_blocks):
     many = spark.range(3_000).selectExpr("id", "IF(id % 3 = 0, 1, id % 40) AS k")
     side = spark.range(30).selectExpr("id AS k", "id * 2 AS v")

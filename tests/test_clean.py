@@ -1,7 +1,6 @@
 """Cleaning rules on small hand-written tables."""
 
 import datetime as dt
-from decimal import Decimal
 
 from ordermill.operators.clean import clean_order_items, clean_orders, clean_products
 from ordermill.schemas import text_schema
@@ -58,17 +57,17 @@ def test_items(spark):
         for r in cleaned.rows.collect()
     ]
     assert found == [
-        (-3, 3, "RETURN", 10, Decimal("-28.35")),
-        (2, 2, "PURCHASE", 0, Decimal("39.98")),
+        (-3, 3, "RETURN", 10, -28.35),
+        (2, 2, "PURCHASE", 0, 39.98),
         (None, None, "PURCHASE", 0, None),
         (1, 1, "PURCHASE", 0, None),
         (1, 1, "PURCHASE", None, None),
         (1, 1, "PURCHASE", 100, 0),
-        (4, 4, "PURCHASE", Decimal("33.30"), Decimal("0.1334")),
-        (Decimal("2.5"), Decimal("2.5"), "PURCHASE", 0, Decimal("17.5")),
-        (Decimal("-2.5"), Decimal("2.5"), "RETURN", 0, Decimal("-17.5")),
+        (4, 4, "PURCHASE", 33.3, 0.1334),
+        (2.5, 2.5, "PURCHASE", 0, 17.5),
+        (-2.5, 2.5, "RETURN", 0, -17.5),
         (3_000_000_000, 3_000_000_000, "PURCHASE", 50, 3_000_000_000),
-        (1, 1, "PURCHASE", Decimal("12.345"), Decimal("87.654123")),
+        (1, 1, "PURCHASE", 12.345, 87.65412345),
         (1, 1, "PURCHASE", 100, 0),
         (1, 1, "PURCHASE", 100, 0),
         (1, 1, "PURCHASE", 0, 8),
@@ -91,9 +90,9 @@ def test_items_that_are_numbers_already(spark):
         for r in clean_order_items(raw).rows.orderBy("order_item_id").collect()
     ]
     assert found == [
-        (3, Decimal("19.99"), None, None),
-        (Decimal("2.5"), Decimal("0.10"), 100, 0),
-        (-2, Decimal("0.10"), 0, Decimal("-0.2")),
+        (3, 19.99, None, None),
+        (2.5, 0.1, 100, 0),
+        (-2, 0.1, 0, -0.2),
     ]
 
 
@@ -140,7 +139,7 @@ def test_products(spark):
         "Padded Name", "Upper Name", "Two Spaces", "Good Name", None
     ]
     assert {(r.category, r.subcategory) for r in rows} == {("Books", "Non-Fiction")}
-    assert [r.cost_price for r in rows] == [None, *[Decimal("12.345")] * 4]
+    assert [r.cost_price for r in rows] == [None, *[12.345] * 4]
     # The padded name counts as unchanged.
     assert cleaned.issues.first().product_names_normalized == 3
 

@@ -3,11 +3,12 @@
 import datetime as dt
 import math
 import random
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.functions import values
+from ordermill.functions import amounts, values
 from ordermill.functions.text import collapse, strip, title_case
 
 ALPHABET = "abzABZ éÉñßσΣЖж中文 09-'.&\t\n  　\x1c_ªǆ"
@@ -100,11 +101,80 @@ def test_order_dates_ignore_the_session_time_zone(spark, settings):
 
 
 def test_numbers(spark):
-    texts = ["5", " 5 ", "5.0", "2.5", "-3", "1e2", "x", "", "NaN", None]
-    numbers = one(spark, texts, lambda c: values.to_number(c).cast("double"))
-    assert numbers == [5.0, 5.0, 5.0, 2.5, -3.0, 100.0, None, None, None, None]
-    assert one(spark, texts, values.to_double) == numbers
-    assert one(spark, ["1e30", "inf", "-inf"], values.to_double) == [1e30, math.inf, -math.inf]
+    texts = ["5", " 5 ", "5.0", "2.5", "-3", "1e2", "x", "", "NaN", None, "1d", "2.5F ", "0x1p3",
+             "1_000", "1e30", "inf", "-inf", "Infinity", "-0.0000001", "1e-400"]
+    assert one(spark, texts, values.to_number) == [
+        5.0, 5.0, 5.0, 2.5, -3.0, 100.0, *[None] * 8, 1e30, math.inf, -math.inf, math.inf, -1e-7, 0.0]
+
+
+def revenue(spark, rows):
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                  "i int, q double, p double, d double")
+    found = frame.select("i", values.net_revenue(F.col("q"), F.col("p"), F.col("d")).alias("r"))
+    return [r.r for r in found.orderBy("i").collect()]
+
+
+def test_revenue_is_the_double_nearest_to_the_exact_product(spark):
+    draw = random.Random(7)
+    rows = []
+    for _ in range(2_000):
+        q = Decimal(draw.choice([draw.randint(-60, 60), draw.randint(-9, 9) * 5 + 1,
+                                 3_000_000_000, 123_456_789_012]))
+        q /= draw.choice([1, 1, 1, 2, 4])
+        p = Decimal(draw.randint(0, 10**draw.randint(1, 10))) / 10**draw.choice([0, 2, 2, 3, 4])
+        d = Decimal(draw.randint(0, 10**5)) / 10**3
+        rows.append((q, p, d))
+    exact = [float(q * p * (100 - d) / 100) for q, p, d in rows]
+    assert revenue(spark, [tuple(map(float, r)) for r in rows]) == exact
+
+
+def test_revenue_of_many_places_keeps_them(spark):
+    draw = random.Random(9)
+    rows = [(draw.randint(-99, 99) / 8, draw.randint(1, 10**4) / 10**6, draw.randint(0, 10**5) / 10**3)
+            for _ in range(500)]
+    for found, (q, p, d) in zip(revenue(spark, rows), rows, strict=True):
+        assert math.isclose(found, q * p * (1 - d / 100), abs_tol=abs(q * p) * 2e-15)
+
+
+def test_revenue_of_odd_numbers(spark):
+    inf = math.inf
+    rows = [(1e19, 3.0, 10.0), (1e17, 1e17, 0.0), (-1e-7, 2.0, 0.0), (2.0, 0.12345678, 0.0),
+            (1.0, 5.0, 33.3333333), (inf, 1.0, 0.0), (inf, 1.0, 100.0), (-3.0, 5.0, 100.0),
+            (None, 1.0, 0.0), (1.0, None, 0.0), (1.0, 1.0, None)]
+    assert revenue(spark, rows) == [
+        *[q * p * (1 - d / 100) for q, p, d in rows[:6]], None, 0.0, None, None, None]
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    draw = random.Random(8)
+    data = [(draw.choice("ab"), draw.choice([
+        draw.randint(-10**9, 10**9) / 100, draw.randint(0, 10**6) / 10**8,
+        draw.randint(1, 9) * 4.5e12 + 0.55, 1e19, 0.1, None])) for _ in range(3_000)]
+    with localcontext(prec=60):
+        expected = {
+            k: sum(Decimal(repr(x)) for g, x in data if g == k and x is not None) for k in "ab"}
+    for seed in range(2):
+        random.Random(seed).shuffle(data)
+        frame = spark.createDataFrame(data, "k string, x double").repartition(3)
+        found = amounts.sum_per(frame, ["k"], {"s": F.col("x")}).collect()
+        assert {r.k: r.s for r in found} == expected
+        assert all(r.s_rest is None for r in found)
+
+
+def test_sums_of_odd_numbers_keep_them_all(spark):
+    def total(*numbers):
+        frame = spark.createDataFrame([(float(n),) for n in numbers], "x double")
+        per = amounts.sum_per(frame, [], {"s": F.col("x")})
+        again = amounts.sum_again(per, [], "s").select(amounts.total("s"), amounts.rounded("s"))
+        return tuple(again.first())
+
+    assert total(0.1, 0.2, 0.3) == (0.6, 0.6)
+    assert total(1e-12, 1e-12) == (2e-12, 0.0)
+    assert total(1e40, 5) == (1e40, 1e40)
+    assert total(math.inf, 1) == (math.inf, math.inf)
+    assert total(math.inf, -math.inf) == (None, None)
+    assert total(1.005, 1.0) == (2.005, 2.01)
+    assert total() == (None, None)
 
 
 def test_not_a_number_is_null(spark):

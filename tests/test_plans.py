@@ -37,7 +37,7 @@ def test_plan_holds_no_bottleneck(spark, no_broadcast, name):
 @pytest.mark.parametrize("question", [analytics.order_gaps, analytics.next_order])
 def test_orders_move_once_for_customer_windows_and_order(spark, question):
     text = plan(question(testdata.clean(spark, TEST_DATA)))
-    # One placing serves windows and order; the others move a row per customer and month.
+    # One placing serves windows and order; the others move a row per customer and block.
     assert text.count("Exchange rangepartitioning(customer_id") == 1
     assert text.count("Exchange hashpartitioning") == 2
 
@@ -47,7 +47,7 @@ def test_order_items_are_summed_before_the_join(spark, no_broadcast):
     text = plan(analytics.revenue_per_customer(analytics.sums(t)))
     # Items per order, orders, and order values per customer.
     assert text.count("Exchange hashpartitioning") == 3
-    assert text.index("SortMergeJoin") < text.rindex("partial_sum(revenue")
+    assert text.index("SortMergeJoin") < text.rindex("partial_sum(")
 
 
 def test_scans_read_only_needed_columns(spark):
@@ -73,8 +73,7 @@ def test_building_a_period_report_runs_nothing(spark):
     spark.sparkContext.setJobGroup("report", "report")
     try:
         report.period_comparison(t, report.parse_period("1998-01-01", "1998-01-31"))
-        analytics.order_gaps(t)
-        analytics.next_order(t)
+        report.period_series(t, report.parse_period("1998-01-01", "1998-01-31"), "weekly")
         assert not jobs.getJobIdsForGroup("report")
     finally:
         spark.sparkContext._jsc.clearJobGroup()

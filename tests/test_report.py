@@ -38,24 +38,39 @@ def shop(spark):
     )
 
 
-def test_dates():
-    assert report.previous_period(JANUARY) == (dt.date(2023, 12, 1), dt.date(2023, 12, 31))
+def evaluated(spark, period):
+    return tuple(spark.range(1).select(F.lit(period.start), F.lit(period.end)).first())
+
+
+def test_dates(spark):
+    assert evaluated(spark, report.previous_period(JANUARY)) == (
+        dt.date(2023, 12, 1), dt.date(2023, 12, 31))
     day = report.parse_period(" 2024-03-01", "2024-03-01 ")
-    assert report.previous_period(day) == (dt.date(2024, 2, 29), dt.date(2024, 2, 29))
+    assert evaluated(spark, report.previous_period(day)) == (
+        dt.date(2024, 2, 29), dt.date(2024, 2, 29))
     with pytest.raises(ValueError):
         report.parse_period("2024-01-02", "2024-01-01")
     with pytest.raises(ValueError):
         report.parse_period("02-01-2024", "2024-01-01")
 
 
-def test_periods_before_as_columns(spark):
-    starts = [dt.date(2024, 1, 1), dt.date(2024, 3, 1), dt.date(2023, 3, 1)]
-    for start in starts:
-        for length in (0, 6, 28, 30, 365):
-            period = report.Period(start, start + dt.timedelta(days=length))
-            begin, end = report.before_period(F.lit(period.start), F.lit(period.end))
-            found = tuple(spark.range(1).select(begin, end).first())
-            assert found == report.previous_period(period)
+def test_series_has_empty_periods_and_cut_ends(shop):
+    period = report.parse_period("2023-11-30", "2024-01-10")
+    found = [(str(r[1]), str(r[2]), *r[3:]) for r in rows(
+        report.period_series(shop, period, "monthly"))]
+    assert found == [
+        ("2023-11-30", "2023-11-30", 1, 1000.0, 1), ("2023-12-01", "2023-12-31", 2, 50.0, 1),
+        ("2024-01-01", "2024-01-10", 2, 22.5, 2),
+    ]
+    weeks = rows(report.period_series(shop, JANUARY, "weekly", sums(shop)))
+    assert [(str(r[1]), r[3]) for r in weeks] == [
+        ("2024-01-01", 1), ("2024-01-08", 2), ("2024-01-15", 0), ("2024-01-22", 0),
+        ("2024-01-29", 1)]
+    days = rows(report.period_series(shop, JANUARY))
+    assert len(days) == 31 and sum(r[3] for r in days) == 4
+    assert {(r[1], r[2]) for r in days if r[1] != r[2]} == set()
+    with pytest.raises(ValueError):
+        report.period_series(shop, JANUARY, "yearly")
 
 
 def test_report_days_as_columns(spark):
