@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,17 +35,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import pieces
-from ordermill.llm.bpe import Bpe
+from ordermill.llm.bpe import BLANK, Bpe
 from ordermill.llm.tokenfile import BYTE_LETTERS
 from ordermill.llm.words import Coder, in_groups, keyed, map_batches, stored, texts, worker_state
 
-KNOWN_WORDS = 300_000
-CHUNK_BYTES = 4_000_000
+KNOWN_WORDS = 250_000
+CHUNK_BYTES = 2_000_000
 #: A document with more A tokens is dealt over entries of about so many.
 ENTRY_TOKENS = 1_024
 #: How far behind a wished place a common end of tokens is searched, in A tokens.
 SEARCH = 64
 
+#: Blanks that are more than one space or line feed between other characters.
+UNCLEAN = re.compile(rb"(?![ \n])" + BLANK + rb"|[ \n][ \n]|^[ \n]|[ \n]\Z")
+#: Stands before a word that has no space before it; no UTF-8 text has this byte.
+JOINED = b"\xff"
+#: Letters before this one take two bytes at most.
+LATIN_END = "\u0250"
+#: Marks that form a token of their own after a letter or digit. The apostrophe is none.
+MARKS = b".,;:!?$#*%&|<>()\"-=_/"
+
 ALIGNED = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
            "n_links array<long>, groups_sha256 array<string>, n_pairs array<int>, places binary, "
            "times binary, pair array<long>, total array<long>")
@@ -112,7 +122,7 @@ class Aligned:
 
     def __init__(self, aligner: Aligner, data: list[bytes]):
         spaced = [b" " + d if d else b"" for d in data]
-        a_ids, b_ids = aligner.a_ids(spaced), aligner.pieces.encode(data)
+        a_ids, b_ids = aligner.a_ids(data), aligner.pieces.encode(data)
         fits = [bool(s) and aligner.a_bytes(a) == s and aligner.pieces.token_bytes(b) == s
                 for s, a, b in zip(spaced, a_ids, b_ids, strict=True)]
         none = np.zeros(0, np.int32)
@@ -181,6 +191,32 @@ class Aligned:
         return known, total, n_pairs, place, times
 
 
+def words_of(data: bytes) -> list[bytes]:
+    """The words of a space and a text, which the split of byte-level BPE never joins.
+
+    Words lie between spaces; a line feed alone is a word, too. ``JOINED`` or a space at the front
+    stand for no space before the word; without them there is one.
+    """
+    if not data:
+        return []
+    if UNCLEAN.search(data):
+        return Bpe.cut(b" " + data)
+    return data.replace(b"\n", b" " + JOINED + b"\n " + JOINED).split(b" ")
+
+
+def _ends(word: bytes) -> list[bytes]:
+    """A word without the marks at its end, and those, where the split parts them."""
+    core = word.rstrip(MARKS)
+    if len(core) == len(word) or not core:
+        return [word]
+    last = core[-1:] if core[-1] < 0x80 else core[-2:]
+    # Two bytes are the last character up to the end of Latin letters; longer ones stay together.
+    if last.isalnum() or (len(last) == 2 and 0xC3 <= last[0] <= 0xC8
+                          and last.decode().isalpha()):
+        return [core, JOINED + word[len(core):]]
+    return [word]
+
+
 class Aligner:
     """Both tokenizers, each distinct word encoded once while it is remembered."""
 
@@ -200,6 +236,7 @@ class Aligner:
         self.a_length = np.array([len(h) for h in held], np.int64)
         self.a_start = np.cumsum(self.a_length) - self.a_length
         self.a_flat = np.frombuffer(b"".join(held), np.uint8)
+        self.a_cores = Coder(self._a_cores, KNOWN_WORDS)
         self.a_words = Coder(self._a_words, KNOWN_WORDS)
         self.pieces = pieces.coder(b_path)
         self.b_size = len(self.pieces.length)
@@ -210,22 +247,37 @@ class Aligner:
     def _names(size: int, mark: bytes) -> np.ndarray:
         return np.array([b"%d%s" % (i, end) for end in (b",", mark) for i in range(size)], object)
 
+    def _a_cores(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found: list[list[int] | None] = []
+        for core in cores:
+            # Letters after a space are one token to split, which goes straight to the model.
+            text = core.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < LATIN_END:
+                spelled = (b" " + core).decode("latin-1").translate(BYTE_LETTERS)
+                found.append([t.id for t in self.tokenizer.model.tokenize(spelled)])
+            else:
+                found.append(None)
+        rest = [i for i, f in enumerate(found) if f is None]
+        plain = [(c[1:] if c[:1] in (JOINED, b" ") else b" " + c).decode()
+                 for c in (cores[i] for i in rest)]
+        coded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+        for i, own in zip(rest, coded, strict=True):
+            found[i] = own.ids
+        length = np.array([len(f) for f in found], np.int64)
+        return np.fromiter((i for f in found for i in f), np.uint32, int(length.sum())), length
+
     def _a_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat, length = [np.zeros(0, np.uint32)], []
-        for begin in range(0, len(words), 10_000):
-            # A word of Bpe.cut stands for a space and itself, or for what follows its space.
-            plain = [(w[1:] if w[:1] == b" " else b" " + w).decode()
-                     for w in words[begin:begin + 10_000]]
-            found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-            found = [f.ids for f in found]
-            length += [len(f) for f in found]
-            flat.append(np.fromiter((i for f in found for i in f), np.uint32))
-        return np.concatenate(flat), np.array(length, np.int64)
+        flat, length = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for begin in range(0, len(words), 20_000):
+            ids, sizes = self.a_cores([_ends(w) for w in words[begin:begin + 20_000]])
+            flat.append(ids)
+            length.append(sizes)
+        return np.concatenate(flat), np.concatenate(length)
 
     def a_ids(self, data: list[bytes]) -> list[np.ndarray]:
-        """The A ids of each UTF-8 text."""
+        """The A ids of each UTF-8 text with a space before it; an empty text has none."""
         out: list[np.ndarray] = []
-        for group in in_groups(map(Bpe.cut, data)):
+        for group in in_groups(map(words_of, data)):
             ids, sizes = self.a_words(group)
             out += np.split(ids, np.cumsum(sizes)[:-1])
         return out

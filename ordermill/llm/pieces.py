@@ -39,8 +39,8 @@ from ordermill.llm.words import Coder, in_groups, keyed, map_batches, texts, wor
 
 #: Fixed value: the character that stands for a space in pieces.
 SPACE = "▁"
-KNOWN_WORDS = 500_000
-KNOWN_CORES = 500_000
+KNOWN_WORDS = 400_000
+KNOWN_CORES = 400_000
 KNOWN_PAIRS = 1_000_000
 GROUP_WORDS = 200_000
 ID_BITS = 24

@@ -87,3 +87,16 @@ def test_alignments_keep_ids_groups_and_links(spark, aligner):
     b_end = np.cumsum(aligner.pieces.length[one.b_ids])
     assert a_end[np.array(one.a_cuts) - 1].tolist() == b_end[np.array(one.b_cuts) - 1].tolist()
     assert set(zip(one.link_a, one.link_b, strict=True)) == expected(a_end, b_end)
+
+
+def test_words_of_the_first_tokenizer(aligner):
+    rng = random.Random(5)
+    parts = ["a", "it's", " ", "\n", "Word", ",", "...", "###", "é", "ö.", "北,", "1", "½.", "ª?",
+             "\t", "  ", "́", "x́.", "'ll", "'", "\"", "ǆ!", "ʰ-", "ɐ.", "\x01", "$$", "\r\n", "_", "İ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    texts += [" ".join(rng.choice(parts).strip() or "x" for _ in range(9)) for _ in range(3000)]
+    texts += ["\n".join(rng.choice(parts).strip() or "x" for _ in range(5)) for _ in range(1000)]
+    found = aligner.a_ids([t.encode() for t in texts])
+    for text, ids in zip(texts, found, strict=True):
+        expected = aligner.tokenizer.encode(" " + text, add_special_tokens=False).ids if text else []
+        assert ids.tolist() == expected, text
