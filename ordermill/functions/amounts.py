@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 PLACES = 8
-EXACT = f"decimal(38,{PLACES})"
+#: One digit less than there can be, so that a sum of two keeps all places.
+EXACT = f"decimal(37,{PLACES})"
 REST = "_rest"
 
 _UNIT = 10.0**PLACES
@@ -63,8 +64,8 @@ def sum_per(rows: DataFrame, keys: list, measures: dict[str, Column]) -> DataFra
     out = []
     for n in measures:
         short = (F.col(f"{n}_0") * unit).cast(EXACT)
-        both = F.coalesce(short, F.lit(0).cast(EXACT)) + F.col(f"{n}_1")
-        out += [F.coalesce(both.cast(EXACT), short).alias(n), F.col(n + REST)]
+        both = F.coalesce(short, F.lit(0).cast(EXACT)) + F.col(f"{n}_1").cast(EXACT)
+        out += [F.coalesce(both, short).alias(n), F.col(n + REST)]
     return summed.select(*summed.columns[:len(keys)], *out)
 
 

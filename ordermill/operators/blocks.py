@@ -190,6 +190,11 @@ def running_total(
 
     def both(column: str) -> Column:
         before, own = F.col(f"__before_{column}"), F.col(f"__local_{column}")
+        kind = rows.schema[column].dataType
+        if isinstance(kind, T.DecimalType):
+            # A sum of two widest decimals would lose a place.
+            kind = T.DecimalType(min(kind.precision + 10, 37), kind.scale)
+            before, own = before.cast(kind), own.cast(kind)
         return F.coalesce(before + own, own, before)
 
     return (
