@@ -144,8 +144,11 @@ def raw(spark: SparkSession, folder: str) -> Tables:
             WHEN order_id % 80 = 0 THEN '' WHEN order_id % 80 = 20 THEN ' NULL '
             WHEN order_id % 80 = 40 THEN 'nan' END AS customer_id""",
         """CASE WHEN order_id % 17 = 0 THEN date_format(order_date, 'dd-MM-yyyy')
-            WHEN order_id % 19 = 0 THEN date_format(order_date, CASE order_id % 6
-                WHEN 0 THEN 'yyyy/MM/dd' WHEN 1 THEN 'MM/dd/yyyy h:mm a'
+            WHEN order_id % 19 = 0 THEN date_format(order_date, CASE order_id % 13
+                WHEN 6 THEN 'yyyyMMddHHmmss' WHEN 7 THEN 'yyyy MMM d'
+                WHEN 8 THEN 'd/MMM/yyyy:HH:mm:ss' WHEN 9 THEN 'h:mm a MMMM d yyyy'
+                WHEN 10 THEN 'MMM-dd-yyyy hh:mm:ss a' WHEN 11 THEN "yyyy-MM-dd'T'HH:mm:ss'Z'"
+                WHEN 12 THEN "yyyy-MM-dd HH:mm:ss '+0000'" WHEN 0 THEN 'yyyy/MM/dd' WHEN 1 THEN 'MM/dd/yyyy h:mm a'
                 WHEN 2 THEN 'd MMMM yyyy HH:mm' WHEN 3 THEN 'dd-MMM-yyyy'
                 WHEN 4 THEN 'MM/dd/yy' ELSE 'EEEE, MMMM d, yyyy' END)
             WHEN order_id % 1009 = 0 THEN '31-02-2024'

@@ -73,6 +73,52 @@ DATES = {
     "01/02/69": ("inferred", dt.datetime(1969, 1, 2)),
     "Monday, January 15, 2024": ("inferred", dt.datetime(2024, 1, 15)),
     "Mon 15 Jan 2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "Jan 2024": ("inferred", dt.datetime(2024, 1, 1)),
+    "20240115103000": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "20240115T1030": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "2024 Jan 15": ("inferred", dt.datetime(2024, 1, 15)),
+    "15 2024 Jan": ("inferred", dt.datetime(2024, 1, 15)),
+    "Sept 5 2024": ("inferred", dt.datetime(2024, 9, 5)),
+    "Jan-15-2024 10:30:15 pm": ("inferred", dt.datetime(2024, 1, 15, 22, 30, 15)),
+    "Jan 15 2024 10:30:15.5 PM": ("inferred", dt.datetime(2024, 1, 15, 22, 30, 15, 500_000)),
+    "3:30 PM January 15 2024": ("inferred", dt.datetime(2024, 1, 15, 15, 30)),
+    "13:45 2024-01-15": ("inferred", dt.datetime(2024, 1, 15, 13, 45)),
+    "15/Jan/2024:10:30:00": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "15th of January 2024 at 10:30": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "1/15/24 3pm": ("inferred", dt.datetime(2024, 1, 15, 15)),
+    "2024-01-15 10h30": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "Jan 15, 24": ("inferred", dt.datetime(2024, 1, 15)),
+    "99-12-31": ("inferred", dt.datetime(1999, 12, 31)),
+    "2024-01": ("inferred", dt.datetime(2024, 1, 1)),
+    "5 2024": ("inferred", dt.datetime(2024, 5, 1)),
+    "2024": ("inferred", dt.datetime(2024, 1, 1)),
+    "2024.01.15": ("inferred", dt.datetime(2024, 1, 15)),
+    "15.01.2024": ("inferred", dt.datetime(2024, 1, 15)),
+    "2024-01-05 10:11:12.123456": ("inferred", dt.datetime(2024, 1, 5, 10, 11, 12, 123_456)),
+    # Numeric zones lead to UTC; a zone's name says nothing.
+    "2024-01-15 10:30:00+05:30": ("inferred", dt.datetime(2024, 1, 15, 5)),
+    "2024-01-15 22:30:00 -0500": ("inferred", dt.datetime(2024, 1, 16, 3, 30)),
+    "2024-01-15T10:30:00Z": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "Tue, 16 Jan 2024 10:30:00 GMT": ("inferred", dt.datetime(2024, 1, 16, 10, 30)),
+    "2024-01-15 10:30 EST": ("inferred", dt.datetime(2024, 1, 15, 10, 30)),
+    "10:30": ("bad", None),
+    "15 Jan": ("bad", None),
+    "1/2": ("bad", None),
+    "5": ("bad", None),
+    "Monday": ("bad", None),
+    "2024-W03": ("bad", None),
+    "2024-060": ("bad", None),
+    "Q1 2024": ("bad", None),
+    "32 Jan 2024": ("bad", None),
+    "2024/13/01": ("bad", None),
+    "202401": ("bad", None),
+    "1705314600": ("bad", None),
+    "2024-01-15 24:00:00": ("bad", None),
+    "2024-01-15 10:30 11:30": ("bad", None),
+    "12024-01-15 10:30:00": ("bad", None),
+    "Jan Feb 5 2024": ("bad", None),
+    "2024-01-15 10:30:00 (late)": ("bad", None),
+    "1.5": ("bad", None),
     "15 Smarch 2024": ("bad", None),
     "01/15/2024 13:30 PM": ("bad", None),
     "31-02-2024": ("bad", None),
