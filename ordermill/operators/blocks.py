@@ -13,6 +13,7 @@ is a block of its own, and its rows are split by the tie-break column, by quanti
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
@@ -30,6 +31,9 @@ BLOCKS_PER_PARTITION = 3
 KEY_BYTES = 6
 #: How many such keys are tried, for texts that all begin alike.
 KEYS = 6
+#: How many hot keys are looked for at most, and how many keys the sketch tracks for each.
+MOST_HOT_KEYS = 1_000
+TRACKED_PER_KEY = 20
 
 
 class Edges(NamedTuple):
@@ -229,14 +233,35 @@ def dense_rank(rows: DataFrame, group: list[str], value: str, tie: str, name: st
     )
 
 
-def salted_join(
-    rows: DataFrame, side: DataFrame, key: str, spread_by: str, salts: int = 16
-) -> DataFrame:
-    """Inner join of many rows to a side with unique keys; a hot key is dealt over ``salts`` tasks.
+def hot_keys(rows: DataFrame, key: str, parts: int) -> dict:
+    """Keys with more rows than a fair part of ``parts``, and how many fair parts they fill.
+
+    A sketch of heavy hitters, merged over all tasks, finds them in one aggregation. There are fewer
+    than ``parts`` such keys, so that many are asked for, but at most ``MOST_HOT_KEYS``.
+    """
+    most = min(max(parts, 2), MOST_HOT_KEYS)
+    found = rows.agg(
+        F.expr(f"approx_top_k(`{key}`, {most}, {most * TRACKED_PER_KEY})").alias("top"),
+        F.count(key).alias("rows"),
+    ).first()
+    fair = found.rows / most
+    return {r.item: math.ceil(r["count"] / fair) for r in found.top or []
+            if r.item is not None and r["count"] > fair}
+
+
+def salted_join(rows: DataFrame, side: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join of many rows to a side with unique keys; a hot key is dealt over several tasks.
 
-    The side is repeated ``salts`` times, whatever the keys' shares are.
+    Only keys that are hot are salted, each in proportion to its rows, and only their rows of the
+    side are repeated.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(rows, key, 2 * partitions)
+    if not hot:
+        return rows.join(side, key)
+    salts = F.coalesce(F.try_element_at(
+        F.create_map(*[F.lit(v) for pair in hot.items() for v in pair]), F.col(key)), F.lit(1))
     salt = "__salt"
-    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), salts).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
     return dealt.join(side.withColumn(salt, every), [key, salt]).drop(salt)

@@ -347,7 +347,7 @@ def category_shift(t: Tables, s: Sums | None = None) -> DataFrame:
 
     First and latest item are kept per order and then per customer, both as combinable
     aggregates. Items of one order are ordered by item id. Items meet the products one by one, as
-    items of unknown products do not count; a hot product is dealt over several tasks.
+    items of unknown products do not count; hot products are found and dealt over several tasks.
     """
     item = F.struct("order_item_id", "category")
     items = t.order_items.select("order_id", "order_item_id", "product_id")

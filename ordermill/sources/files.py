@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ NULL_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+VERSION = re.compile(r"[0-9]{12}\.load")
+
 # Both directions keep padding, and quote as CSV tools do: a quote within a field is doubled.
 CSV_OPTIONS = {
     "header": True,
@@ -81,17 +85,22 @@ def check_keys(tables: Tables) -> None:
             raise ValueError(f"{name}: {PRIMARY_KEYS[name]} is not unique")
 
 
+class LoadConflict(Exception):
+    """Another load was published since this one began."""
+
+
 def load_tables(tables: Tables, folder: str, unique_keys: bool = True) -> DataFrame:
     """Write typed Parquet tables and give their row counts as read back.
 
     Orders are written in date order, so that a period reads few files. A primary key that is not
     unique makes the load fail, unless ``unique_keys`` is off; the check reads back the keys only.
-    A load is written beside the ones before and published by one more row in a small table, so
-    readers see a whole load or the one before. Old loads stay until somebody deletes them.
+    A load is written beside the ones before and published as the version after the one it began
+    with, so readers see a whole load or the one before; of two loads at once, one is published and
+    the other fails with :class:`LoadConflict`. Old loads stay until somebody deletes them.
     """
     spark = tables.orders.sparkSession
-    version = uuid.uuid4().hex
-    path = f"{folder}/loads/{version}"
+    version = len(_versions(spark, folder)) + 1
+    path = f"{folder}/loads/{uuid.uuid4().hex}"
     by_date = ["order_date", "order_id"]
     ready = {name: typed(rows, name) for name, rows in tables._asdict().items()}
     ready[ORDERS] = ready[ORDERS].repartitionByRange(*by_date).sortWithinPartitions(*by_date)
@@ -100,12 +109,61 @@ def load_tables(tables: Tables, folder: str, unique_keys: bool = True) -> DataFr
     loaded = _tables_at(spark, path)
     if unique_keys:
         check_keys(loaded)
-    entry = spark.range(1).select(F.current_timestamp().alias("published"),
-                                  F.lit(version).alias("version"))
-    entry.write.mode("append").parquet(f"{folder}/published")
+    _publish(spark, folder, version, path.rsplit("/", 1)[1])
     return row_counts(loaded)
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the claimed versions in order."""
+    files, jvm = _file_system(spark, folder), spark._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{folder}/published")
+    if not files.exists(log):
+        return []
+    paths = [s.getPath() for s in files.listStatus(log)]
+    return sorted(p.toString() for p in paths if VERSION.fullmatch(p.getName()))
+
+
+def _publish(spark: SparkSession, folder: str, version: int, load: str) -> None:
+    """Creates the version's file, which only one of several writers can, with the load's name.
+
+    A reader that finds it still empty takes the version before.
+    """
+    jvm = spark._jvm
+    files = _file_system(spark, folder)
+    path = files.makeQualified(jvm.org.apache.hadoop.fs.Path(
+        f"{folder}/published/{version:012d}.load"))
+    files.mkdirs(path.getParent())
+    taken = LoadConflict(f"{folder}: version {version} is published already")
+    if files.getScheme() == "file":
+        # Local file systems look first and create then, unless asked for a new file.
+        if not jvm.java.io.File(path.toUri().getPath()).createNewFile():
+            raise taken
+        out = files.create(path, True)
+    else:
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            if "Exist" in error.java_exception.getClass().getSimpleName():
+                raise taken from error
+            raise
+    out.write(bytearray(load.encode()))
+    out.close()
+
+
+def published_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """``version, load`` of each published load."""
+    paths = _versions(spark, folder)
+    if not paths:
+        return spark.createDataFrame([], "version bigint, load string")
+    version = F.regexp_extract(F.col("_metadata.file_name"), r"^[0-9]+", 0).cast("bigint")
+    return spark.read.text(paths).select(version.alias("version"), F.col("value").alias("load"))
+
+
 def _tables_at(spark: SparkSession, path: str) -> Tables:
     return Tables(*[
         spark.read.schema(", ".join(f"{c} {t}" for c, t in CLEAN_TYPES[name].items()))
@@ -116,9 +174,10 @@ def _tables_at(spark: SparkSession, path: str) -> Tables:
 
 def read_tables(spark: SparkSession, folder: str) -> Tables:
     """The tables of the latest load that ``load_tables`` published."""
-    loads = spark.read.schema("published timestamp, version string").parquet(f"{folder}/published")
-    latest = loads.orderBy(F.desc("published"), "version").first()
-    return _tables_at(spark, f"{folder}/loads/{latest.version}")
+    latest = published_loads(spark, folder).orderBy(F.desc("version")).first()
+    if latest is None:
+        raise FileNotFoundError(f"{folder}: no load is published")
+    return _tables_at(spark, f"{folder}/loads/{latest.load}")
 
 
 def save_bucketed(tables: Tables, database: str, buckets: int) -> Tables:

@@ -130,3 +130,16 @@ def test_salted_join(spark, many_blocks):
     found = blocks.salted_join(many, side, "k", spread_by="id")
     assert sorted(found.columns) == ["id", "k", "v"]
     assert same(found, many.join(side, "k"), ["id", "k", "v"])
+
+
+def test_only_hot_keys_are_salted_by_their_share(spark):
+    many = spark.range(9_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 9 = 1 THEN 'b' ELSE string(id) END AS k")
+    assert blocks.hot_keys(many, "k", 30) == {"a": 10, "b": 4}
+    assert blocks.hot_keys(spark.range(900).selectExpr("id AS k"), "k", 30) == {}
+    nulls = spark.range(90).selectExpr("CAST(NULL AS BIGINT) AS k")
+    assert blocks.hot_keys(nulls, "k", 30) == {}
+    # The side has one row for each salt of a hot key, and one for a cold key.
+    side = spark.createDataFrame([("a", 1), ("b", 2), ("1", 3), ("x", 4)], "k string, v int")
+    found = blocks.salted_join(many.withColumn("id", F.monotonically_increasing_id()), side, "k", "id")
+    assert found.groupBy("v").count().orderBy("v").collect() == [(1, 3000), (2, 1000)]

@@ -8,6 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
+from ordermill.operators import blocks
+from ordermill.plans import analytics
+from ordermill.schemas import Tables
 from tests import oracle
 from tests.conftest import TEST_DATA
 
@@ -62,3 +67,24 @@ def test_skewed_query_equals_sql(spark, duck, folder, settings, many_blocks, nam
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
     )
     assert oracle.differences(QUERIES[name](spark, folder), duck, SQL[name]) == []
+
+
+def test_a_customer_month_with_a_third_of_the_orders_is_split(spark, many_blocks):
+    """No block, and no task, has many more of the orders than the others."""
+    days = "date_add(DATE '1995-01-01', CAST(id % 2400 AS INT))"
+    orders = spark.range(30_000).selectExpr(
+        "id AS order_id", "IF(id % 3 = 0, 7, id % 1500) AS customer_id",
+        f"IF(id % 3 = 0, TIMESTAMP_NTZ'1998-05-06 00:00:00', CAST({days} AS TIMESTAMP_NTZ))"
+        " AS order_date")
+    t = Tables(*[orders.selectExpr("string(customer_id) AS customer_id", "order_date", "order_id")] * 4)
+    placed = analytics._in_time(t)
+    sizes = sorted(r["count"] for r in placed.groupBy("customer_id", blocks.BLOCK).count().collect())
+    assert sizes[-1] < 30_000 / 10
+    tasks = sorted(r["count"] for r in placed.repartitionByRange("customer_id", blocks.BLOCK)
+                   .groupBy(F.spark_partition_id()).count().collect())
+    assert tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    expected = orders.filter("customer_id = 7").orderBy("order_date", "order_id").collect()
+    for question in (analytics.next_order, analytics.next_order_by_self_join):
+        found = question(t).filter("customer_id = '7'").collect()
+        assert [r.current_order_id for r in found] == [r.order_id for r in expected]
+        assert [r.next_order_id for r in found] == [*[r.order_id for r in expected[1:]], None]

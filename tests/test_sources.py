@@ -233,3 +233,46 @@ def test_whole_run(spark, tmp_path):
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(AnalysisException):
         files.read_raw(spark, str(tmp_path), "orders")
+
+
+def test_one_of_two_loads_at_once_is_published(spark, shop, tmp_path):
+    folder = f"{tmp_path}/tables"
+    files.load_tables(shop, folder)
+    # Both began with the first version; the second one to publish must fail.
+    few = shop._replace(orders=shop.orders.limit(0))
+    files.load_tables(few, folder)
+    with pytest.raises(files.LoadConflict):
+        files._publish(spark, folder, 2, "late")
+    assert files.read_tables(spark, folder).orders.count() == 0
+    assert [r.version for r in files.published_loads(spark, folder).orderBy("version").collect()] == [
+        1, 2]
+
+
+def test_loads_from_many_threads_have_one_winner(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def publish(name):
+        try:
+            files._publish(spark, f"{tmp_path}/t", 1, name)
+            return name
+        except files.LoadConflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        winners = [n for n in pool.map(publish, map(str, range(16))) if n]
+    assert len(winners) == 1
+    assert [r.load for r in files.published_loads(spark, f"{tmp_path}/t").collect()] == winners
+
+
+def test_a_version_that_is_still_empty_is_not_read(spark, shop, tmp_path):
+    folder = f"{tmp_path}/tables"
+    files.load_tables(shop, folder)
+    (tmp_path / "tables" / "published" / "000000000002.load").touch()
+    assert files.read_tables(spark, folder).orders.count() == shop.orders.count()
+    files.load_tables(shop._replace(orders=shop.orders.limit(0)), folder)
+    assert files.read_tables(spark, folder).orders.count() == 0
+
+
+def test_nothing_is_read_before_a_load(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        files.read_tables(spark, f"{tmp_path}/nothing")
