@@ -94,9 +94,41 @@ def split_pattern(pattern: str) -> regex.Pattern:
 #: UTF-8 of every character that the pattern takes for space, and other control characters.
 BLANK = (rb"(?:[\x00-\x20\x7f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
          rb"|\xe2\x81\x9f|\xe3\x80\x80)")
-UNCLEAN = re.compile(BLANK + rb" | " + BLANK + rb"|^ | $")
 BLANK_FIRST = re.compile(BLANK)
 BLANK_LAST = re.compile(BLANK + rb"\Z")
+#: The blanks of several bytes, which no ASCII text has.
+WIDE_BLANK = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
+                        rb"|\xe2\x81\x9f|\xe3\x80\x80")
+CONTROLS = bytes([*range(10), *range(11, 32), 127])
+#: Stands before a word that has no space before it; no UTF-8 text has this byte.
+JOINED = b"\xff"
+#: Letters before this one take two bytes at most.
+LATIN_END = "\u0250"
+#: Marks that are one match of the pattern after a letter. The apostrophe is none.
+MARKS = ".,;:!?$#*%&|<>()\"-=_/"
+
+
+def is_plain(data: bytes) -> bool:
+    """Whether all blanks are single spaces and line feeds between other characters."""
+    return (b"  " not in data and b" \n" not in data and b"\n " not in data and b"\n\n" not in data
+            and data[:1] not in (b" ", b"\n") and data[-1:] not in (b" ", b"\n")
+            and len(data.translate(None, CONTROLS)) == len(data)
+            and (data.isascii() or not WIDE_BLANK.search(data)))
+
+
+def plain_words(data: bytes) -> list[bytes]:
+    """The words of a plain text and its line feeds, which no match of the pattern joins.
+
+    A word stands for a space and itself, one after ``JOINED`` for itself; the first one for a
+    space, too.
+    """
+    return data.replace(b"\n", b" " + JOINED + b"\n " + JOINED).split(b" ")
+
+
+def parted(word: str) -> tuple[str, str] | None:
+    """Latin letters and the marks after them, which are two matches of the pattern."""
+    core = word.rstrip(MARKS)
+    return (core, word[len(core):]) if core.isalpha() and max(core) < LATIN_END else None
 
 
 class Bpe:
@@ -197,13 +229,16 @@ class Bpe:
         return np.concatenate(flat), np.concatenate(length)
 
     def _pieces_of(self, word: bytes) -> list[bytes]:
-        """The matches of the pattern in a word; plain letters and a final mark need no search."""
+        """The matches of the pattern in a word; plain letters and marks behind need no search."""
         if word.isalpha():
             return [b" " + word]
-        if word[-1:] in (b".", b",") and word[:-1].isalpha():
-            return [b" " + word[:-1], word[-1:]]
-        text = word[1:] if word[:1] == b" " else b" " + word
-        return [p.encode() for p in self.pattern.findall(text.decode())]
+        space = word[:1] not in (b" ", JOINED)
+        text = (word if space else word[1:]).decode()
+        found = parted(text)
+        if found:
+            core = (b" " if space else b"") + found[0].encode()
+            return [core, found[1].encode()] if found[1] else [core]
+        return [p.encode() for p in self.pattern.findall(" " * space + text)]
 
     @staticmethod
     def cut(data: bytes) -> list[bytes]:
@@ -211,12 +246,14 @@ class Bpe:
 
         No match of the pattern crosses such a place, as a space goes with what follows it. Words
         with other space at an edge stay together with their neighbour. A word after its space is
-        given without it; any other is marked by a space in front.
+        given without it; any other is marked by a space or by ``JOINED`` in front. In plain texts
+        line feeds are words, too.
         """
+        if data and is_plain(data):
+            parts = plain_words(data)
+            parts[0] = JOINED + parts[0]
+            return parts
         parts = data.split(b" ")
-        if not UNCLEAN.search(data):
-            parts[0] = b" " + parts[0]
-            return parts if data else []
         out, held = [], parts[0]
         open_end = bool(held) and not BLANK_LAST.search(held)
         for part in parts[1:]:

@@ -19,6 +19,9 @@ SPACES = b" \t\n\x0b\x0c\r"
 IN_WORD = np.ones(256, bool)
 IN_WORD[list(SPACES)] = False
 
+#: Bytes of an Arrow batch that a function works on at a time.
+SLICE_BYTES = 8_000_000
+
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 FOLD = np.uint64(32)
@@ -69,7 +72,8 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch],
                 schema: str) -> DataFrame:
     """Applies ``make()``'s function to each Arrow batch; ``make`` runs once per task.
 
-    The function returns one list or array for each column of ``schema``.
+    The function returns one list or array for each column of ``schema``. It gets at most about
+    ``SLICE_BYTES`` at a time, so that what it makes of a batch stays small; a row is never cut.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -79,8 +83,10 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                found = work(batch)
+            rows = batch.num_rows
+            step = max(1, rows * SLICE_BYTES // max(batch.nbytes, SLICE_BYTES))
+            for begin in range(0, rows, step):
+                found = work(batch.slice(begin, step))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
 
@@ -109,47 +115,85 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return held.__dict__[name]
 
 
-class Coder:
-    """Number sequences of words, looked up for many words at once.
+class Coders:
+    """Several number sequences of each word, looked up for many words at once.
 
-    ``encode`` gives the sequences of words that were not seen before, on end, and the length of
-    each. What is known is forgotten when there are more than ``limit`` words, so memory is bounded.
+    ``encode`` gives the sequences of words that were not seen before: for each kind of sequence all
+    of them on end, and the length of each. Memory is bounded: beyond ``limit`` words, only those
+    that were asked for again since the last time stay known, half of the limit at most.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
-                 limit: int):
+    def __init__(self, encode: Callable[[list[bytes]], list[tuple[np.ndarray, np.ndarray]]],
+                 limit: int, kinds: int):
         self.encode, self.limit = encode, limit
-        self.clear()
-
-    def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.length = np.zeros(0, np.int64)
-
-    def __call__(self, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """All documents' numbers on end, and how many each document has."""
+        self.held = [(np.zeros(0, np.uint32), np.zeros(0, np.int64)) for _ in range(kinds)]
+        self.again = np.zeros(0, bool)
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.again)[-(self.limit // 2):]
+        self.held = [(flat[_runs((np.cumsum(length) - length)[keep], length[keep])], length[keep])
+                     for flat, length in self.held]
+        known = list(self.index)  # in the order of their numbers
+        self.index = {known[i]: n for n, i in enumerate(keep.tolist())}
+        self.again = np.zeros(len(keep), bool)
+
+    def _find(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+
+    def __call__(self, documents: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each kind all documents' numbers on end, and how many each document has."""
         sizes = np.array([len(d) for d in documents], np.int64)
         words = list(chain.from_iterable(documents))
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        at = self._find(words)
         missing = np.flatnonzero(at < 0)
+        self.again[at[at >= 0]] = True
         if len(missing):
-            new = list({words[i] for i in missing})
+            new = list({words[i] for i in missing.tolist()})
             if len(self.index) + len(new) > self.limit:
-                self.clear()
-                missing, new = np.arange(len(words)), list(set(words))
-            flat, length = self.encode(new)
+                self._forget()
+                at = self._find(words)
+                missing = np.flatnonzero(at < 0)
+                new = list({words[i] for i in missing.tolist()})
+            found = self.encode(new)
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)),
                                   strict=True))
-            self.length = np.concatenate([self.length, length])
-            self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
+            self.held = [
+                (np.concatenate([flat, more.astype(np.uint32)]), np.concatenate([length, sizes_]))
+                for (flat, length), (more, sizes_) in zip(self.held, found, strict=True)]
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
             get = self.index.__getitem__
-            at[missing] = np.fromiter((get(words[i]) for i in missing), np.int64, len(missing))
-        start = np.cumsum(self.length) - self.length
-        length = self.length[at]
-        ends = np.cumsum(length)
-        place = np.repeat(start[at] - (ends - length), length) + np.arange(int(length.sum()))
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
-        return self.flat[place], np.diff(bounds)
+            at[missing] = np.fromiter((get(words[i]) for i in missing.tolist()), np.int64,
+                                      len(missing))
+        out = []
+        for flat, length in self.held:
+            start, own = np.cumsum(length) - length, length[at]
+            ends = np.concatenate(([0], np.cumsum(own)))
+            bounds = ends[np.concatenate(([0], np.cumsum(sizes)))]
+            out.append((flat[_runs(start[at], own)], np.diff(bounds)))
+        return out
+
+
+class Coder:
+    """One number sequence of each word; see :class:`Coders`."""
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 limit: int):
+        self.coders = Coders(lambda words: [encode(words)], limit, 1)
+
+    @property
+    def index(self) -> dict[bytes, int]:
+        return self.coders.index
+
+    def __call__(self, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        return self.coders(documents)[0]
+
+
+def _runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places from each start on, ``length`` of them, all on end."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(start - (ends - length), length) + np.arange(total)
 
 
 def in_groups(documents: Iterable[list[bytes]], words: int = 400_000,
