@@ -15,8 +15,9 @@ under names of their own attempt; a manifest table lists the files of the attemp
 a task that is run again, or twice at once, leaves no wrong data. Rows that share an id are ordered
 by a hash of their text, then by the text.
 
-Nulls: a null text is empty and holds the end id alone; null ids come first. An empty table gives
-no file and an empty manifest.
+Nulls: a null text is empty and holds the end id alone; null ids come first. A text of any length is
+one document in one frame. An empty table gives no file and an empty manifest. Other columns of the
+table are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ MAGIC = 0x4C494D31
 SKIPPABLE = 0x184D2A5E
 FRAME_IDS = 65_536
 FILE_IDS = 16_000_000
+FILE_DOCS = 500_000
 #: Sizes of index and seek table, their checksum, the magic word.
 FOOTER = "<IIII"
 FOOTER_SIZE = struct.calcsize(FOOTER)
@@ -164,13 +166,14 @@ class WordEncoder:
     a text's ids are those of its lower-cased words on end. A final full stop or comma after an
     ASCII letter is a token of its own. Words of Latin letters go straight to the tokenizer's model:
     all that stands in front of it would do is to lower them and to spell their bytes as letters.
+    A text with a special mark, which has its own id, goes to the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.cores = Coder(self._encode, KNOWN_WORDS)
         self.words = Coder(self._words, KNOWN_WORDS)
@@ -206,9 +209,14 @@ class WordEncoder:
 
     def encode(self, data: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        for group in in_groups(d.lower().split() for d in data):
+        marked = [any(m in d for m in self.marks) for d in data]
+        rest = ([] if m else d.lower().split() for d, m in zip(data, marked, strict=True))
+        for group in in_groups(rest):
             ids, sizes = self.words(group)
             out += np.split(ids, np.cumsum(sizes)[:-1])
+        for i in np.flatnonzero(marked).tolist():
+            whole = self.tokenizer.encode(data[i].decode(), add_special_tokens=False)
+            out[i] = np.array(whole.ids, np.uint32)
         return out
 
 
@@ -239,7 +247,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
                 if writer is None:
                     writer, first = FileWriter(folder), own_tie
                 writer.add(name, np.append(ids, np.uint32(end_id)))
-                if writer.n_ids >= FILE_IDS:
+                if writer.n_ids >= FILE_IDS or len(writer.rows) >= FILE_DOCS:
                     close()
                     writer = None
         if writer is not None:

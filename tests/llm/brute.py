@@ -75,7 +75,6 @@ def near_duplicates(docs):
 def token_files(docs):
     """Ids must be unique."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     start = 0
     for doc_id, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]

@@ -31,6 +31,7 @@ def documents():
             "4111 1111 1111 1111 and 4111111111111112 or 12345678901234567890 +1 (509) 555-6973.",
             "🙂🙂 +49-30-1234567 x%d@e.f%g@h.i 1.2.3.4.5.6.7.8 +1 2 a.b@c.d.e-",
             "it's WE'LL  double  spaces nbsp　wide\r\nline\x1cunit end ",
+            "one <|endoftext|> Two<|startoftext|>three <|ENDOFTEXT|>", "<|endoftext|>",
             "Σίσυφος ΟΔΟΣ İstanbul é é İ ﬁ ½ 北京 12½"]
     return list(enumerate(out))
 
