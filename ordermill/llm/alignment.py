@@ -24,8 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,26 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm import pieces
-from ordermill.llm.bpe import BLANK, Bpe
+from ordermill.llm.bpe import JOINED, is_plain, parted, plain_words
 from ordermill.llm.tokenfile import BYTE_LETTERS
-from ordermill.llm.words import Coder, in_groups, keyed, map_batches, stored, texts, worker_state
+from ordermill.llm.words import Coders, in_groups, keyed, map_batches, stored, texts, worker_state
 
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 400_000
+KNOWN_CORES = 300_000
 CHUNK_BYTES = 2_000_000
 #: A document with more A tokens is dealt over entries of about so many.
 ENTRY_TOKENS = 1_024
 #: How far behind a wished place a common end of tokens is searched, in A tokens.
 SEARCH = 64
 
-#: Blanks that are more than one space or line feed between other characters.
-UNCLEAN = re.compile(rb"(?![ \n])" + BLANK + rb"|[ \n][ \n]|^[ \n]|[ \n]\Z")
-#: Stands before a word that has no space before it; no UTF-8 text has this byte.
-JOINED = b"\xff"
-#: Letters before this one take two bytes at most.
-LATIN_END = "\u0250"
-#: Marks that form a token of their own after a letter or digit. The apostrophe is none.
-MARKS = b".,;:!?$#*%&|<>()\"-=_/"
-
 ALIGNED = ("chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
            "n_links array<long>, groups_sha256 array<string>, n_pairs array<int>, places binary, "
            "times binary, pair array<long>, total array<long>")
@@ -121,10 +113,12 @@ class Aligned:
     """The alignment of the documents of one chunk, all on end."""
 
     def __init__(self, aligner: Aligner, data: list[bytes]):
-        spaced = [b" " + d if d else b"" for d in data]
-        a_ids, b_ids = aligner.a_ids(data), aligner.pieces.encode(data)
-        fits = [bool(s) and aligner.a_bytes(a) == s and aligner.pieces.token_bytes(b) == s
-                for s, a, b in zip(spaced, a_ids, b_ids, strict=True)]
+        a_ids, b_ids = aligner.ids(data)
+        # A's bytes are the text's; B's have a space of one byte for each mark of three. So the
+        # lengths tell whether the bytes are the same.
+        fits = [s > 0 and aligner.a_length[a].sum() == s == aligner.pieces.length[b].sum()
+                for s, a, b in zip((len(d) + 1 if d else 0 for d in data), a_ids, b_ids,
+                                   strict=True)]
         none = np.zeros(0, np.int32)
         a_ids = [i if f else none for i, f in zip(a_ids, fits, strict=True)]
         b_ids = [i if f else none for i, f in zip(b_ids, fits, strict=True)]
@@ -191,32 +185,6 @@ class Aligned:
         return known, total, n_pairs, place, times
 
 
-def words_of(data: bytes) -> list[bytes]:
-    """The words of a space and a text, which the split of byte-level BPE never joins.
-
-    Words lie between spaces; a line feed alone is a word, too. ``JOINED`` or a space at the front
-    stand for no space before the word; without them there is one.
-    """
-    if not data:
-        return []
-    if UNCLEAN.search(data):
-        return Bpe.cut(b" " + data)
-    return data.replace(b"\n", b" " + JOINED + b"\n " + JOINED).split(b" ")
-
-
-def _ends(word: bytes) -> list[bytes]:
-    """A word without the marks at its end, and those, where the split parts them."""
-    core = word.rstrip(MARKS)
-    if len(core) == len(word) or not core:
-        return [word]
-    last = core[-1:] if core[-1] < 0x80 else core[-2:]
-    # Two bytes are the last character up to the end of Latin letters; longer ones stay together.
-    if last.isalnum() or (len(last) == 2 and 0xC3 <= last[0] <= 0xC8
-                          and last.decode().isalpha()):
-        return [core, JOINED + word[len(core):]]
-    return [word]
-
-
 class Aligner:
     """Both tokenizers, each distinct word encoded once while it is remembered."""
 
@@ -234,11 +202,11 @@ class Aligner:
         held = [bytes(letter_bytes[c] for c in s) if all(c in letter_bytes for c in s) else b""
                 for s in spelled]
         self.a_length = np.array([len(h) for h in held], np.int64)
-        self.a_start = np.cumsum(self.a_length) - self.a_length
-        self.a_flat = np.frombuffer(b"".join(held), np.uint8)
-        self.a_cores = Coder(self._a_cores, KNOWN_WORDS)
-        self.a_words = Coder(self._a_words, KNOWN_WORDS)
         self.pieces = pieces.coder(b_path)
+        self.cores = Coders(self._cores, KNOWN_CORES, 2)
+        self.words = Coders(self._words, KNOWN_WORDS, 2)
+        #: Whether a line feed and the mark of spaces stand alone in B, as single spaces do.
+        self.cuts = not self.pieces.line_feed
         self.b_size = len(self.pieces.length)
         self.a_names = self._names(size, b"|")
         self.b_names = self._names(self.b_size, b";")
@@ -247,47 +215,74 @@ class Aligner:
     def _names(size: int, mark: bytes) -> np.ndarray:
         return np.array([b"%d%s" % (i, end) for end in (b",", mark) for i in range(size)], object)
 
-    def _a_cores(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found: list[list[int] | None] = []
+    def _cores(self, cores: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """A and B ids of words, each without the space before it, or after ``JOINED``."""
+        tokenize = self.tokenizer.model.tokenize
+        a_found: list[list[int] | None] = []
+        b_found: list[list[int]] = []
         for core in cores:
-            # Letters after a space are one token to split, which goes straight to the model.
-            text = core.decode("utf-8", "replace")
-            if text.isalpha() and max(text) < LATIN_END:
+            text = core.decode() if core[:1] != JOINED else core[1:].decode()
+            if core[:1] != JOINED and parted(text):
+                # Letters after a space are one match to merge, which goes straight to the model.
                 spelled = (b" " + core).decode("latin-1").translate(BYTE_LETTERS)
-                found.append([t.id for t in self.tokenizer.model.tokenize(spelled)])
+                a_found.append([t.id for t in tokenize(spelled)])
             else:
-                found.append(None)
-        rest = [i for i, f in enumerate(found) if f is None]
-        plain = [(c[1:] if c[:1] in (JOINED, b" ") else b" " + c).decode()
-                 for c in (cores[i] for i in rest)]
-        coded = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+                a_found.append(None)
+            b_found.append(self.pieces.ids_of(
+                text if core[:1] == JOINED else pieces.SPACE + text))
+        rest = [i for i, f in enumerate(a_found) if f is None]
+        coded = self.tokenizer.encode_batch_fast(
+            [(cores[i][1:] if cores[i][:1] == JOINED else b" " + cores[i]).decode() for i in rest],
+            add_special_tokens=False)
         for i, own in zip(rest, coded, strict=True):
-            found[i] = own.ids
-        length = np.array([len(f) for f in found], np.int64)
-        return np.fromiter((i for f in found for i in f), np.uint32, int(length.sum())), length
-
-    def _a_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat, length = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for begin in range(0, len(words), 20_000):
-            ids, sizes = self.a_cores([_ends(w) for w in words[begin:begin + 20_000]])
-            flat.append(ids)
-            length.append(sizes)
-        return np.concatenate(flat), np.concatenate(length)
-
-    def a_ids(self, data: list[bytes]) -> list[np.ndarray]:
-        """The A ids of each UTF-8 text with a space before it; an empty text has none."""
-        out: list[np.ndarray] = []
-        for group in in_groups(map(words_of, data)):
-            ids, sizes = self.a_words(group)
-            out += np.split(ids, np.cumsum(sizes)[:-1])
-        return out
-
-    def a_bytes(self, ids: np.ndarray) -> bytes:
-        length = self.a_length[ids]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(self.a_start[ids] - (ends - length), length)
-        return self.a_flat[shift + np.arange(total)].tobytes()
+            a_found[i] = own.ids
+        return [_on_end(a_found), _on_end(b_found)]
+
+    def _words(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = [self.cores([self._ends(w) for w in words[begin:begin + 20_000]])
+                 for begin in range(0, len(words), 20_000)]
+        return [tuple(np.concatenate(parts) for parts in zip(*kind, strict=True))
+                for kind in zip(*found, strict=True)]
+
+    def _ends(self, word: bytes) -> list[bytes]:
+        """A word without the marks at its end, and those, where no token of either has both."""
+        found = parted(word.decode()) if word[:1] != JOINED else None
+        if found and found[1] and found[0][-1] + found[1][0] not in self.pieces.inner:
+            return [found[0].encode(), JOINED + found[1].encode()]
+        return [word]
+
+    def ids(self, data: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The A ids of each UTF-8 text with a space before it, and its B ids.
+
+        An empty text has none. In a plain text no token of either goes on behind a space or over a
+        line feed, so its words are looked up; any other text is encoded as a whole.
+        """
+        plain = [bool(d) and is_plain(d) and self.cuts for d in data]
+        a_found: list[np.ndarray] = []
+        b_found: list[np.ndarray] = []
+        for group in in_groups(plain_words(d) for d, p in zip(data, plain, strict=True) if p):
+            for out, (ids, sizes) in zip((a_found, b_found), self.words(group), strict=True):
+                out += np.split(ids, np.cumsum(sizes)[:-1])
+        a_known, b_known = iter(a_found), iter(b_found)
+        none = np.zeros(0, np.uint32)
+        a_out, b_out = [], []
+        for d, p in zip(data, plain, strict=True):
+            if p:
+                a_out.append(next(a_known))
+                b_out.append(next(b_known))
+            elif d:
+                a_out.append(np.array(self.tokenizer.encode(
+                    " " + d.decode(), add_special_tokens=False).ids, np.uint32))
+                b_out.append(self.pieces.encode([d])[0])
+            else:
+                a_out.append(none)
+                b_out.append(none)
+        return a_out, b_out
+
+
+def _on_end(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    length = np.array([len(f) for f in found], np.int64)
+    return np.fromiter(chain.from_iterable(found), np.uint32, int(length.sum())), length
 
 
 def coder(a_path: str, b_path: str) -> Aligner:
