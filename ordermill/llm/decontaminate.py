@@ -10,25 +10,33 @@ hit; ``cleaned`` removes them, merged into spans.
 Only runs of words that can belong to a window, because each neighbouring pair of them occurs in
 the benchmark, are put into the index; all else in a text cannot match and acts as a separator.
 
-The benchmark is the stated query set. It is sent to every executor in blocks of at most
-``BLOCK_WORDS`` words; each block is searched in all documents and the hits are merged. One item
-longer than that is a block of its own.
+The benchmark is the stated query set. It is written as a table in blocks of about ``BLOCK_WORDS``
+words, or of one longer item. Tasks read a block, search it in their documents and free it before
+the next one; the hits are merged by document. So neither the driver nor a worker holds more than a
+block.
 
 Nulls: a null text or item has no words; an item without words or without an id never occurs.
-Repeated rows are judged one by one. An empty benchmark hits nothing.
+Repeated rows are judged one by one. A text of any length is searched whole. An empty benchmark
+hits nothing, an empty table gives an empty result. Other columns of ``benchmark`` are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.words import keyed, map_batches
+from ordermill.llm.tokenfile import place
+from ordermill.llm.words import keyed, map_batches, on_texts
+from ordermill.session import new_scratch
 
 WINDOW = 10
 SHARD_WORDS = 400_000
@@ -215,64 +223,92 @@ def spans(hit: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
-    """The benchmark's items in blocks of a bounded number of words."""
+@dataclass(frozen=True)
+class Blocks:
+    """The benchmark's items as a stored table, in blocks of a bounded number of words.
+
+    Tasks read the blocks from the table, one at a time; a single block stays with its task.
+    """
+
+    path: str
+    count: int
+
+    def read(self, number: int) -> list[tuple[str, bytes]]:
+        """The items of one block; it may have none."""
+        files, base = place(f"{self.path}/block={number}")
+        if files.get_file_info(base).type == fs.FileType.NotFound:
+            return []
+        rows = pq.read_table(base, filesystem=files, columns=["item", "text"], partitioning=None)
+        return list(zip(rows.column("item").to_pylist(),
+                        rows.column("text").cast(pa.binary()).to_pylist(), strict=True))
+
+    def windows(self, window: int) -> Callable[[], Iterator[Windows]]:
+        """Each call goes over all blocks, of which only one is held."""
+        if self.count == 1:
+            only = Windows(self.read(0), window)
+            return lambda: iter([only])
+        return lambda: (Windows(self.read(i), window) for i in range(self.count))
+
+
+def stored_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Blocks:
+    """Writes the items to the shared folder; each block has about ``block_words`` or one item."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"),
                              F.col("text").cast("string").alias("text")).dropna()
     # Words are at least one byte and a separator apart.
     total = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
-    n = int(total // block_words) + 1
-    if n == 1:
-        return [items]
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    return [dealt.filter(F.col("block") == i).drop("block") for i in range(n)]
-
+    count = int(total // block_words) + 1
+    path = new_scratch(benchmark.sparkSession, "benchmark")
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(count)).cast("int")
+    dealt = items.withColumn("block", block)
+    # A part file per block, however many tasks there were.
+    dealt.repartition(min(count, 200), "block").write.partitionBy("block").parquet(path)
+    return Blocks(path, count)
 
-def _sent(spark, benchmark: DataFrame, block_words: int) -> list:
-    # Each block has at most block_words words, or is one item.
-    return [spark.sparkContext.broadcast([(r.item, r.text.encode()) for r in b.collect()])
-            for b in _blocks(benchmark, block_words)]
 
-
-def _search(blocks: list[Windows], column: pa.Array) -> dict:
-    """``n_words, begin, end, items`` of a batch of texts, indexed shard by shard."""
-    n = len(column)
-    sizes, begin, end, items = [0] * n, [[]] * n, [[]] * n, [[]] * n
+def _shards(column: pa.Array) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """Numbers and words of texts with words, a bounded number of words together."""
     shard: list[tuple[int, list[bytes]]] = []
     held = 0
-
-    def close() -> None:
-        hits = [np.zeros(len(w), bool) for _, w in shard]
-        names: list[set[str]] = [set() for _ in shard]
-        for block in blocks:
-            flags, found = shard_hits(block, [block.numbers(w) for _, w in shard])
-            hits = [a | b for a, b in zip(hits, flags, strict=True)]
-            names = [a | b for a, b in zip(names, found, strict=True)]
-        for (i, _), hit, own in zip(shard, hits, names, strict=True):
-            begin[i], end[i] = spans(hit)
-            items[i] = sorted(own)
-
-    for i in range(n):
+    for i in range(len(column)):
         words = words_of(column[i].as_py() or b"")
-        sizes[i] = len(words)
         if words:
             shard.append((i, words))
             held += len(words)
         if held >= SHARD_WORDS:
-            close()
+            yield shard
             shard, held = [], 0
     if shard:
-        close()
-    return {"n_words": sizes, "begin": begin, "end": end, "items": items}
+        yield shard
+
+
+def _search(blocks: Callable[[], Iterator[Windows]], column: pa.Array) -> dict:
+    """``n_words, begin, end, items`` of a batch of texts, indexed shard by shard.
+
+    Every block searches all texts before the next one is read; hits add up by text.
+    """
+    n = len(column)
+    sizes = [0] * n
+    hits = [np.zeros(0, bool)] * n
+    names: list[set[str]] = [set() for _ in range(n)]
+    for at, block in enumerate(blocks()):
+        for shard in _shards(column):
+            flags, found = shard_hits(block, [block.numbers(w) for _, w in shard])
+            for (i, words), hit, own in zip(shard, flags, found, strict=True):
+                sizes[i] = len(words)
+                hits[i] = hits[i] | hit if at else hit
+                names[i] |= own
+    edges = [spans(h) for h in hits]
+    return {"n_words": sizes, "begin": [e[0] for e in edges], "end": [e[1] for e in edges],
+            "items": [sorted(own) for own in names]}
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, n_words, begin, end, items`` with the merged spans of hit words."""
-    sent = _sent(docs.sparkSession, benchmark, block_words)
+    table = stored_blocks(benchmark, block_words)
 
     def make():
-        blocks = [Windows(b.value, window) for b in sent]
+        blocks = table.windows(window)
 
         def work(batch: pa.RecordBatch) -> dict:
             return {"doc_id": batch.column("doc_id"),
@@ -301,23 +337,18 @@ def without_words(data: bytes, begin: list[int], end: list[int]) -> bytes:
 def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             block_words: int = BLOCK_WORDS) -> DataFrame:
     """All columns of the documents, with the hit spans cut out of ``text``."""
-    sent = _sent(docs.sparkSession, benchmark, block_words)
+    table = stored_blocks(benchmark, block_words)
 
     def make():
-        blocks = [Windows(b.value, window) for b in sent]
+        blocks = table.windows(window)
 
-        def work(batch: pa.RecordBatch) -> dict:
-            row = batch.column("row")
-            column = row.field("text").cast(pa.binary())
+        def work(texts: pa.Array) -> pa.Array:
+            column = texts.cast(pa.binary())
             found = _search(blocks, column)
             new = [t.as_py() if not a else without_words(t.as_py(), a, b)
                    for t, a, b in zip(column, found["begin"], found["end"], strict=True)]
-            return {"row": row, "cleaned": pa.array(new, pa.binary()).cast(pa.string())}
+            return pa.array(new, pa.binary()).cast(pa.string())
 
         return work
 
-    rows = docs.select(F.struct("*").alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-    mapped = map_batches(rows, make, f"row {kind}, cleaned string")
-    return mapped.select(*[(F.col("cleaned") if c == "text" else F.col("row")[c]).alias(c)
-                           for c in docs.columns])
+    return docs.withColumn("text", on_texts(make, "string")(F.col("text").cast("string")))

@@ -21,7 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.words import SPACES, gram_hashes, keyed, map_batches, texts, word_hashes
+from ordermill.llm.words import (
+    SPACES, gram_hashes, keyed, map_batches, on_texts, texts, word_hashes,
+)
 
 TRAINING_ROWS = 1_500
 KEEP_AT = 0.5
@@ -171,19 +173,13 @@ def judge(docs: DataFrame, model: Model | None, keep_at: float = KEEP_AT) -> Dat
 
 
 def accepted(docs: DataFrame, model: Model | None, keep_at: float = KEEP_AT) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    rows = docs.select(F.struct("*").alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-
+    """The documents that pass, with all their columns; only texts leave the JVM."""
     def make():
-        def work(batch: pa.RecordBatch) -> dict:
-            row = batch.column("row")
-            column = row.field("text")
+        def work(column: pa.Array) -> pa.Array:
             points = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
-            keep = [_verdict(model, keep_at, *pair)[-1]
-                    for pair in zip(texts(column), points, strict=True)]
-            return {"row": row.filter(pa.array(keep))}
+            return pa.array([_verdict(model, keep_at, *pair)[-1]
+                             for pair in zip(texts(column), points, strict=True)], pa.bool_())
 
         return work
 
-    return map_batches(rows, make, f"row {kind}").select("row.*")
+    return docs.filter(on_texts(make, "boolean")(F.col("text").cast("string")))

@@ -93,6 +93,22 @@ def map_batches(frame: DataFrame, make: Callable[[], Callable[[pa.RecordBatch],
     return frame.mapInArrow(run, struct)
 
 
+def on_texts(make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str):
+    """A function of a text column alone; all other columns stay where they are.
+
+    ``make`` runs once per task; its function gets at most about ``SLICE_BYTES`` at a time.
+    """
+    @F.arrow_udf(kind)
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = make()
+        for part in parts:
+            step = max(1, len(part) * SLICE_BYTES // max(part.nbytes, SLICE_BYTES))
+            found = [work(part.slice(b, step)) for b in range(0, max(len(part), 1), step)]
+            yield pa.concat_arrays(found)
+
+    return run
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, so that no later job computes it again."""
     spark: SparkSession = frame.sparkSession
