@@ -214,9 +214,19 @@ SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_removed, 0) AS n_
 FROM texts t LEFT JOIN kept USING (doc_id)"""
 
 
-# A URL matches a mined rule if some combination of up to three of its tokens is one, so all
-# combinations are counted and it does not matter that the operator keeps only the shortest.
-URL_RULES = f"""WITH rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'),
+# Every combination of a URL's useful tokens is grown token by token and counted in both halves. A
+# URL matches if any of its combinations is a rule, so it does not matter that the operator keeps only
+# the shortest.
+WILSON = """((b / n) + 2.706025 / (2 * n) - 1.645 * sqrt(((b / n) * (1 - b / n)
+    + 2.706025 / (4 * n)) / n)) / (1 + 2.706025 / n)"""
+
+
+def _bound(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} = 0 THEN 0 ELSE " + WILSON.replace("b /", f"{part} /").replace(
+        "/ n", f"/ {whole}").replace("* n)", f"* {whole})") + " END"
+
+
+URL_RULES = f"""WITH RECURSIVE rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'),
   ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
   ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
 urls AS (
@@ -239,23 +249,29 @@ tokens AS (
       regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&')), '^[^=]*') FROM parts
     UNION ALL SELECT n, 'part:', regexp_extract(rest, '#(.*)', 1) FROM parts)
   WHERE token <> ''),
-total AS (SELECT COUNT(*) AS rows FROM fixed),
-frequent AS (
-  SELECT token FROM tokens JOIN fixed USING (n) GROUP BY token
-  HAVING COUNT(*) >= 0.01 * (SELECT rows FROM total)
-    AND COUNT(*) < 0.99 * (SELECT rows FROM total)),
-used AS (SELECT * FROM tokens SEMI JOIN frequent USING (token)),
-sets AS (
-  SELECT n, [token] AS items FROM used
-  UNION ALL SELECT a.n, [a.token, b.token] FROM used a JOIN used b ON a.n = b.n
-    AND a.token < b.token
-  UNION ALL SELECT a.n, [a.token, b.token, c.token] FROM used a
-    JOIN used b ON a.n = b.n AND a.token < b.token
-    JOIN used c ON b.n = c.n AND b.token < c.token),
+labelled AS (
+  SELECT n, verdict = 'block' AS bad, substr(md5(host), 1, 1) >= '8' AS held
+  FROM fixed JOIN parts USING (n)),
+total AS (SELECT COUNT(*) FILTER (NOT held) AS rows FROM labelled),
+useful AS (
+  SELECT token FROM tokens JOIN labelled USING (n) GROUP BY token
+  HAVING COUNT(*) FILTER (bad AND NOT held) >= ceil(0.01 * (SELECT rows FROM total))
+    AND COUNT(*) FILTER (NOT held) < 0.99 * (SELECT rows FROM total)
+    AND token NOT IN (SELECT 'host:' || h FROM rules)
+    AND token NOT IN (SELECT 'path:' || unnest(string_split(p, '/')) FROM rules)
+    AND NOT (starts_with(token, 'host:') AND bool_and(bad))),
+used AS (SELECT * FROM tokens SEMI JOIN useful USING (token)),
+sets(n, items, top) AS (
+  SELECT n, [token], token FROM used
+  UNION ALL SELECT s.n, list_append(s.items, u.token), u.token
+  FROM sets s JOIN used u ON u.n = s.n AND u.token > s.top),
+counted AS (
+  SELECT items, COUNT(*) FILTER (NOT held) AS n, COUNT(*) FILTER (bad AND NOT held) AS b,
+    COUNT(*) FILTER (held) AS nn, COUNT(*) FILTER (bad AND held) AS bb
+  FROM sets JOIN labelled USING (n) GROUP BY items),
 mined AS (
-  SELECT items FROM sets JOIN fixed USING (n) GROUP BY items
-  HAVING COUNT(*) FILTER (verdict = 'block') >= ceil(0.01 * (SELECT rows FROM total))
-    AND COUNT(*) FILTER (verdict = 'block') / COUNT(*) >= 0.95),
+  SELECT items FROM counted WHERE b >= ceil(0.01 * (SELECT rows FROM total))
+    AND {_bound('b', 'n')} >= 0.95 AND {_bound('bb', 'nn')} >= 0.95),
 hit AS (SELECT DISTINCT n FROM sets SEMI JOIN mined USING (items))
 SELECT page_id, host, path, rule,
   COALESCE(fixed.verdict, CASE WHEN hit.n IS NULL THEN 'allow' ELSE 'block' END) AS verdict,

@@ -1,5 +1,6 @@
 """The operators' own interfaces, on small inputs made for one case each."""
 
+import hashlib
 import itertools
 import random
 
@@ -195,41 +196,88 @@ def test_damage_is_noticed(tmp_path):
 
 # URL rules
 
+LABELLED = "host string, verdict string, tokens array<string>"
+
+
 def test_mined_rules_have_their_support_and_confidence(spark):
     rng = random.Random(9)
     rows = []
-    for _ in range(400):
-        tokens = sorted({f"host:{rng.choice('abc')}", f"path:{rng.choice('de')}", "key:x"})
-        rows.append(("block" if "host:a" in tokens and "path:d" in tokens else "allow", tokens))
-    labelled = spark.createDataFrame(rows, "verdict string, tokens array<string>")
-    found = urlrules.mine(labelled)
-    assert [r.tokens for r in found] == [("host:a", "path:d")]
-    fit = [v for v, t in rows if {"host:a", "path:d"} <= set(t)]
-    assert found[0].confidence == 1 and abs(found[0].support - len(fit) / 400) < 1e-9
-    tokens = spark.createDataFrame([(t,) for _, t in rows] + [([],)], "tokens array<string>")
+    for i in range(800):
+        tokens = sorted({f"type:{rng.choice('abc')}", f"path:{rng.choice('de')}", "key:x"})
+        bad = "type:a" in tokens and "path:d" in tokens
+        rows.append((f"h{i}.com", "block" if bad else "allow", tokens))
+    found = urlrules.mine(spark.createDataFrame(rows, LABELLED))
+    assert [r.tokens for r in found.rules] == [("path:d", "type:a")]
+    train = [r for r in rows if hashlib.md5(r[0].encode()).hexdigest() < "8"]
+    fit = [r for r in train if r[1] == "block"]
+    rule = found.rules[0]
+    assert rule.confidence == rule.held_precision == 1
+    assert rule.held_rows == sum(r[1] == "block" for r in rows) - len(fit)
+    assert abs(rule.support - len(fit) / len(train)) < 1e-9
+    tokens = spark.createDataFrame([(t,) for *_, t in rows] + [([],)], "tokens array<string>")
     got = [r[0] for r in tokens.select(urlrules.matches(F.col("tokens"), found)).collect()]
-    assert got == [v == "block" for v, _ in rows] + [False]
-
-
-def test_mined_rules_need_evidence_of_their_own_domain(spark):
-    """Of .net only blocks are labelled, of .org nothing; four tokens block on shop.com."""
-    rules = (urlrules.UrlRule("allow", "com", "/"), urlrules.UrlRule("block", "net", "/es/"),
-             urlrules.UrlRule("block", "shop.com", "/a/b/c/"))
-    urls = [f"http://w{i}.x.net/es/{i}" for i in range(100)]
-    for i in range(400):
-        first, second, third = ("ab"[i % 2], "bd"[i // 2 % 2], "ce"[i // 4 % 2])
-        urls.append(f"http://shop.com/{first}/{second}/{third}/{i}")
-    urls += ["http://q.x.net/de/1", "http://shop.org/a/b/c/1", "http://x.org/es/2"]
+    assert got == [v == "block" for _, v, _ in rows] + [False]
+
+
+def test_rules_must_hold_on_hosts_they_have_not_seen(spark):
+    """A token of one host, one that blocks only in the first half, and one of too few rows."""
+    rows = []
+    for i in range(600):
+        host = f"h{i}.com"
+        first = hashlib.md5(host.encode()).hexdigest() < "8"
+        rows.append((host, "block" if first else "allow", ["path:half", f"key:{i}"]))
+        rows.append((host, "allow", ["path:other"]))
+        rows.append(("one.com", "block", ["path:one"]))
+    rows += [(f"few{i}.com", "block", ["path:few"]) for i in range(20)]
+    found = urlrules.mine(spark.createDataFrame(rows, LABELLED))
+    assert found.rules == ()
+    assert found.tried >= 1
+
+
+def test_tokens_of_the_same_rows_are_one_item(spark):
+    """Thirty tokens that always come together give one rule, not 2 ** 30."""
+    together = [f"path:{i:02}" for i in range(30)]
+    rows = [(f"h{i}.com", "block" if i % 3 else "allow", together if i % 3 else ["path:x"])
+            for i in range(600)]
+    found = urlrules.mine(spark.createDataFrame(rows, LABELLED))
+    assert [r.tokens for r in found.rules] == [("path:00",)]
+    tokens = spark.createDataFrame([(["path:17"],), (["path:x"],)], "tokens array<string>")
+    assert [r[0] for r in tokens.select(urlrules.matches(F.col("tokens"), found)).collect()] == [
+        True, False]
+
+
+def test_long_rules_are_found(spark):
+    names = ["path:a", "path:b", "path:c", "key:d"]
+    rows = [(f"h{n}.com", "block" if k == 4 else "allow", list(t)) for n in range(120)
+            for k in range(5) for t in itertools.combinations(names, k)]
+    found = urlrules.mine(spark.createDataFrame(rows, LABELLED))
+    assert [r.tokens for r in found.rules] == [("key:d", "path:a", "path:b", "path:c")]
+
+
+def test_mined_rules_block_pages_that_no_fixed_rule_judges(spark):
+    """With the default rules: casino paths are blocked on many hosts, and so elsewhere."""
+    urls = []
+    for i in range(300):
+        urls += [f"http://h{i}.example.com/en/casino/{i}", f"http://h{i}.shop.net/es/casino/{i}",
+                 f"http://h{i}.example.com/de/news/{i}", f"http://h{i}.shop.net/fr/news/{i}"]
+    first = len(urls)
+    urls += ["http://z.org/casino/1", "http://z.org/news/1", "http://h.net/de/casino/2",
+             "http://h.net/de/1", "http://z.org/en/3", "http://z.org/es/3"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = urlrules.judge(pages).filter(F.col("page_id") >= first).orderBy("page_id").collect()
+    assert [r.verdict for r in found] == ["block", "allow", "block", "allow", "allow", "allow"]
+    assert [r.mined for r in found] == [True, False, True, False, False, False]
+    assert all(r.rule is None for r in found)
+
+
+def test_only_blocks_of_a_domain_are_no_evidence(spark):
+    """Of .net only blocks are labelled, of .org nothing."""
+    urls = [f"http://w{i}.x{i}.net/es/{i}" for i in range(400)]
+    urls += [f"http://w{i}.x{i}.com/de/{i}" for i in range(400)]
+    urls += ["http://q.x.net/de/1", "http://x.org/es/2"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    found = urlrules.judge(pages, rules).filter("rule is null").select("verdict").collect()
-    assert [r.verdict for r in found] == ["allow"] * 3
-    rows = [("block" if len(t) == 4 else "allow", ["host:shop.com", *t])
-            for k in range(5) for t in itertools.combinations(["path:a", "path:b", "path:c", "key:d"], k)]
-    labelled = spark.createDataFrame(rows * 80, "verdict string, tokens array<string>")
-    assert [r.tokens for r in urlrules.mine(labelled)] == [
-        ("host:shop.com", "key:d", "path:a", "path:b", "path:c")]
-    few = [("block", ["host:a.com", "path:p"])] * 12 + [("allow", ["host:a.com", "path:q"])] * 300
-    assert urlrules.mine(spark.createDataFrame(few, "verdict string, tokens array<string>")) == []
+    found = urlrules.judge(pages).filter("rule is null").collect()
+    assert [r.verdict for r in found] == ["allow"] * 2
 
 
 # decontamination
