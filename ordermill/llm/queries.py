@@ -69,9 +69,14 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated")))
 
 
-def sharding(spark: SparkSession, folder: str) -> DataFrame:
-    owner = shards.SlotMap.of(SHARDS)
-    return shards.assign(_table(spark, folder, "documents"), owner, owner.grown())
+def sharding(spark: SparkSession, folder_of_tables: str) -> DataFrame:
+    folder = new_scratch(spark, "slot-maps")
+    first = shards.SlotMap.of(SHARDS)
+    first.publish(spark, folder)
+    grown = shards.SlotMap.load(spark, folder).grown()
+    grown.publish(spark, folder)
+    return shards.assign(_table(spark, folder_of_tables, "documents"), folder, first.version,
+                         grown.version)
 
 
 def private_data(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Shards over fixed virtual slots.
 
 A record's id is hashed into one of ``SLOTS`` slots, for good. A versioned map says which shard
-holds each slot; growing or rebalancing edits the map and moves whole slots. Ids need no
-coordination, and a map has the same size for any number of records.
+holds each slot. Maps are stored, a folder per version, and readers take the version they are told or
+the latest one; growing or rebalancing reads a version, edits it and publishes the next, and moves
+whole slots. Ids need no coordination, and a map has the same size for any number of records.
 
 Nulls: a null id has a slot of its own hash; a null text has size 16. Repeated rows are separate
-records of the same slot. An empty table gives an empty result.
+records of the same slot; a slot with many rows, whatever their ids are, is dealt over several
+tasks. A text of any length is one record. An empty table gives an empty result. Other columns of
+the table are not read.
 """
 
 from __future__ import annotations
@@ -16,8 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ordermill.llm.words import stored
+
 SLOTS = 16_384
 RECORD_BYTES = 16
+#: A slot with so many times its fair number of rows is dealt over so many parts.
+HOT_FACTOR = 8
+PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -81,20 +89,30 @@ class SlotMap:
             owner[slot] = low
         return SlotMap(self.version + 1, self.shards, tuple(owner))
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        """``version, virtual_slot, shard``: the form in which maps are stored."""
-        return spark.createDataFrame(
-            [(self.version, slot, shard) for slot, shard in enumerate(self.owner)],
-            "version int, virtual_slot int, shard int")
+    def publish(self, spark: SparkSession, folder: str) -> None:
+        """Stores the map as its version, which must not be there yet."""
+        rows = [(slot, shard) for slot, shard in enumerate(self.owner)]
+        (spark.createDataFrame(rows, "virtual_slot int, shard int").coalesce(1)
+         .write.mode("error").parquet(f"{folder}/version={self.version}"))
 
     @staticmethod
-    def load(rows: DataFrame, version: int) -> SlotMap:
-        """One version of the stored maps."""
-        own = sorted(rows.filter(F.col("version") == version).collect(),
+    def load(spark: SparkSession, folder: str, version: int | None = None) -> SlotMap:
+        """A stored version, or the latest one."""
+        maps = stored_maps(spark, folder)
+        if version is None:
+            version = maps.agg(F.max("version")).first()[0]
+        # One row per slot, whatever the number of records is.
+        own = sorted(maps.filter(F.col("version") == version).collect(),
                      key=lambda r: r.virtual_slot)
         return SlotMap(version, max(r.shard for r in own) + 1, tuple(r.shard for r in own))
 
 
+def stored_maps(spark: SparkSession, folder: str) -> DataFrame:
+    """``version, virtual_slot, shard`` of all stored maps."""
+    return (spark.read.schema("virtual_slot int, shard int, version int").parquet(folder)
+            .select("version", "virtual_slot", "shard"))
+
+
 def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
@@ -109,31 +127,41 @@ def slot_sizes(records: DataFrame, slots: int = SLOTS) -> DataFrame:
             .agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")))
 
 
-def assign(docs: DataFrame, owner: SlotMap, grown: SlotMap) -> DataFrame:
-    """Each document's shard under two versions of the map, and its place in its shard.
+def assign(docs: DataFrame, folder: str, version: int, grown_version: int) -> DataFrame:
+    """Each document's shard under two stored versions of the map, and its place in its shard.
 
     A place is the number of records in the shard's earlier slots plus the place in the own slot;
-    only the counts, one per slot, are ever seen together.
+    only the counts, one per slot or part of a hot slot, are ever seen together.
     """
-    slots = len(owner.owner)
-    rows = docs.select(
+    spark = docs.sparkSession
+    maps = stored_maps(spark, folder)
+    owner = maps.filter(F.col("version") == version).drop("version")
+    grown = (maps.filter(F.col("version") == grown_version)
+             .select("virtual_slot", F.col("shard").alias("grown_shard")))
+    slots = owner.count()
+    # Written once, so that a record's part of its slot is the same for every later pass.
+    rows = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         record_size(F.col("text")).alias("size"),
         F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"),
-    ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), slots))
-    before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(
-        Window.unboundedPreceding, -1)
-    spark = docs.sparkSession
-    offsets = (slot_sizes(rows, slots)
-               .join(owner.table(spark).drop("version"), "virtual_slot")
-               .join(grown.table(spark).select("virtual_slot", F.col("shard").alias("grown_shard")),
-                     "virtual_slot")
-               .withColumn("ahead", F.coalesce(F.sum("rows").over(before), F.lit(0))))
-    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "size", "text_crc32")
+        F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int").alias("part"),
+    ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), slots)), "records")
+    sizes = stored(slot_sizes(rows, slots), "slot-sizes")
+    fair = sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] / slots
+    hot = sizes.filter(F.col("rows") > HOT_FACTOR * fair + PARTS).select("virtual_slot")
     # At most one row per virtual slot, whatever the table's size.
+    rows = (rows.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "virtual_slot", "left")
+            .withColumn("part", F.when(F.col("is_hot"), F.col("part")).otherwise(0)))
+    before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy("virtual_slot", "part").agg(F.count("*").alias("rows"))
+               .join(sizes.select("virtual_slot", "bytes"), "virtual_slot")
+               .join(owner, "virtual_slot").join(grown, "virtual_slot")
+               .withColumn("ahead", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows"))
+    inside = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "size", "text_crc32")
     return (rows.withColumn("place", F.row_number().over(inside))
-            .join(F.broadcast(offsets), "virtual_slot")
+            .join(offsets, ["virtual_slot", "part"])
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"),
                     "shard", (F.col("ahead") + F.col("place") - 1).cast("long").alias("slot"),
                     "grown_shard", "virtual_slot", F.col("bytes").alias("slot_bytes"),
-                    F.lit(owner.version).alias("map_version")))
+                    F.lit(version).alias("map_version")))

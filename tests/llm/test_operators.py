@@ -1,5 +1,6 @@
 """The operators' own interfaces, on small inputs made for one case each."""
 
+import collections
 import hashlib
 import itertools
 import random
@@ -7,6 +8,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
@@ -319,7 +321,7 @@ def test_maps_move_only_what_they_must():
     assert held.max() - held.min() <= 2
 
 
-def test_rebalancing_evens_bytes_out(spark):
+def test_rebalancing_evens_bytes_out(spark, tmp_path):
     rng = random.Random(8)
     sizes = {s: rng.randrange(1, 1000) * (50 if s % 7 == 0 else 1) for s in range(512)}
     owner = shards.SlotMap.of(8, 512)
@@ -327,8 +329,48 @@ def test_rebalancing_evens_bytes_out(spark):
     load = [sum(sizes[s] for s, o in enumerate(even.owner) if o == k) for k in range(8)]
     assert even.version == owner.version + 1
     assert max(load) - min(load) <= 0.02 * sum(load) / 8
-    stored = owner.table(spark).union(even.table(spark))
-    assert shards.SlotMap.load(stored, even.version) == even
+    folder = str(tmp_path / "maps")
+    owner.publish(spark, folder)
+    shards.SlotMap.load(spark, folder).rebalanced(sizes, 0.02).publish(spark, folder)
+    assert shards.SlotMap.load(spark, folder) == even
+    assert shards.SlotMap.load(spark, folder, owner.version) == owner
+    with pytest.raises(AnalysisException):
+        even.publish(spark, folder)
+
+
+def test_bytes_of_slots_rebalance_a_stored_map(spark, tmp_path):
+    """A map is written, read, edited from the bytes of its slots, and used by the next run."""
+    rng = random.Random(9)
+    texts = ["x" * (rng.randrange(20) if i % 9 else 9_000) for i in range(900)]
+    folder = str(tmp_path / "maps")
+    shards.SlotMap.of(6, 256).publish(spark, folder)
+    first = shards.assign(docs(spark, texts), folder, 6, 6)
+    load = {r.virtual_slot: r.slot_bytes for r in first.collect()}
+    version = shards.SlotMap.load(spark, folder)
+    version.rebalanced(load).publish(spark, folder)
+    after = shards.assign(docs(spark, texts), folder, 7, 7).collect()
+    def spread(rows):
+        total = collections.Counter()
+        for r in rows:
+            total[r.shard] += r.size
+        return max(total.values()) - min(total.values())
+    assert spread(after) < spread(first.collect()) / 3
+    assert {r.map_version for r in after} == {7}
+
+
+def test_rows_of_one_id_are_many_tasks_but_one_run_of_places(spark, tmp_path):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "same" if i % 2 else f"text {i}")
+            for i in range(3_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = str(tmp_path / "maps")
+    shards.SlotMap.of(4, 64).publish(spark, folder)
+    found = shards.assign(frame, folder, 4, 4)
+    places = {}
+    for r in found.collect():
+        places.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, places.values())) == 3_000
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert {r.doc_id: r.shard for r in found.collect() if r.doc_id in (None, 7)}.keys() == {None, 7}
 
 
 # personal data
