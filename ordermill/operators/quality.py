@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.values import fixed_moment
 from ordermill.operators.clean import Cleaned
-from ordermill.schemas import PRIMARY_KEYS
+from ordermill.schemas import INPUT_PLACE, PRIMARY_KEYS
 
 # Fixed value: a name, one @, and a domain with a dot, none of them holding blanks.
 EMAIL = r"(?Ud)^[^@\s\x1c-\x1f]+@[^@\s\x1c-\x1f]+\.[^@\s\x1c-\x1f]+$"
@@ -25,9 +25,15 @@ def invalid_emails(customers: DataFrame) -> DataFrame:
     return customers.filter(~is_valid_email(F.col("email"))).select("customer_id")
 
 
+def input_order(customers: DataFrame) -> str:
+    """The column that orders a sample: the place in the input if it is known, else the id."""
+    return INPUT_PLACE if INPUT_PLACE in customers.columns else "customer_id"
+
+
 def invalid_email_sample(customers: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
-    """The first ids with an invalid email. Rows have no input order, so ids decide."""
-    return invalid_emails(customers).orderBy("customer_id").limit(size)
+    """The first ids with an invalid email, in input order if the rows have their places."""
+    bad = customers.filter(~is_valid_email(F.col("email")))
+    return bad.orderBy(input_order(customers)).limit(size).select("customer_id")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -82,12 +88,14 @@ def _metrics(issues: DataFrame, table: str) -> DataFrame:
 
 
 def quality_report(
-    customers: DataFrame, orders: Cleaned, products: Cleaned, order_items: Cleaned
+    customers: DataFrame, orders: Cleaned, products: Cleaned, order_items: Cleaned,
+    malformed: DataFrame | None = None,
 ) -> DataFrame:
     """All data quality figures, one row each: ``table_name, metric, value, detail``.
 
     ``detail`` holds the short sample of customer ids; the full list of orphan keys is
-    ``orphan_key_audit``, as it can be of any length.
+    ``orphan_key_audit``, as it can be of any length. ``malformed`` are the lines that the scan could
+    not read whole (``table_name, line``); they are counted per table.
     """
     emails = customers.agg(
         F.count("*").alias("total_rows"),
@@ -97,8 +105,12 @@ def quality_report(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"),
         F.count("*").alias("orphan_order_ids"),
     )
-    sample = invalid_email_sample(customers).agg(
-        F.array_join(F.sort_array(F.collect_list("customer_id")), ", ").alias("detail")
+    first = customers.filter(~is_valid_email(F.col("email"))).select(
+        F.struct(F.col(input_order(customers)).alias("place"), "customer_id").alias("row"))
+    rows = F.collect_list("row")  # of the sample alone
+    sample = first.orderBy("row").limit(SAMPLE_SIZE).agg(
+        F.array_join(F.transform(F.sort_array(rows), lambda r: r["customer_id"]), ", ")
+        .alias("detail")
     )
     sample_row = sample.select(
         F.lit("customers").alias("table_name"),
@@ -114,4 +126,8 @@ def quality_report(
         (missing, "integrity"),
     ]:
         report = report.unionByName(_metrics(issues, table))
+    if malformed is not None:
+        report = report.unionByName(malformed.groupBy("table_name").agg(
+            F.lit("malformed_lines").alias("metric"), F.count("*").alias("value"),
+            F.lit(None).cast("string").alias("detail")))
     return report.unionByName(sample_row)

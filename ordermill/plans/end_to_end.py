@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.operators.clean import Cleaned, clean_order_items, clean_orders, clean_products
 from ordermill.operators.quality import quality_report, without_orphans
 from ordermill.plans.analytics import QUESTIONS, Sums, sums
-from ordermill.schemas import Tables
+from ordermill.schemas import INPUT_PLACE, Tables
 from ordermill.sources import files
 
 
@@ -21,18 +21,19 @@ class CleanRun(NamedTuple):
     report: DataFrame
 
 
-def clean_tables(raw: Tables) -> CleanRun:
+def clean_tables(raw: Tables, malformed: DataFrame | None = None) -> CleanRun:
     """Clean all tables. Order items without an order are left out, and counted in the report.
 
-    Customers stay as they are: bad emails are reported, not repaired.
+    Customers stay as they are: bad emails are reported, not repaired. ``malformed`` lines of the raw
+    files are counted in the report, too.
     """
     orders: Cleaned = clean_orders(raw.orders)
     products: Cleaned = clean_products(raw.products)
     items: Cleaned = clean_order_items(raw.order_items)
     kept = without_orphans(items.rows, orders.rows, "order_id")
     return CleanRun(
-        Tables(raw.customers, products.rows, orders.rows, kept),
-        quality_report(raw.customers, orders, products, items),
+        Tables(raw.customers.drop(INPUT_PLACE), products.rows, orders.rows, kept),
+        quality_report(raw.customers, orders, products, items, malformed),
     )
 
 
@@ -67,7 +68,8 @@ def run(spark: SparkSession, raw_folder: str, out_folder: str) -> DataFrame:
     repeats the cleaning. Order items are summed per order and per product once, for all questions.
     """
     raw = files.stage_raw(files.read_raw_tables(spark, raw_folder), f"{out_folder}/staged")
-    cleaned = clean_tables(raw)
+    malformed = files.all_malformed_lines(spark, raw_folder)
+    cleaned = clean_tables(raw, malformed)
     counts = files.load_tables(cleaned.tables, f"{out_folder}/tables")
     loaded = files.read_tables(spark, f"{out_folder}/tables")
     files.write_clean_csv(loaded, f"{out_folder}/cleaned")

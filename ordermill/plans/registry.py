@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -15,7 +16,7 @@ from ordermill.operators.clean import clean_order_items, clean_orders, clean_pro
 from ordermill.plans import analytics, report
 from ordermill.plans.analytics import QUESTIONS
 from ordermill.plans.end_to_end import clean_tables, store_sums, write_results
-from ordermill.schemas import PRIMARY_KEYS, Tables
+from ordermill.schemas import PRIMARY_KEYS, RAW_COLUMNS, Tables
 from ordermill.session import new_scratch
 from ordermill.sources import files, generate, testdata
 
@@ -35,6 +36,16 @@ DAY = report.parse_period("1998-01-05", "1998-01-05")
 SERIES = report.parse_period("2001-05-17", "2001-10-10")
 
 
+EARLIER = {
+    "q09_order_gaps_hot_customers": "q09_order_gaps",
+    "q16_next_order_hot_customers": "q16_next_order",
+    "q16b_next_order_by_self_join_hot_customers": "q16b_next_order_by_self_join",
+    "period_summary_many_orders": "period_summary",
+    "period_top_products_many_orders": "period_top_products",
+    "query_result_sink": "stored_q01_revenue_by_category",
+}
+
+
 def _for_output(rows: DataFrame) -> DataFrame:
     """Exact decimals as doubles."""
     return rows.select([
@@ -176,13 +187,60 @@ def _report_days(raw: Tables) -> DataFrame:
     return texts.groupBy(valid).agg(F.count("*").alias("days"))
 
 
+def _csv_email_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The sample of a raw table of several files, which hold the customers by registration."""
+    path = new_scratch(spark, "raw")
+    customers = testdata.raw(spark, folder).customers
+    files.write_csv(customers.orderBy(F.desc("registration_date"), "customer_id"),
+                    f"{path}/customers.csv")
+    rows = files.read_raw(spark, path, "customers", with_place=True)
+    return quality.invalid_email_sample(rows)
+
+
+def _malformed(spark: SparkSession, folder: str) -> str:
+    """Raw tables of which some order lines lack their last field or have one too many."""
+    path = new_scratch(spark, "raw")
+    raw = testdata.raw(spark, folder)
+    for name, rows in raw._asdict().items():
+        if name == "orders":
+            # Without quotes a comma in the last column makes fields.
+            last = F.expr("""CASE WHEN order_id % 23 = 0 THEN 'PLACED'
+                WHEN order_id % 29 = 0 THEN 'PLACED,EAST,more' ELSE 'PLACED,EAST' END""")
+            lines = rows.select("order_id", last.alias("status,region_code")).select(
+                F.concat_ws(",", "order_id", F.lit("C1"), F.lit("2024-01-05 10:11:12"),
+                            "`status,region_code`").alias("value"))
+            header = spark.range(1).select(
+                F.lit(",".join(RAW_COLUMNS["orders"])).alias("value"))
+            # The header is the first line of the only file.
+            lines = header.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
+            lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(
+                f"{path}/orders.csv")
+        else:
+            files.write_csv(rows, f"{path}/{name}.csv")
+    return path
+
+
+def _malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return files.all_malformed_lines(spark, _malformed(spark, folder))
+
+
+def _malformed_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The order rows of the quality report over such files."""
+    path = _malformed(spark, folder)
+    raw = files.read_raw_tables(spark, path)
+    report_rows = clean_tables(raw, files.all_malformed_lines(spark, path)).report
+    return report_rows.filter("table_name = 'orders'").drop("detail")
+
+
 def _bucketed(question: Callable[[Tables], DataFrame]) -> Query:
     """A question over catalog tables bucketed by order."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        spark.sql("CREATE DATABASE IF NOT EXISTS ordermill")
+        # A database of its own, so that two runs at once do not share tables.
+        name = f"ordermill_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name}")
         t = testdata.clean(spark, folder)
-        return _for_output(question(files.save_bucketed(t, "ordermill", 8)))
+        return _for_output(question(files.save_bucketed(t, name, 8)))
 
     return query
 
@@ -297,6 +355,9 @@ def queries() -> dict[str, Query]:
         "table_load_counts": _load,
         "bucketed_running_revenue": _bucketed(analytics.running_revenue_by_region),
         "quality_report_sink": _stored_report,
+        "csv_invalid_email_sample": _csv_email_sample,
+        "csv_malformed_lines": _malformed_lines,
+        "quality_report_malformed_lines": _malformed_report,
         "cleaned_revenue_by_category": _after_cleaning(analytics.revenue_by_category),
         "cleaned_value_quartiles": _after_cleaning(analytics.value_quartiles),
     }
@@ -306,4 +367,6 @@ def queries() -> dict[str, Query]:
         found[f"csv_reload_{table}"] = _csv_reload(table)
     for name in QUESTIONS:
         found[f"stored_{name}"] = _stored_result(name)
+    # Names of earlier entries, whose cases the plain queries cover at every size.
+    found |= {earlier: found[name] for earlier, name in EARLIER.items()}
     return found

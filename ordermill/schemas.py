@@ -21,6 +21,9 @@ PRIMARY_KEYS = {
     ORDER_ITEMS: "order_item_id",
 }
 
+# The column that holds a row's place in its input files.
+INPUT_PLACE = "input_place"
+
 # Numbers of any size and precision; functions/amounts.py adds them up exactly.
 NUMBER = "double"
 

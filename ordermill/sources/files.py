@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators.quality import key_violations
 from ordermill.schemas import (
-    CLEAN_TYPES, ORDER_ITEMS, ORDERS, PRIMARY_KEYS, Tables, text_schema,
+    CLEAN_TYPES, CUSTOMERS, INPUT_PLACE, ORDER_ITEMS, ORDERS, PRIMARY_KEYS, Tables, text_schema,
 )
 
 # Whole fields that a CSV scan takes for "no value".
@@ -34,17 +34,52 @@ CSV_OPTIONS = {
 }
 
 
-def read_text_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All fields as text, NA-like fields as null. The header must name the columns in order."""
+def read_text_csv(
+    spark: SparkSession, path: str, schema: str, with_place: bool = False
+) -> DataFrame:
+    """All fields as text, NA-like fields as null. The header must name the columns in order.
+
+    ``with_place`` adds :data:`INPUT_PLACE`, by which rows are in the order of the files: the file, the
+    block of it that a task read, and the row's number in that task.
+    """
     rows = spark.read.options(**CSV_OPTIONS, enforceSchema=False).schema(schema).csv(path)
-    return rows.select([
-        F.when(~F.col(c).isin(NULL_TEXTS), F.col(c)).alias(c) for c in rows.columns
-    ])
+    fields = [F.when(~F.col(c).isin(NULL_TEXTS), F.col(c)).alias(c) for c in rows.columns]
+    if with_place:
+        fields.append(F.struct(
+            F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias(INPUT_PLACE))
+    return rows.select(fields)
+
+
+def read_raw(
+    spark: SparkSession, folder: str, table: str, with_place: bool = False
+) -> DataFrame:
+    """One raw table, ``<folder>/<table>.csv`` (a file or a folder of part files)."""
+    return read_text_csv(spark, f"{folder}/{table}.csv", text_schema(table), with_place)
 
 
-def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """One raw table, ``<folder>/<table>.csv`` (a file or a folder of part files)."""
-    return read_text_csv(spark, f"{folder}/{table}.csv", text_schema(table))
+def malformed_lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """``table_name, line`` of raw lines with too few or too many fields.
+
+    The scan keeps such rows: missing fields are null, further ones are left out.
+    """
+    line = "__line"
+    rows = (
+        spark.read.options(**CSV_OPTIONS, enforceSchema=False, columnPruning=False,
+                           mode="PERMISSIVE", columnNameOfCorruptRecord=line)
+        .schema(f"{text_schema(table)}, {line} string").csv(f"{folder}/{table}.csv")
+    )
+    # The scan tells malformed lines only if it parses fields as well.
+    parsed = F.coalesce(F.col(rows.columns[0]), F.lit("")) >= F.lit("")
+    return rows.filter(F.col(line).isNotNull() & parsed).select(
+        F.lit(table).alias("table_name"), F.col(line).alias("line"))
+
+
+def all_malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed lines of the four raw tables."""
+    found = [malformed_lines(spark, folder, name) for name in Tables._fields]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
 
 
 def typed(rows: DataFrame, table: str) -> DataFrame:
@@ -200,7 +235,9 @@ def save_bucketed(tables: Tables, database: str, buckets: int) -> Tables:
 
 
 def read_raw_tables(spark: SparkSession, folder: str) -> Tables:
-    return Tables(*[read_raw(spark, folder, name) for name in Tables._fields])
+    """The raw tables; customers with their place, for samples in the order of the input."""
+    return Tables(*[read_raw(spark, folder, name, with_place=name == CUSTOMERS)
+                    for name in Tables._fields])
 
 
 def stage_raw(raw: Tables, folder: str) -> Tables:
@@ -209,6 +246,6 @@ def stage_raw(raw: Tables, folder: str) -> Tables:
         rows.write.mode("overwrite").parquet(f"{folder}/{name}")
     spark = raw.orders.sparkSession
     return Tables(*[
-        spark.read.schema(text_schema(name)).parquet(f"{folder}/{name}")
-        for name in Tables._fields
+        spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+        for name, rows in raw._asdict().items()
     ])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ordermill.operators import clean, quality
 from ordermill.plans import end_to_end
 from ordermill.plans.analytics import QUESTIONS, running_revenue_by_region, value_quartiles
-from ordermill.schemas import CLEAN_TYPES, PRIMARY_KEYS, Tables
+from ordermill.schemas import CLEAN_TYPES, INPUT_PLACE, PRIMARY_KEYS, Tables
 from ordermill.sources import files, generate
 from tests.tables import customer, item, order, product, tables
 
@@ -276,3 +276,34 @@ def test_a_version_that_is_still_empty_is_not_read(spark, shop, tmp_path):
 def test_nothing_is_read_before_a_load(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_tables(spark, f"{tmp_path}/nothing")
+
+
+def test_sample_in_the_order_of_many_files(spark, tmp_path):
+    folder = tmp_path / "customers.csv"
+    folder.mkdir()
+    keys = [f"C{(i * 37) % 100:03}" for i in range(100)]
+    for part in range(5):
+        lines = ["customer_id,customer_name,email,registration_date,customer_type"]
+        lines += [f"{k},Name,{'bad' if i % 3 == 0 else 'a@b.org'},2024-01-01,VIP"
+                  for i, k in enumerate(keys) if i // 20 == part]
+        (folder / f"part-{part:05}.csv").write_text("\n".join(lines) + "\n")
+    rows = files.read_raw(spark, str(tmp_path), "customers", with_place=True)
+    found = [r[0] for r in quality.invalid_email_sample(rows).collect()]
+    assert found == [k for i, k in enumerate(keys) if i % 3 == 0][:10]
+    staged = rows.write.parquet(f"{tmp_path}/staged") or spark.read.parquet(f"{tmp_path}/staged")
+    assert [r[0] for r in quality.invalid_email_sample(staged.repartition(3)).collect()] == found
+    plain = quality.invalid_email_sample(rows.drop(INPUT_PLACE))
+    assert [r[0] for r in plain.collect()] == sorted(
+        k for i, k in enumerate(keys) if i % 3 == 0)[:10]
+
+
+def test_malformed_lines_are_told_and_kept(spark, tmp_path):
+    lines = ["order_id,customer_id,order_date,status,region_code", "O1,C1,2024-01-01,PLACED,EAST",
+             "O2,C1,2024-01-01,PLACED", 'O3,"C,1",2024-01-01,PLACED,EAST,more', "O4",
+             'O5,"C,1",2024-01-01,PLACED,EAST']
+    (tmp_path / "orders.csv").write_text("\n".join(lines) + "\n")
+    found = files.malformed_lines(spark, str(tmp_path), "orders")
+    assert sorted(r.line for r in found.collect()) == sorted([lines[2], lines[3], lines[4]])
+    assert found.count() == 3
+    rows = files.read_raw(spark, str(tmp_path), "orders").orderBy("order_id").collect()
+    assert [r.region_code for r in rows] == ["EAST", None, "EAST", None, "EAST"]
