@@ -41,14 +41,30 @@ def _wide(value: Column) -> Column:
     return F.when(exact.cast("double") == value, exact)
 
 
-def _parts(name: str, value: Column) -> list[Column]:
+#: A number of units is added up in parts of so many bits, which no number of rows overflows.
+_BITS = 18
+
+
+def _parts(name: str, value: Column) -> dict[str, Column]:
+    """Three parts of a short decimal's units, a wide decimal, and what is left."""
     short = _is_short(value)
+    units = F.when(short, _units(value).cast("bigint"))
     wide = F.when(~short, _wide(value))
-    return [
-        F.sum(F.when(short, _units(value).cast("bigint").cast("decimal(16,0)"))).alias(f"{name}_0"),
-        F.sum(wide).alias(f"{name}_1"),
-        F.sum(F.when(~short & wide.isNull(), value)).alias(name + REST),
-    ]
+    low = F.lit((1 << _BITS) - 1)
+    return {
+        f"{name}_0": units.bitwiseAND(low),
+        f"{name}_1": F.shiftright(units, _BITS).bitwiseAND(low),
+        f"{name}_2": F.shiftright(units, 2 * _BITS),
+        f"{name}_3": wide,
+        f"{name}_4": F.when(~short & wide.isNull(), value),
+    }
+
+
+def _sums(name: str) -> list[Column]:
+    """Few rows have the last two parts; a filter spares the others the wide additions."""
+    rare = [F.expr(f"sum(`{p}`) FILTER (WHERE `{p}` IS NOT NULL)").alias(p)
+            for p in (f"{name}_3", f"{name}_4")]
+    return [F.sum(f"{name}_{i}").alias(f"{name}_{i}") for i in range(3)] + rare
 
 
 def columns(name: str) -> list[str]:
@@ -58,14 +74,20 @@ def columns(name: str) -> list[str]:
 
 def sum_per(rows: DataFrame, keys: list, measures: dict[str, Column]) -> DataFrame:
     """The sums of double ``measures`` per key, each in its two parts."""
-    summed = rows.groupBy(*keys).agg(
-        *[p for n, value in measures.items() for p in _parts(n, value)])
+    parted = rows.withColumns({
+        part: column for n, value in measures.items() for part, column in _parts(n, value).items()
+    })
+    summed = parted.groupBy(*keys).agg(*[c for n in measures for c in _sums(n)])
     unit = F.lit(Decimal(1).scaleb(-PLACES))
     out = []
     for n in measures:
-        short = (F.col(f"{n}_0") * unit).cast(EXACT)
-        both = F.coalesce(short, F.lit(0).cast(EXACT)) + F.col(f"{n}_1").cast(EXACT)
-        out += [F.coalesce(both, short).alias(n), F.col(n + REST)]
+        units = F.lit(0).cast("decimal(38,0)")
+        for i in range(3):
+            part = F.col(f"{n}_{i}").cast("decimal(19,0)")
+            units = (units + part * F.lit(Decimal(1 << (i * _BITS)))).cast("decimal(29,0)")
+        short = (units * unit).cast(EXACT)
+        both = F.coalesce(short, F.lit(0).cast(EXACT)) + F.col(f"{n}_3").cast(EXACT)
+        out += [F.coalesce(both, short).alias(n), F.col(f"{n}_4").alias(n + REST)]
     return summed.select(*summed.columns[:len(keys)], *out)
 
 

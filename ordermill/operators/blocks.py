@@ -14,8 +14,10 @@ is a block of its own, and its rows are split by the tie-break column, by quanti
 from __future__ import annotations
 
 import math
+import uuid
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,8 +139,13 @@ def _before(blocks: DataFrame, value: str) -> Column:
 
 
 def _ranked(rows: DataFrame, value: str, tie: str) -> tuple[DataFrame, list[Column]]:
-    """Rows in blocks of descending value, and the order within a block."""
-    return with_block(rows, -F.col(value), tie), [F.desc(value), F.asc(tie)]
+    """Rows in blocks of descending value, and the order within a block.
+
+    Rows that took work are kept in memory, as far as there is room, for the passes that follow; what
+    is lost or evicted is made again, and is the same. The mark keeps any other query off them.
+    """
+    kept = rows.withColumn("__run", F.lit(uuid.uuid4().hex)).persist(StorageLevel.MEMORY_ONLY)
+    return with_block(kept, -F.col(value), tie), [F.desc(value), F.asc(tie)]
 
 
 def ntile(rows: DataFrame, tiles: int, value: str, tie: str, name: str) -> DataFrame:
