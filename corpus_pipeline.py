@@ -3,6 +3,12 @@
 Each stage takes all documents that its predecessor kept and returns the columns of documents; the
 last returns token counts and checksums. Rejected documents go, removed passages and personal data
 are cut from the texts.
+
+Nulls: a null or empty text has too few words for the quality rules and goes; stages called on their
+own keep it as it is, and the last one gives it no tokens. Rows that share an id are judged one by one;
+near duplicates keep one of them, and every row with a null id. Of equally near copies the smallest id
+stays. Texts of any length are read whole. Further columns, whatever their names are, stay with their
+rows up to the last stage. An empty table gives an empty result with the same columns.
 """
 
 from __future__ import annotations

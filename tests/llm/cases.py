@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, n_words long, "
-        "row string, kept boolean, digest string, label long, begin int")
+        "row string, kept boolean, digest string, label long, begin int, part int, chunk string")
 
 
 def _words(rng, n, letters="abcdefghij"):
@@ -62,14 +62,18 @@ def embeddings():
                    (53, [float("-inf")] * 12, 1, 5), (54, [], 1, 5)]
 
 
-def write(spark, folder, empty=False):
-    docs = [(d, t, "en", "s", len(t or ""), 7, "r", True, "d", 3, 1) for d, t in documents()]
-    labels = [(d, int(d % 3 > 0), 0) for d, _ in documents()] + [(None, 1, 0), (5, None, 0)]
+def write(spark, folder, empty=False, rows=None):
+    docs = [(d, t, "en", "s", len(t or ""), 7, "r", True, "d", 3, 1, 2, "c")
+            for d, t in rows or documents()]
+    labels = [(d, int(d % 3 > 0), 0, "x") for d, _ in documents()]
+    labels += [(None, 1, 0, "x"), (5, None, 0, "x")]
     tables = {
         "documents": (docs, DOCS),
-        "benchmark": (benchmark(), "item_id long, text string"),
-        "labels": (labels, "doc_id long, quality int, toxic int"),
-        "pages": (pages(), "page_id long, url string, html string"),
+        "benchmark": ([(*r, 1, "x") for r in benchmark()],
+                      "item_id long, text string, block int, item string"),
+        "labels": (labels, "doc_id long, quality int, toxic int, text string"),
+        "pages": ([(*r, "x", "y") for r in pages()],
+                  "page_id long, url string, html string, host string, tokens string"),
         "embeddings": (embeddings(), "vec_id long, embedding array<float>, label int, n long"),
     }
     for name, (rows, schema) in tables.items():
