@@ -38,7 +38,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     found = queries()
     names = [n for n in found if n.startswith("q") and n.split("_")[0][1:].isdigit()
-             and not n.endswith(("_default", "_double_customers"))] + OTHERS
+             and not n.endswith(("_default", "_double_customers", "_hot_customers"))] + OTHERS
     spark.read.parquet(f"{folder}/orders.parquet").count()
     seconds: dict[str, float] = {}
     for name in names:
