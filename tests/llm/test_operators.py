@@ -9,6 +9,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
@@ -434,6 +436,55 @@ def test_trees_add_phones_without_plus_and_spelled_addresses(spark):
     assert all(a == [] for a in added[:first])
 
 
+def test_trees_learn_from_all_documents(spark):
+    rng = random.Random(35)
+    # Marked keys are in the last documents by the hash of the id alone, as a sample would take them.
+    order = [r.id for r in spark.range(4_600).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, f"report 2024 {i:017d} on paper") for i in order[:4_200]]
+    rows += [(i, f"w{i} password={rng.randrange(16**40):040x} w") for i in order[4_200:]]
+    rows.append((5_000, f"see {rng.randrange(16**40):040x} there"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.spans for r in pii.find(frame).collect()}
+    assert [(s.kind, s.start, s.end) for s in found[5_000]] == [("secret", 4, 44)]
+    assert all(len(found[i]) == 1 for i in order[4_200:])
+    assert not any(found[i] for i in order[:4_200])
+
+
+def test_trees_learn_from_rows_without_an_id_and_from_every_candidate(spark):
+    rng = random.Random(36)
+    texts = [f"{' '.join(words(rng, 9))} " + rng.choice([
+        f"password={rng.randrange(16**40):040x} w", f"{rng.randrange(10**17, 10**18)} w"])
+        for _ in range(300)] + [f"see {rng.randrange(16**40):040x} there"]
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    found = [(r.text, r.spans[len(r.base):]) for r in pii.find(frame).collect()]
+    assert len(found) == 301
+    assert all(len(spans) == (1 if "pass" in t or "see" in t else 0) for t, spans in found)
+    few = spark.createDataFrame([(1, "1 2 3 4 5 6 and ann [at] b.org"), (1, "1 2 3 4 5 6"), (2, "")],
+                                "doc_id long, text string")
+    assert {r.kind: r.n for r in pii.training_rows(few).groupBy("kind").agg(F.sum("n").alias("n"))
+            .collect()} == {"number": 2, "contact": 1}
+
+
+def test_weighted_rows_give_the_trees_of_repeated_ones(spark):
+    rng = random.Random(37)
+    rows = [((float(a), float(b)), float(rng.random() < (a + 2 * b) / 20), rng.randrange(1, 9))
+            for a in range(8) for b in range(6)]
+    schema = "v array<double>, y double, n double"
+    vector = array_to_vector("v").alias("x")
+    both = [[(list(v), y, float(n)) for v, y, n in rows],
+            [(list(v), y, 1.0) for v, y, n in rows for _ in range(n)]]
+    made = [pii._classifier(sum(r[2] for r in part), len(part)).fit(
+        spark.createDataFrame(part, schema).select(vector, "y", "n").repartition(2))
+        for part in both]
+    points = [Vectors.dense(v) for v, _, _ in rows]
+    raw = [[m.predictRaw(p)[1] for p in points] for m in made]
+    assert len({round(x, 6) for x in raw[0]}) > 5
+    assert raw[0] == pytest.approx(raw[1], abs=1e-9)
+    lone = pii._classifier(4.0, 4).fit(spark.createDataFrame(
+        [([float(i)], float(i > 1), 1.0) for i in range(4)], schema).select(vector, "y", "n"))
+    assert lone.trees[0].depth == 0  # no leaf has so few candidates
+
+
 def test_redaction_of_spans_that_overlap(spark):
     frame = spark.createDataFrame([("a🙂bcdefgh",)], "text string")
     spans = F.array(*[
