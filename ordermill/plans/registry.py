@@ -206,15 +206,11 @@ def _malformed(spark: SparkSession, folder: str) -> str:
             # Without quotes a comma in the last column makes fields.
             last = F.expr("""CASE WHEN order_id % 23 = 0 THEN 'PLACED'
                 WHEN order_id % 29 = 0 THEN 'PLACED,EAST,more' ELSE 'PLACED,EAST' END""")
-            lines = rows.select("order_id", last.alias("status,region_code")).select(
-                F.concat_ws(",", "order_id", F.lit("C1"), F.lit("2024-01-05 10:11:12"),
-                            "`status,region_code`").alias("value"))
-            header = spark.range(1).select(
-                F.lit(",".join(RAW_COLUMNS["orders"])).alias("value"))
-            # The header is the first line of the only file.
-            lines = header.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
-            lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(
-                f"{path}/orders.csv")
+            header = ",".join(RAW_COLUMNS["orders"])
+            lines = rows.select(F.concat_ws(
+                ",", "order_id", F.lit("C1"), F.lit("2024-01-05 10:11:12"), last).alias(header))
+            # Lines are single fields without quotes; each part file has the header.
+            lines.write.options(**{**files.CSV_OPTIONS, "sep": "\u0001"}).csv(f"{path}/orders.csv")
         else:
             files.write_csv(rows, f"{path}/{name}.csv")
     return path

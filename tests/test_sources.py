@@ -2,13 +2,14 @@
 
 import datetime as dt
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ordermill.operators import clean, quality
-from ordermill.plans import end_to_end
+from ordermill.plans import end_to_end, registry
 from ordermill.plans.analytics import QUESTIONS, running_revenue_by_region, value_quartiles
 from ordermill.schemas import CLEAN_TYPES, INPUT_PLACE, PRIMARY_KEYS, Tables
 from ordermill.sources import files, generate
@@ -307,3 +308,41 @@ def test_malformed_lines_are_told_and_kept(spark, tmp_path):
     assert found.count() == 3
     rows = files.read_raw(spark, str(tmp_path), "orders").orderBy("order_id").collect()
     assert [r.region_code for r in rows] == ["EAST", None, "EAST", None, "EAST"]
+
+
+@pytest.fixture(scope="module")
+def star_folder(spark, tmp_path_factory):
+    """Star-schema tables of 200 orders in four files, one order without a key."""
+    folder = str(tmp_path_factory.mktemp("star"))
+    ids = spark.range(1, 201)
+    columns = {
+        "customer": ["id AS c_custkey", "'Name' AS c_name", "'AUTO' AS c_mktsegment"],
+        "part": ["id AS p_partkey", "'name' AS p_name", "'Brand' AS p_brand", "'TYPE' AS p_type",
+                 "1.5D AS p_retailprice"],
+        "orders": ["IF(id < 200, id, NULL) AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus",
+                   "TIMESTAMP_NTZ '2024-01-05 00:00:00' AS o_orderdate"],
+        "lineitem": ["id AS l_orderkey", "id AS l_partkey", "1 AS l_linenumber", "2D AS l_quantity",
+                     "9D AS l_extendedprice", "0.1D AS l_discount", "'N' AS l_returnflag"],
+    }
+    for name, parts in columns.items():
+        ids.repartition(4).selectExpr(*parts).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def malformed_lines_of_star() -> list[str]:
+    return ["C1,2024-01-05 10:11:12,PLACED,EAST"] + [
+        f"{i},C1,2024-01-05 10:11:12,PLACED{'' if i % 23 == 0 else ',EAST,more'}"
+        for i in range(1, 200) if i % 23 == 0 or i % 29 == 0]
+
+
+def test_malformed_lines_of_many_files(spark, star_folder):
+    path = registry._malformed(spark, star_folder).removeprefix("file:")
+    texts = [p.read_text() for p in Path(path, "orders.csv").glob("part-*")]
+    assert len(texts) == 4  # no task holds all lines
+    header = "order_id,customer_id,order_date,status,region_code"
+    assert [t.split("\n")[0] for t in texts] == [header] * 4
+    lines = [line for t in texts for line in t.splitlines()[1:]]
+    assert len(lines) == 200 and '"' not in "".join(lines)
+    found = registry.queries()["csv_malformed_lines"](spark, star_folder).collect()
+    assert {r.table_name for r in found} == {"orders"}
+    assert sorted(r.line for r in found) == sorted(malformed_lines_of_star())
