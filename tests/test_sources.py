@@ -346,3 +346,15 @@ def test_malformed_lines_of_many_files(spark, star_folder):
     found = registry.queries()["csv_malformed_lines"](spark, star_folder).collect()
     assert {r.table_name for r in found} == {"orders"}
     assert sorted(r.line for r in found) == sorted(malformed_lines_of_star())
+
+
+def test_report_counts_malformed_lines_of_many_files(spark, star_folder, monkeypatch):
+    made = []
+    build = registry._malformed
+    monkeypatch.setattr(registry, "_malformed", lambda *a: made.append(build(*a)) or made[-1])
+    found = registry.queries()["quality_report_malformed_lines"](spark, star_folder).collect()
+    assert len(list(Path(made[0].removeprefix("file:"), "orders.csv").glob("part-*"))) == 4
+    assert {(r.table_name, r.metric): r.value for r in found} == {
+        ("orders", "total_rows"): 200, ("orders", "wrong_date_format_fixed"): 0,
+        ("orders", "null_customer_id_handled"): 0,
+        ("orders", "malformed_lines"): len(malformed_lines_of_star())}
