@@ -35,6 +35,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.words import stored
+
 PRECISION = 0.98
 #: A tree's leaf has at least so many candidates.
 LEAST_LEAF = 5
@@ -204,7 +206,8 @@ class Trees:
     weights: Sequence[float]
     keep_at: float
 
-    def score(self, row: Sequence[Column]) -> Column:
+    def score(self, row: Column) -> Column:
+        """The score of an array of features."""
         def walk(node) -> Column:
             if isinstance(node, float):
                 return F.lit(node)
@@ -256,21 +259,20 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, precision: float = PRECISION) -> dict[str, Trees]:
     """The trees of each generator that has both kinds of candidates in the documents."""
-    grouped = training_rows(docs).cache()
-    table = None
+    # Stored, so that the many jobs of boosting know nothing of the patterns' plan: each job would
+    # carry its stages and their partitions through the driver.
+    grouped = stored(training_rows(docs), "candidates")
+    n_rows = grouped.count()
+    # Boosting runs many short jobs over these rows, so they lie in few partitions.
+    names = [c for c in grouped.columns if c not in ("kind", "label", "held", "n")]
+    table = VectorAssembler(inputCols=names, outputCol="x").transform(
+        grouped.repartition(max(2, n_rows // ROWS_A_TASK))
+    ).select("x", "kind", "label", "held", "n").cache()
     try:
-        n_rows = grouped.count()
-        # Boosting runs many short jobs over these rows, so they lie in few partitions.
-        names = [c for c in grouped.columns if c not in ("kind", "label", "held", "n")]
-        table = VectorAssembler(inputCols=names, outputCol="x").transform(
-            grouped.repartition(max(2, n_rows // ROWS_A_TASK))
-        ).select("x", "kind", "label", "held", "n").cache()
         proven = {r.kind for r in table.filter("label = 1").select("kind").distinct().collect()}
         found = {k: _fitted(table, k, precision, n_rows) for k in GENERATORS if k in proven}
     finally:
-        grouped.unpersist()
-        if table is not None:
-            table.unpersist()
+        table.unpersist()
     return {k: t for k, t in found.items() if t is not None}
 
 
@@ -323,13 +325,16 @@ def with_spans(docs: DataFrame, trees: dict[str, Trees] | None) -> DataFrame:
         F.col("candidates"),
         lambda c: ~F.exists(F.col("base"), lambda b: (b["start"] < c["end"])
                             & (c["start"] < b["end"])))
-    docs = docs.withColumn("candidates", picked)
+    # The trees look up a candidate's features; with their expressions in each node, the plan would
+    # hold hundreds of copies.
+    docs = docs.withColumn("candidates", F.transform(picked, lambda c: F.struct(
+        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"),
+        F.array(*features(c)).alias("features"))))
 
     def selected(c: Column) -> Column:
-        own = features(c)
         hit = F.lit(False)
         for kind, t in trees.items():
-            hit = hit | ((c["kind"] == kind) & (t.score(own) >= t.keep_at - 1e-6))
+            hit = hit | ((c["kind"] == kind) & (t.score(c["features"]) >= t.keep_at - 1e-6))
         return hit
 
     chosen = F.filter(F.col("candidates"), selected)

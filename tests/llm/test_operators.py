@@ -485,6 +485,28 @@ def test_weighted_rows_give_the_trees_of_repeated_ones(spark):
     assert lone.trees[0].depth == 0  # no leaf has so few candidates
 
 
+def test_boosting_jobs_do_not_carry_the_patterns(spark, monkeypatch):
+    texts = [f"w{i} password={i:040x} w" for i in range(30)]
+    seen = []
+    monkeypatch.setattr(pii, "_fitted", lambda table, *a: seen.append(
+        (table.rdd.getNumPartitions(), table._jdf.queryExecution().toString())))
+    assert pii.train(docs(spark, texts)) == {}
+    assert [n for n, _ in seen] == [2]
+    assert "password" not in seen[0][1] and "regexp" not in seen[0][1]
+
+
+def test_plan_holds_the_features_once_however_many_trees(spark):
+    frame = docs(spark, ["see 0123456789abcdef0123 there"])
+
+    def checks(n):
+        trees = pii.Trees([(15, 0.5, (0, 9.0, 0.0, 1.0), -1.0)] * n, [1.0] * n, 0.5)
+        plan = pii.with_spans(frame, {"secret": trees})
+        assert [len(r.spans) for r in plan.collect()] == [1]
+        return plan._jdf.queryExecution().analyzed().toString().count("RLIKE")
+
+    assert checks(1) == checks(8)
+
+
 def test_redaction_of_spans_that_overlap(spark):
     frame = spark.createDataFrame([("a🙂bcdefgh",)], "text string")
     spans = F.array(*[
